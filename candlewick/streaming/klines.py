@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.functions import scalars as S
-from candlewick.operators import dedup
+from candlewick.operators import blocks, dedup
 from candlewick.plans import staging
 from candlewick.sources.schemas import RAW_MESSAGE
 from candlewick.tables import incremental
@@ -224,3 +224,17 @@ def market_overview(candles: DataFrame) -> DataFrame:
     )
     change = F.try_divide(F.col("price") - F.col("_hour_ago"), F.col("_hour_ago")) * 100
     return out.select("asset_symbol", "price", change.alias("change_1h_pct"), "volume_24h")
+
+
+def volume_bars(candles: DataFrame, n: int = 20, factor: float = 2) -> DataFrame:
+    """Volume of stored minute candles against the mean of the last n, in blocks of a day per coin."""
+    day = F.unix_date(F.to_date("open_time")).cast("bigint")
+    minute = F.floor(F.unix_seconds(F.col("open_time").cast("timestamp")) / 60)
+    series = blocks.Series(("asset_symbol",), ("open_time",), (F.floor(day / 28), day, minute))
+
+    def build(w):
+        mean = F.avg("volume").over(w.rowsBetween(-(n - 1), 0))
+        return {"mean_volume": mean, "is_spike": F.col("volume") > mean * factor}
+
+    # a day holds at most 1440 minute candles of a coin
+    return blocks.over_series(candles, series, n - 1, build, level=1)

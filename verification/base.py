@@ -156,7 +156,7 @@ def part_assets(spark, sf) -> DataFrame:
     )
 
 
-def kline_messages(spark, sf, corrections: bool = True) -> DataFrame:
+def kline_messages(spark, sf, corrections: bool = True, with_kind: bool = False) -> DataFrame:
     """Raw messages of the minute candles.
 
     Each candle has an open update and a closed message; some have a later correction, and some
@@ -178,7 +178,8 @@ def kline_messages(spark, sf, corrections: bool = True) -> DataFrame:
         return F.to_json(F.struct(F.concat(F.lower("asset_symbol"), F.lit("@kline_1m")).alias("stream"), data.alias("data")))
 
     o = F.col("kafka_offset")
-    item = lambda value, n: F.struct(value.alias("value"), (o * 4 + n).alias("offset"))
+    kinds = ["update", "closed", "correction", "noise"]
+    item = lambda value, n: F.struct(value.alias("value"), (o * 4 + n).alias("offset"), F.lit(kinds[n]).alias("kind"))
     out = [item(message(True, F.col("close")), 1)]
     if corrections:
         extra = (
@@ -188,7 +189,8 @@ def kline_messages(spark, sf, corrections: bool = True) -> DataFrame:
             .when(o % 10 == 3, item(message(False, F.col("close"), F.lit("abc")), 3))
         )
         out = [item(message(False, F.col("open")), 0), *out, extra]
-    return c.select(F.explode(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("m")).select("m.value", "m.offset")
+    return c.select(F.explode(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("m")).select(
+        "m.value", "m.offset", *(["m.kind"] if with_kind else []))
 
 
 DAY_KEYS = ["asset_pair_symbol", "open_date"]

@@ -1 +1,174 @@
-"""Checked queries."""
+"""Streams over files of messages made from the given tables, run until all input is read."""
+
+from pyspark.sql import functions as F
+
+from candlewick.session import scratch_path
+from candlewick.streaming import klines as K
+from candlewick.tables.store import Table
+from verification.base import candles_1m, check, kline_messages, r, rounded, rr, using
+from verification.projections import KLINE_FLOOR, _KLINE
+
+_LANDED: dict = {}
+
+
+def landed(spark, sf, corrections=True):
+    """Message files, written once per session and scale; ordered by offset over four files."""
+    key = (spark.sparkContext.applicationId, sf, corrections)
+    if key not in _LANDED:
+        path = scratch_path(spark, "messages")
+        kline_messages(spark, sf, corrections).repartitionByRange(4, "offset").write.parquet(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def stream(spark, sf, corrections=True, max_files=1):
+    return K.read_files(spark, landed(spark, sf, corrections), max_files)
+
+
+def chk(spark):
+    return scratch_path(spark, "checkpoint")
+
+
+def appended(spark, df):
+    path = scratch_path(spark, "stream_out")
+    K.finish(K.append_to(df, path, chk(spark)))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def upserted(spark, df, keys):
+    out = Table(spark, scratch_path(spark, "stream_table"))
+    K.finish(K.upsert_to(df, out, keys, chk(spark)))
+    return out.read()
+
+
+_ALL = """SELECT kafka_offset * 4 + n AS "offset" FROM candles_1m, (VALUES (0), (1), (2), (3)) v(n)
+    WHERE n < 2 OR (n = 2 AND kafka_offset % 10 = 0) OR (n = 3 AND kafka_offset % 10 IN (1, 2, 3))"""
+
+
+@check("st_source_topic", using("candles_1m", _ALL))
+def st_source_topic(spark, sf):
+    return appended(spark, stream(spark, sf).select("offset"))
+
+
+@check("st_filter_closed_publish", using("closed", "SELECT kafka_offset AS \"offset\", lower(asset_symbol) || '@kline_1m' AS stream FROM closed"))
+def st_filter_closed_publish(spark, sf):
+    out = appended(spark, K.closed_envelopes(stream(spark, sf)))
+    return out.select("offset", F.get_json_object("value", "$.stream").alias("stream"))
+
+
+@check("st_land_raw", using("candles_1m", _ALL.replace('AS "offset"', 'AS "offset", n = 3 AND kafka_offset % 10 = 1 AS is_malformed')))
+def st_land_raw(spark, sf):
+    out = appended(spark, stream(spark, sf))
+    return out.select("offset", (F.col("value") == "{bad").alias("is_malformed"))
+
+
+@check("st_parse_typed", using("closed", f"SELECT {_KLINE} FROM closed"))
+def st_parse_typed(spark, sf):
+    return rounded(appended(spark, K.typed(stream(spark, sf))), *KLINE_FLOOR)
+
+
+@check("st_bad_records", using("candles_1m", """SELECT kafka_offset * 4 + 3 AS "offset", CASE WHEN kafka_offset % 10 = 3 THEN asset_symbol ELSE 'UNKNOWN' END AS asset_symbol,
+    CASE kafka_offset % 10 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no candle' ELSE 'bad number' END AS reason FROM candles_1m WHERE kafka_offset % 10 IN (1, 2, 3)"""))
+def st_bad_records(spark, sf):
+    return appended(spark, K.quarantine(stream(spark, sf))).select("offset", "asset_symbol", "reason")
+
+
+@check("st_last_value_gauge", using("closed", f"""SELECT asset_symbol, '1m' AS "interval", open, high, low, close, {r('volume', 'volume')}, close_time, kafka_offset
+    FROM closed QUALIFY row_number() OVER (PARTITION BY asset_symbol ORDER BY kafka_offset DESC) = 1"""))
+def st_last_value_gauge(spark, sf):
+    return rounded(upserted(spark, K.last_values(stream(spark, sf)), ["asset_symbol", "interval"]), "volume")
+
+
+def _candle_table(spark, sf, runs=1):
+    out = Table(spark, scratch_path(spark, "streamed"), ["open_date"])
+    checkpoint = chk(spark)
+    for _ in range(runs):
+        K.finish(K.upsert_candles(stream(spark, sf, max_files=2), out, checkpoint))
+    return out.read().drop("open_date")
+
+
+@check("st_dedup_upsert", using("latest", f"SELECT {_KLINE} FROM latest"))
+def st_dedup_upsert(spark, sf):
+    return rounded(_candle_table(spark, sf), *KLINE_FLOOR)
+
+
+@check("st_late_correction", using("latest", f"SELECT {_KLINE} FROM latest"))
+def st_late_correction(spark, sf):
+    """Corrections arrive after everything else and still replace their candles."""
+    out = Table(spark, scratch_path(spark, "corrected"), ["open_date"])
+    checkpoint, folder = chk(spark), scratch_path(spark, "arrivals")
+    messages = kline_messages(spark, sf, with_kind=True)
+    late = F.col("kind") == "correction"
+    for arrival in (~late, late):
+        messages.filter(arrival).drop("kind").write.mode("append").parquet(folder)
+        K.finish(K.upsert_candles(K.read_files(spark, folder), out, checkpoint))
+    return rounded(out.read().drop("open_date"), *KLINE_FLOOR)
+
+
+_H = "asset_symbol, date_trunc('hour', open_time) AS hour"
+
+
+@check("st_hourly_candles", using("candles_1m", f"""SELECT {_H}, first(open ORDER BY c.open_time) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY c.close_time) AS close,
+    CAST(sum(num_trades) AS BIGINT) AS num_trades, {', '.join(r(f'sum({c})', c) for c in KLINE_FLOOR)} FROM candles_1m c GROUP BY asset_symbol, date_trunc('hour', c.open_time)"""))
+def st_hourly_candles(spark, sf):
+    out = upserted(spark, K.hourly_windows(stream(spark, sf, False, 2)), ["asset_symbol", "hour"])
+    return rounded(out, *KLINE_FLOOR)
+
+
+@check("st_periodic_run", using("latest", f"SELECT {_KLINE} FROM latest"))
+def st_periodic_run(spark, sf):
+    return rounded(_candle_table(spark, sf, runs=2), *KLINE_FLOOR)
+
+
+def sliding_sql(length, slide, measures):
+    """Every window of the length that ends on a slide step and holds a candle."""
+    return using("candles_1m", f"""SELECT asset_symbol, window_end, {measures} FROM (SELECT c.*, unnest(generate_series(
+    time_bucket(INTERVAL '{slide}', open_time) + INTERVAL '{slide}', time_bucket(INTERVAL '{slide}', open_time) + INTERVAL '{length}', INTERVAL '{slide}')) AS window_end FROM candles_1m c) x
+    GROUP BY asset_symbol, window_end""")
+
+
+@check("st_range_1h", sliding_sql("1 hour", "1 minute", "max(high) AS highest, min(low) AS lowest"))
+def st_range_1h(spark, sf):
+    return upserted(spark, K.price_range(stream(spark, sf, False, 4)), ["asset_symbol", "window_end"])
+
+
+@check("st_volatility", sliding_sql("1 hour", "1 minute", f"{r('stddev_samp(close) / nullif(avg(close), 0)', 'volatility')}, stddev_samp(close) / nullif(avg(close), 0) > 0.005::DOUBLE AS is_high"))
+def st_volatility(spark, sf):
+    return rounded(upserted(spark, K.price_volatility(stream(spark, sf, False, 4)), ["asset_symbol", "window_end"]), "volatility")
+
+
+_FIRST, _LAST = "first(open ORDER BY open_time)", "last(close ORDER BY open_time)"
+
+
+@check("st_change_1h", sliding_sql("1 hour", "10 minutes", f"{_FIRST} AS first_price, {_LAST} AS last_price, {r(f'({_LAST} - {_FIRST}) / nullif({_FIRST}, 0) * 100', 'change_pct')}"))
+def st_change_1h(spark, sf):
+    out = upserted(spark, K.first_last(stream(spark, sf, False, 4), "1 hour", "10 minutes"), ["asset_symbol", "window_end"])
+    return rounded(out.drop("momentum"), "change_pct")
+
+
+@check("st_momentum_10m", sliding_sql("10 minutes", "1 minute", f"{_LAST} - {_FIRST} AS momentum"))
+def st_momentum_10m(spark, sf):
+    out = upserted(spark, K.first_last(stream(spark, sf, False, 4), "10 minutes", "1 minute"), ["asset_symbol", "window_end"])
+    return out.select("asset_symbol", "window_end", "momentum")
+
+
+@check("st_market_overview", using("latest", f"""SELECT asset_symbol, arg_max(close, open_time) AS price, {r('sum(volume)', 'volume_24h')},
+    {r('(arg_max(close, open_time) - arg_min(open, open_time) FILTER (recent)) / arg_min(open, open_time) FILTER (recent) * 100', 'change_1h_pct')} FROM (
+    SELECT *, open_time > newest - INTERVAL 1 HOUR AS recent FROM (SELECT *, max(open_time) OVER (PARTITION BY asset_symbol) AS newest FROM latest) l
+    WHERE open_time > newest - INTERVAL 24 HOUR) x GROUP BY 1"""))
+def st_market_overview(spark, sf):
+    return rounded(K.market_overview(_candle_table(spark, sf)), "volume_24h", "change_1h_pct")
+
+
+_VW = "OVER (PARTITION BY asset_symbol ORDER BY open_time ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+
+
+@check("st_volume_spike", using("latest", f"SELECT asset_symbol, open_time, volume > 2 * avg(volume) {_VW} AS is_spike, {r(f'avg(volume) {_VW}', 'mean_volume')} FROM latest"))
+def st_volume_spike(spark, sf):
+    return rounded(K.volume_bars(_candle_table(spark, sf)).select("asset_symbol", "open_time", "is_spike", "mean_volume"), "mean_volume")
+
+
+@check("st_unique_within_watermark", using("candles_1m", "SELECT asset_symbol, count(*) AS candles FROM candles_1m GROUP BY 1"))
+def st_unique_within_watermark(spark, sf):
+    out = appended(spark, K.unique_candles(stream(spark, sf, True, 4)).drop("open_ts"))
+    return out.groupBy("asset_symbol").agg(F.count("*").alias("candles"))
