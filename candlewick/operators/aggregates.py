@@ -10,9 +10,27 @@ from pyspark.sql import functions as F
 from candlewick.operators.dedup import first_n_per_key
 
 
+def joined_key(parts: Sequence[tuple[str | Column, int]]) -> Column:
+    """Whole numbers as one decimal, each with its number of digits, most significant first.
+
+    A fixed-width order key keeps first and last picks in hash aggregation; a struct would force
+    every map task to sort its rows.
+    """
+    digits = sum(n for _, n in parts)
+    if digits > 38:
+        raise ValueError("an order key holds at most 38 digits")
+    out, below = None, digits
+    for part, n in parts:
+        below -= n
+        c = (F.col(part) if isinstance(part, str) else part).cast("bigint").cast("decimal(19,0)")
+        term = c * F.lit("1" + "0" * below).cast(f"decimal({below + 1},0)") if below else c
+        out = term if out is None else out + term
+    return out.cast("decimal(38,0)")
+
+
 def order_key(ts_micros: Column, id_col: Column) -> Column:
-    """(time, id) as one decimal. A fixed-width sort key keeps first/last picks in hash aggregation."""
-    return ts_micros.cast("decimal(38,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + id_col
+    """(time, id) as one order key."""
+    return joined_key([(ts_micros, 19), (id_col, 19)])
 
 
 def group_share(df: DataFrame, group: Sequence[str], period: Sequence[str], value: Column, name: str) -> DataFrame:

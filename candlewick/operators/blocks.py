@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.session import stage
+
 BLOCK, CARRIED = "_block", "_carried"
 BLOCK_ROWS = 5_000_000
 
@@ -74,13 +76,18 @@ def with_lookback(df: DataFrame, series: Series, n: int, level: int) -> DataFram
 
 
 def over_series(
-    df: DataFrame, series: Series, lookback: int, build, level: int | None = None, block_rows: int = BLOCK_ROWS
+    df: DataFrame, series: Series, lookback: int, build, level: int | None = None, block_rows: int = BLOCK_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Add the columns ``build(window)`` returns, computed block-wise with an exact look-back.
 
     ``build`` takes the window (keys and block, ordered) and returns {name: Column}; its frames
-    may reach at most ``lookback`` rows back.
+    may reach at most ``lookback`` rows back. The rows are read up to three times (block sizes,
+    block tails, the window), so they are written once first unless ``stored`` says that df is a
+    cheap read of a stored table already.
     """
+    if not stored:
+        df = stage(df, "series")
     if level is None:
         level = pick_level(df, series, block_rows)
     extended = with_lookback(df, series, lookback, level)

@@ -32,11 +32,12 @@ def lookup_join(
     per salt and the facts spread over the salts, so a key with a third of all facts is shared by
     ``salts`` tasks. Both ways give the same rows.
     """
+    columns = [*facts.columns, *[c for c in dim.columns if c not in keys]]
     if small_enough(dim, broadcast_rows):
-        return facts.join(F.broadcast(dim), list(keys), how)
+        return facts.join(F.broadcast(dim), list(keys), how).select(*columns)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*(salt_on or facts.columns)), F.lit(salts)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return salted.join(copies, [*keys, "_salt"], how).select(*columns)
 
 
 def fixed_lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
@@ -46,7 +47,7 @@ def fixed_lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> Dat
 
 def absent(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of df whose key tuple does not occur in other (no null rules)."""
-    return df.join(other.select(*keys), list(keys), "left_anti")
+    return df.join(other.select(*keys), list(keys), "left_anti").select(*df.columns)
 
 
 def _null_patterns(df: DataFrame, keys: Sequence[str]) -> list:

@@ -16,6 +16,7 @@ from candlewick.functions import expressions as X
 from candlewick.functions import scalars as S
 from candlewick.operators import blocks
 from candlewick.plans.facts import series_window
+from candlewick.session import stage
 
 PAIR = "asset_pair_symbol"
 
@@ -294,12 +295,12 @@ def whale_proxy(trades: DataFrame, seconds: int = 3600) -> DataFrame:
 def flow_streaks(trades: DataFrame, side: Column, level: int | None = None) -> DataFrame:
     """Runs of consecutive trades on one side, per pair."""
     series = blocks.trade_series()
-    slim = _slim(trades.withColumn("side", side), "side", "quantity")
+    slim = stage(_slim(trades.withColumn("side", side), "side", "quantity"), "sides")
     if level is None:
         level = blocks.pick_level(slim, series)
     changed = lambda w: F.when(F.lag("side").over(w).eqNullSafe(F.col("side")), 0).otherwise(1)
-    marked = blocks.over_series(slim, series, 1, lambda w: {"_change": changed(w)}, level)
-    runs = blocks.running_sum(marked, series, "_change", "run", level)
+    marked = blocks.over_series(slim, series, 1, lambda w: {"_change": changed(w)}, level, stored=True)
+    runs = blocks.running_sum(stage(marked, "changes"), series, "_change", "run", level)
     return runs.groupBy("pair_symbol", "run", "side").agg(
         F.count("*").alias("trades"), F.sum("quantity").alias("volume"),
         F.min("at").alias("first_at"), F.max("at").alias("last_at"),

@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # call-site capture costs a stack walk per column expression
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

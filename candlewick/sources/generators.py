@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from candlewick.functions.scalars import date_diff_units
 
@@ -44,7 +46,9 @@ def literal_rows(spark: SparkSession, data: list[dict], schema: T.StructType) ->
         extra = set(row) - known
         if extra:
             raise ValueError(f"unknown columns {sorted(extra)}; the table has {sorted(known)}")
-    return spark.createDataFrame([tuple(row.get(c) for c in schema.fieldNames()) for row in data], schema)
+    # an Arrow table becomes a local relation: its size is known to the optimizer and needs no job
+    columns = {f.name: pa.array([row.get(f.name) for row in data], to_arrow_type(f.dataType)) for f in schema}
+    return spark.createDataFrame(pa.table(columns), schema)
 
 
 def empty_like(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.operators.aggregates import order_key
+from candlewick.operators.aggregates import joined_key, order_key
 from candlewick.plans import dims, facts, staging
 from candlewick.sources.generators import literal_rows
 
@@ -101,21 +101,20 @@ def candles_1m(spark, sf) -> DataFrame:
 
 def candles_long(spark, sf) -> DataFrame:
     """Hourly candles of line items, in the unified shape: a long daily history per pair."""
-    li = table(spark, sf, "lineitem")
     # a dyadic share keeps the summed taker volumes exact, so regime borders do not depend on sum order
-    share = (20 + 3 * F.round(F.col("l_discount") * 100)) / 64
-    df = li.select(
-        F.concat("l_returnflag", "l_linestatus", F.lit("USDT")).alias("asset_pair_symbol"),
+    share = (20 + 3 * (F.col("l_discount") * 100 + 0.5).cast("int")) / 64
+    df = table(spark, sf, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_linenumber",
         F.to_date("l_shipdate").alias("open_date"),
-        "l_linenumber",
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("p"),
         F.col("l_quantity").alias("q"),
         F.col("l_extendedprice").alias("v"),
         (F.col("l_quantity") * share).alias("tb"),
         (F.col("l_extendedprice") * share).alias("tq"),
-        F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("o"),
+        # order, part, supplier and quantity side by side in one decimal: 13 + 12 + 11 + 2 digits
+        joined_key([("l_orderkey", 13), ("l_partkey", 12), ("l_suppkey", 11), ("l_quantity", 2)]).alias("o"),
     )
-    h = df.groupBy("asset_pair_symbol", "open_date", "l_linenumber").agg(
+    h = df.groupBy("l_returnflag", "l_linestatus", "open_date", "l_linenumber").agg(
         F.min_by("p", "o").alias("open"),
         F.max("p").alias("high"),
         F.min("p").alias("low"),
@@ -127,9 +126,10 @@ def candles_long(spark, sf) -> DataFrame:
         F.sum("tq").alias("taker_buy_quote_volume"),
     )
     hour = F.concat(F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit(":00:00"))
-    base = F.replace("asset_pair_symbol", F.lit("USDT"), F.lit(""))
+    base = F.concat("l_returnflag", "l_linestatus")
     return h.select(
-        "asset_pair_symbol", base.alias("base_asset_symbol"), F.lit("USDT").alias("quote_asset_symbol"), "open_date",
+        F.concat(base, F.lit("USDT")).alias("asset_pair_symbol"), base.alias("base_asset_symbol"),
+        F.lit("USDT").alias("quote_asset_symbol"), "open_date",
         hour.alias("open_time"), F.col("open_date").alias("close_date"), hour.alias("close_time"),
         "open", "high", "low", "close", "base_asset_volume", "quote_asset_volume", "num_trades",
         "taker_buy_base_volume", "taker_buy_quote_volume", F.lit("batch").alias("record_source"),
@@ -275,7 +275,7 @@ def key_sql(*cols: str) -> str:
     return "md5(concat_ws('-', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '_null_')" for c in cols) + "))"
 
 
-_ORD = "l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+_ORD = "l_orderkey, l_partkey, l_suppkey, l_quantity"
 _W = "PARTITION BY asset_pair_symbol ORDER BY open_date"
 _STAR = "asset_pair_symbol, open_date"
 SIZE_SQL = (
@@ -314,8 +314,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         first(l_extendedprice / l_quantity ORDER BY {_ORD}) AS open, max(l_extendedprice / l_quantity) AS high,
         min(l_extendedprice / l_quantity) AS low, last(l_extendedprice / l_quantity ORDER BY {_ORD}) AS close,
         sum(l_quantity) AS base_asset_volume, sum(l_extendedprice) AS quote_asset_volume, count(*) AS num_trades,
-        sum(l_quantity * (20 + 3 * round(l_discount * 100)) / 64) AS taker_buy_base_volume,
-        sum(l_extendedprice * (20 + 3 * round(l_discount * 100)) / 64) AS taker_buy_quote_volume, 'batch' AS record_source
+        sum(l_quantity * (20 + 3 * floor(l_discount * 100 + 0.5)) / 64) AS taker_buy_base_volume,
+        sum(l_extendedprice * (20 + 3 * floor(l_discount * 100 + 0.5)) / 64) AS taker_buy_quote_volume, 'batch' AS record_source
         FROM lineitem GROUP BY l_returnflag, l_linestatus, CAST(l_shipdate AS DATE), l_linenumber"""),
     "daily": (("candles_long",), """SELECT asset_pair_symbol, open_date,
         first(open ORDER BY open_time) AS open, max(high) AS high, min(low) AS low,

@@ -12,16 +12,16 @@ _LANDED: dict = {}
 
 
 def landed(spark, sf, corrections=True):
-    """Message files, written once per session and scale; ordered by offset over four files."""
+    """Message files, written once per session and scale; ordered by offset over eight files."""
     key = (spark.sparkContext.applicationId, sf, corrections)
     if key not in _LANDED:
         path = scratch_path(spark, "messages")
-        kline_messages(spark, sf, corrections).repartitionByRange(4, "offset").write.parquet(path)
+        kline_messages(spark, sf, corrections).repartitionByRange(8, "offset").write.parquet(path)
         _LANDED[key] = path
     return _LANDED[key]
 
 
-def stream(spark, sf, corrections=True, max_files=1):
+def stream(spark, sf, corrections=True, max_files=None):
     return K.read_files(spark, landed(spark, sf, corrections), max_files)
 
 
@@ -47,7 +47,7 @@ _ALL = """SELECT kafka_offset * 4 + n AS "offset" FROM candles_1m, (VALUES (0),
 
 @check("st_source_topic", using("candles_1m", _ALL))
 def st_source_topic(spark, sf):
-    return appended(spark, stream(spark, sf).select("offset"))
+    return appended(spark, stream(spark, sf, max_files=3).select("offset"))
 
 
 @check("st_filter_closed_publish", using("closed", "SELECT kafka_offset AS \"offset\", lower(asset_symbol) || '@kline_1m' AS stream FROM closed"))
@@ -83,7 +83,7 @@ def _candle_table(spark, sf, runs=1):
     out = Table(spark, scratch_path(spark, "streamed"), ["open_date"])
     checkpoint = chk(spark)
     for _ in range(runs):
-        K.finish(K.upsert_candles(stream(spark, sf, max_files=2), out, checkpoint))
+        K.finish(K.upsert_candles(stream(spark, sf, max_files=4), out, checkpoint))
     return out.read().drop("open_date")
 
 
@@ -111,7 +111,7 @@ _H = "asset_symbol, date_trunc('hour', open_time) AS hour"
 @check("st_hourly_candles", using("candles_1m", f"""SELECT {_H}, first(open ORDER BY c.open_time) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY c.close_time) AS close,
     CAST(sum(num_trades) AS BIGINT) AS num_trades, {', '.join(r(f'sum({c})', c) for c in KLINE_FLOOR)} FROM candles_1m c GROUP BY asset_symbol, date_trunc('hour', c.open_time)"""))
 def st_hourly_candles(spark, sf):
-    out = upserted(spark, K.hourly_windows(stream(spark, sf, False, 2)), ["asset_symbol", "hour"])
+    out = upserted(spark, K.hourly_windows(stream(spark, sf, False, 4)), ["asset_symbol", "hour"])
     return rounded(out, *KLINE_FLOOR)
 
 
@@ -129,12 +129,12 @@ def sliding_sql(length, slide, measures):
 
 @check("st_range_1h", sliding_sql("1 hour", "1 minute", "max(high) AS highest, min(low) AS lowest"))
 def st_range_1h(spark, sf):
-    return upserted(spark, K.price_range(stream(spark, sf, False, 4)), ["asset_symbol", "window_end"])
+    return upserted(spark, K.price_range(stream(spark, sf, False)), ["asset_symbol", "window_end"])
 
 
 @check("st_volatility", sliding_sql("1 hour", "1 minute", f"{r('stddev_samp(close) / nullif(avg(close), 0)', 'volatility')}, stddev_samp(close) / nullif(avg(close), 0) > 0.005::DOUBLE AS is_high"))
 def st_volatility(spark, sf):
-    return rounded(upserted(spark, K.price_volatility(stream(spark, sf, False, 4)), ["asset_symbol", "window_end"]), "volatility")
+    return rounded(upserted(spark, K.price_volatility(stream(spark, sf, False)), ["asset_symbol", "window_end"]), "volatility")
 
 
 _FIRST, _LAST = "first(open ORDER BY open_time)", "last(close ORDER BY open_time)"
@@ -142,13 +142,13 @@ _FIRST, _LAST = "first(open ORDER BY open_time)", "last(close ORDER BY open_time
 
 @check("st_change_1h", sliding_sql("1 hour", "10 minutes", f"{_FIRST} AS first_price, {_LAST} AS last_price, {r(f'({_LAST} - {_FIRST}) / nullif({_FIRST}, 0) * 100', 'change_pct')}"))
 def st_change_1h(spark, sf):
-    out = upserted(spark, K.first_last(stream(spark, sf, False, 4), "1 hour", "10 minutes"), ["asset_symbol", "window_end"])
+    out = upserted(spark, K.first_last(stream(spark, sf, False), "1 hour", "10 minutes"), ["asset_symbol", "window_end"])
     return rounded(out.drop("momentum"), "change_pct")
 
 
 @check("st_momentum_10m", sliding_sql("10 minutes", "1 minute", f"{_LAST} - {_FIRST} AS momentum"))
 def st_momentum_10m(spark, sf):
-    out = upserted(spark, K.first_last(stream(spark, sf, False, 4), "10 minutes", "1 minute"), ["asset_symbol", "window_end"])
+    out = upserted(spark, K.first_last(stream(spark, sf, False), "10 minutes", "1 minute"), ["asset_symbol", "window_end"])
     return out.select("asset_symbol", "window_end", "momentum")
 
 
@@ -170,5 +170,5 @@ def st_volume_spike(spark, sf):
 
 @check("st_unique_within_watermark", using("candles_1m", "SELECT asset_symbol, count(*) AS candles FROM candles_1m GROUP BY 1"))
 def st_unique_within_watermark(spark, sf):
-    out = appended(spark, K.unique_candles(stream(spark, sf, True, 4)).drop("open_ts"))
+    out = appended(spark, K.unique_candles(stream(spark, sf)).drop("open_ts"))
     return out.groupBy("asset_symbol").agg(F.count("*").alias("candles"))
