@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.operators.sets import concat
 from candlewick.session import stage
 
 BLOCK, CARRIED = "_block", "_carried"
@@ -34,13 +35,18 @@ class Series:
 
 
 def pick_level(df: DataFrame, series: Series, block_rows: int = BLOCK_ROWS) -> int:
-    """The coarsest level whose largest block stays within ``block_rows``: a counted check, no guess."""
-    for i, level in enumerate(series.levels[:-1]):
-        sizes = df.groupBy(*series.keys, level.alias(BLOCK)).count()
-        largest = sizes.agg(F.max("count")).first()[0]
-        if largest is None or largest <= block_rows:
-            return i
-    return len(series.levels) - 1
+    """The coarsest level whose largest block stays within ``block_rows``: a counted check, no guess.
+
+    Rows are counted once at the finest countable level; the coarser sizes are sums of those.
+    """
+    names = [f"_level{i}" for i in range(len(series.levels) - 1)]
+    counted = df.groupBy(*series.keys, *[c.alias(n) for c, n in zip(series.levels, names)]).agg(F.count("*").alias("_n"))
+    largest = [
+        counted.groupBy(*series.keys, n).agg(F.sum("_n").alias("_n")).agg(F.max("_n").alias("_n")).select(F.lit(i).alias("level"), "_n")
+        for i, n in enumerate(names)
+    ]
+    fitting = [r.level for r in concat(largest).collect() if (r["_n"] or 0) <= block_rows]
+    return min(fitting, default=len(series.levels) - 1)
 
 
 def with_lookback(df: DataFrame, series: Series, n: int, level: int) -> DataFrame:

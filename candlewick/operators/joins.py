@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.session import stage
+
 BROADCAST_ROWS = 200_000
 SALTS = 64
 
@@ -25,13 +27,17 @@ def lookup_join(
     salt_on: Sequence[str] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    computed: bool = False,
 ) -> DataFrame:
     """Join facts to a dimension on same-named keys.
 
     A dimension of counted size up to ``broadcast_rows`` is broadcast. A larger one is copied once
     per salt and the facts spread over the salts, so a key with a third of all facts is shared by
-    ``salts`` tasks. Both ways give the same rows.
+    ``salts`` tasks. Both ways give the same rows. A ``computed`` dimension (an aggregate of the
+    facts, say) is written once first, so counting it does not compute it twice.
     """
+    if computed:
+        dim = stage(dim, "lookup")
     columns = [*facts.columns, *[c for c in dim.columns if c not in keys]]
     if small_enough(dim, broadcast_rows):
         return facts.join(F.broadcast(dim), list(keys), how).select(*columns)
@@ -108,4 +114,4 @@ def against_group_mean(df: DataFrame, group: Sequence[str], value: str, factor:
     The mean is a pre-aggregated small side; the detail rows are not shuffled by group.
     """
     means = df.groupBy(*group).agg(F.avg(value).alias(f"avg_{value}"))
-    return lookup_join(df, means, group, "inner").filter(F.col(value) >= F.col(f"avg_{value}") * factor)
+    return lookup_join(df, means, group, "inner", computed=True).filter(F.col(value) >= F.col(f"avg_{value}") * factor)

@@ -81,7 +81,7 @@ def fct_trades(
     """
     if existing is not None:
         marks = existing.groupBy("pair_symbol").agg(F.max("transaction_date").alias("_mark"))
-        tagged = joins.lookup_join(stg, marks, ["pair_symbol"])
+        tagged = joins.lookup_join(stg, marks, ["pair_symbol"], computed=True)
         newer = F.col("_mark").isNull() | (F.col("transaction_date") >= F.col("_mark"))
         stg = tagged.filter(newer).drop("_mark")
     ties = ["quantity", "first_trade_id", "last_trade_id", "transaction_date", "transaction_time"]

@@ -321,8 +321,8 @@ def total_value(trades: DataFrame) -> DataFrame:
     per_year = trades.groupBy("pair_symbol", F.year("transaction_date").alias("_y")).agg(
         F.sum(F.col("price") * F.col("quantity")).alias("_v")
     )
-    newest = per_year.agg(F.max("_y").alias("_newest"))
-    df = per_year.join(F.broadcast(newest))  # one row
+    newest = trades.agg(F.max(F.year("transaction_date"))).scalar()
+    df = per_year.withColumn("_newest", newest)
     this_year = F.when(F.col("_y") == F.col("_newest"), F.col("_v"))
     return df.groupBy("pair_symbol").agg(
         F.coalesce(F.sum(this_year), F.lit(0.0)).alias("value_ytd"), F.sum("_v").alias("value_all_time")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from candlewick.functions import expressions as X
 from candlewick.functions import scalars as S
 from candlewick.operators import blocks, joins
+from candlewick.session import stage
+
 
 def _value() -> Column:
     return F.col("quantity") * F.col("price")
@@ -54,21 +56,23 @@ def with_clock_seconds(trades: DataFrame) -> DataFrame:
     return trades.withColumn("_second", S.second_of_day("transaction_time"))
 
 
-def with_previous_clock(trades: DataFrame, level: int | None = None) -> DataFrame:
+def with_previous_clock(trades: DataFrame, level: int | None = None, stored: bool = False) -> DataFrame:
     """Second of day of the pair's previous trade in (date, time, id) order."""
     slim = with_clock_seconds(trades)
     return blocks.over_series(
-        slim, blocks.trade_series(), 1, lambda w: {"previous_second": F.lag("_second").over(w)}, level
+        slim, blocks.trade_series(), 1, lambda w: {"previous_second": F.lag("_second").over(w)}, level, stored=stored
     )
 
 
-def time_between_trades(trades: DataFrame, date_dim: DataFrame, level: int | None = None) -> DataFrame:
+def time_between_trades(
+    trades: DataFrame, date_dim: DataFrame, level: int | None = None, stored: bool = False
+) -> DataFrame:
     """Mean clock-time gap between consecutive trades per pair and year.
 
     Only times of day are compared, as defined; a smaller later clock time is left out.
     """
     slim = trades.select("pair_symbol", "agg_trade_id", "transaction_date", "transaction_time", "date_fk")
-    gaps = with_previous_clock(slim, level).filter(F.col("previous_second") <= F.col("_second"))
+    gaps = with_previous_clock(slim, level, stored).filter(F.col("previous_second") <= F.col("_second"))
     days = _days(date_dim, F.col("year").alias("trade_year"))
     return (
         joins.fixed_lookup(gaps, days, "date_fk")
@@ -122,7 +126,7 @@ def large_trades(trades: DataFrame, date_dim: DataFrame, factor: float = 5) -> D
         F.avg("quantity").alias("avg_quantity"), F.avg(_value()).alias("avg_trade_value")
     )
     both = joins.lookup_join(
-        dated, means.drop("pair_symbol"), ["base_asset_fk", "trade_year", "trade_month"], "inner"
+        dated, means.drop("pair_symbol"), ["base_asset_fk", "trade_year", "trade_month"], "inner", computed=True
     )
     return (
         both.filter(F.col("quantity") >= F.col("avg_quantity") * factor)
@@ -163,12 +167,12 @@ def trading_velocity(trades: DataFrame) -> DataFrame:
     )
 
 
-def volatility_rows(trades: DataFrame, n: int = 7, level: int | None = None) -> DataFrame:
+def volatility_rows(trades: DataFrame, n: int = 7, level: int | None = None, stored: bool = False) -> DataFrame:
     """Price stddev over the last n trades of a pair (rows, not days)."""
     slim = trades.select("transaction_date", "transaction_time", "agg_trade_id", "pair_symbol", "price")
     out = blocks.over_series(
         with_clock_seconds(slim), blocks.trade_series(), n - 1,
-        lambda w: {"volatility_7_day": X.rolling_stddev("price", n, w)}, level,
+        lambda w: {"volatility_7_day": X.rolling_stddev("price", n, w)}, level, stored=stored,
     )
     return out.select("agg_trade_id", "transaction_date", "pair_symbol", "price", "volatility_7_day")
 
@@ -224,6 +228,7 @@ def whale_neighbors(trades: DataFrame, threshold: float = 100) -> DataFrame:
         F.max_by("price", sec).alias("last_price"),
         F.min_by("price", sec).alias("first_price"),
     )
+    daily = stage(daily, "days")  # read for both sides
     measures = ["trades", "min_price", "max_price", "avg_price", "first_price", "last_price"]
     whales = trades.filter(F.col("quantity") > threshold).select(
         "agg_trade_id", "pair_symbol", F.col("price").alias("current_price"), F.col("quantity").alias("trade_quantity"),

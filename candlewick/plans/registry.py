@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,14 +118,14 @@ def market_models(spark: SparkSession, refs: Refs, root: str, start=dims.DATE_ST
         Model("vw_gold_market_daily", facts.market_daily_wide, [*daily, "date_dim", "assets_dim"]),
         Model("aggregated_trade_value_by_pair_symbol", marts.trade_size_distribution, ["trades_fct"]),
         Model("asset_market_share", marts.market_share, [*star, "assets_dim"]),
-        Model("average_time_between_trades", marts.time_between_trades, star),
+        Model("average_time_between_trades", partial(marts.time_between_trades, stored=True), star),
         Model("average_trade_price_by_hour_and_asset", marts.price_by_hour, ["trades_fct", "time_dim", "date_dim"]),
         Model("daily_trading_volume_by_asset", marts.daily_volume, star),
         Model("intraday_trading_volume_pattern", marts.intraday_pattern, ["trades_fct", "time_dim"]),
         Model("large_trades_impact", marts.large_trades, star),
         Model("trading_intensity_by_hour", marts.trading_intensity, ["trades_fct", "time_dim", "date_dim"]),
         Model("trading_velocity", marts.trading_velocity, ["trades_fct"]),
-        Model("volatility_7_day", marts.volatility_rows, ["trades_fct"]),
+        Model("volatility_7_day", partial(marts.volatility_rows, stored=True), ["trades_fct"]),
     ]:
         p.add(m)
     return p

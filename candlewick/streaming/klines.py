@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.functions import scalars as S
-from candlewick.operators import blocks, dedup
+from candlewick.operators import blocks, dedup, joins
 from candlewick.plans import staging
 from candlewick.sources.schemas import RAW_MESSAGE
 from candlewick.tables import incremental
@@ -214,7 +214,7 @@ def first_last(messages: DataFrame, length: str, slide: str) -> DataFrame:
 def market_overview(candles: DataFrame) -> DataFrame:
     """Per coin from stored candles: newest price, change against an hour ago, volume of 24 hours."""
     newest = candles.groupBy("asset_symbol").agg(F.max("open_time").alias("_at"))
-    df = candles.join(newest, "asset_symbol")
+    df = joins.lookup_join(candles, newest, ["asset_symbol"], "inner", computed=True)
     age = lambda h: F.col("open_time") > F.col("_at") - F.expr(f"interval {h} hours")
     last_hour = age(1)
     out = df.filter(age(24)).groupBy("asset_symbol").agg(
@@ -237,4 +237,4 @@ def volume_bars(candles: DataFrame, n: int = 20, factor: float = 2) -> DataFrame
         return {"mean_volume": mean, "is_spike": F.col("volume") > mean * factor}
 
     # a day holds at most 1440 minute candles of a coin
-    return blocks.over_series(candles, series, n - 1, build, level=1)
+    return blocks.over_series(candles, series, n - 1, build, level=1, stored=True)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators import joins
+from candlewick.session import stage
 from candlewick.tables import drift
 from candlewick.tables.store import Table
 
@@ -28,10 +29,9 @@ def above_mark(df: DataFrame, target: DataFrame, column: str, strict: bool = Fal
     An empty target loads everything; ``strict`` keeps the comparison with an unknown mark, which
     loads nothing.
     """
-    mark = target.agg(F.max(column).alias("_mark"))
-    both = df.join(F.broadcast(mark))  # the mark is one row
-    above = F.col(column) > F.col("_mark")
-    return both.filter(above if strict else above | F.col("_mark").isNull()).drop("_mark")
+    mark = target.agg(F.max(column)).scalar()
+    above = F.col(column) > mark
+    return df.filter(above if strict else above | mark.isNull())
 
 
 def above_own_mark(
@@ -39,7 +39,7 @@ def above_own_mark(
 ) -> DataFrame:
     """Rows above the largest stored value of their own key; a new key is loaded unless strict."""
     marks = target.groupBy(*key).agg(F.max(column).alias("_mark"))
-    tagged = joins.lookup_join(df, marks, key, **lookup)
+    tagged = joins.lookup_join(df, marks, key, computed=True, **lookup)
     above = F.col(column) > F.col("_mark")
     return tagged.filter(above if strict else above | F.col("_mark").isNull()).drop("_mark")
 
@@ -153,6 +153,7 @@ def load(
     if strategy == "insert_overwrite":
         table.replace(df, cluster_by)
         return
+    df = stage(df, "batch")  # the batch is read for its partitions, its keys and its rows
     if strategy == "microbatch":
         if not event_time or not period:
             raise ValueError("microbatch needs an event time column and a period")

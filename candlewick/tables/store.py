@@ -64,9 +64,12 @@ class Table:
 
     # -- writing -------------------------------------------------------------
 
-    def _layout(self, df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
+    def _layout(self, df: DataFrame, cluster_by: Sequence[str] = ()) -> DataFrame:
         if cluster_by:
             return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        if self.partition_by:
+            # few files per partition; a partition with a large part of all rows is split by size
+            return df.hint("rebalance", *self.partition_by)
         return df
 
     def replace(self, df: DataFrame, cluster_by: Sequence[str] = ()) -> None:
@@ -83,7 +86,7 @@ class Table:
         writer.parquet(at)
 
     def append(self, df: DataFrame) -> None:
-        writer = df.select(*self.schema().fieldNames()).write.mode("append")
+        writer = self._layout(df.select(*self.schema().fieldNames())).write.mode("append")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.location())
@@ -105,7 +108,7 @@ class Table:
         rows = stage(df.select(*self.schema().fieldNames()), "partitions")
         at = self.location()
         option = {"partitionOverwriteMode": "dynamic"}
-        rows.write.mode("overwrite").options(**option).partitionBy(*self.partition_by).parquet(at)
+        self._layout(rows).write.mode("overwrite").options(**option).partitionBy(*self.partition_by).parquet(at)
         kept = {tuple(r) for r in rows.select(*self.partition_by).distinct().collect()}
         for values in touched:
             if tuple(values) not in kept:

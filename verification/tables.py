@@ -52,8 +52,8 @@ def inc_gate(spark, sf):
 @check("inc_high_water_global", "SELECT event_id, event_type, ts FROM events")
 def inc_high_water_global(spark, sf):
     e = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    half = e.agg(F.expr("max(event_id) div 2").alias("event_id"))
-    t = stored(spark, e.join(F.broadcast(half.withColumnRenamed("event_id", "h"))).filter("event_id <= h").drop("h"), "marks")
+    half = e.agg(F.expr("max(event_id) div 2")).scalar()
+    t = stored(spark, e.filter(F.col("event_id") <= half), "marks")
     t.append(incremental.above_mark(e, t.read(), "event_id"))
     return t.read()
 

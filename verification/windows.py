@@ -52,7 +52,8 @@ def win_row_number_both_ends(spark, sf):
 def win_row_number_global(spark, sf):
     b = table(spark, sf, "orders").agg(F.min("o_orderdate").alias("start"), F.max("o_orderdate").alias("end"))
     spine = G.date_spine(b, "day")
-    return spine.join(F.broadcast(b.select("start"))).select("date_day", F.datediff("date_day", "start").alias("n"))
+    start = table(spark, sf, "orders").agg(F.min("o_orderdate")).scalar()
+    return spine.withColumn("start", start).select("date_day", F.datediff("date_day", "start").alias("n"))
 
 
 @check("win_lag_prev_close", using("lagged", "SELECT asset_pair_symbol, open_date, close, prev_close FROM lagged"))
