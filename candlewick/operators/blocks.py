@@ -37,8 +37,11 @@ class Series:
 def pick_level(df: DataFrame, series: Series, block_rows: int = BLOCK_ROWS) -> int:
     """The coarsest level whose largest block stays within ``block_rows``: a counted check, no guess.
 
-    Rows are counted once at the finest countable level; the coarser sizes are sums of those.
+    A table that is small as a whole (a count from file footers) needs no further look. Otherwise
+    rows are counted once at the finest countable level; the coarser sizes are sums of those.
     """
+    if df.count() <= block_rows:
+        return 0
     names = [f"_level{i}" for i in range(len(series.levels) - 1)]
     counted = df.groupBy(*series.keys, *[c.alias(n) for c, n in zip(series.levels, names)]).agg(F.count("*").alias("_n"))
     largest = [
