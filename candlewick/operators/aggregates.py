@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators.dedup import first_n_per_key
+from candlewick.session import stage
 
 
 def joined_key(parts: Sequence[tuple[str | Column, int]]) -> Column:
@@ -35,7 +36,7 @@ def order_key(ts_micros: Column, id_col: Column) -> Column:
 
 def group_share(df: DataFrame, group: Sequence[str], period: Sequence[str], value: Column, name: str) -> DataFrame:
     """Group totals, the total of each period and the share in percent."""
-    per_group = df.groupBy(*group, *period).agg(F.sum(value).alias(name))
+    per_group = stage(df.groupBy(*group, *period).agg(F.sum(value).alias(name)), "totals")  # read twice
     per_period = per_group.groupBy(*period).agg(F.sum(name).alias("period_total"))
     return per_group.join(per_period, list(period)).withColumn(
         "share_pct", F.try_divide(F.col(name), F.col("period_total")) * 100

@@ -28,18 +28,22 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     computed: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join facts to a dimension on same-named keys.
 
     A dimension of counted size up to ``broadcast_rows`` is broadcast. A larger one is copied once
     per salt and the facts spread over the salts, so a key with a third of all facts is shared by
     ``salts`` tasks. Both ways give the same rows. A ``computed`` dimension (an aggregate of the
-    facts, say) is written once first, so counting it does not compute it twice.
+    facts, say) is written once first, so counting it does not compute it twice. ``small`` passes
+    on the outcome of a count already made.
     """
     if computed:
         dim = stage(dim, "lookup")
+    if small is None:
+        small = small_enough(dim, broadcast_rows)
     columns = [*facts.columns, *[c for c in dim.columns if c not in keys]]
-    if small_enough(dim, broadcast_rows):
+    if small:
         return facts.join(F.broadcast(dim), list(keys), how).select(*columns)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*(salt_on or facts.columns)), F.lit(salts)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -95,9 +99,11 @@ def as_of_version(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join each fact to the version of its key that was valid at the fact's time."""
-    small = small_enough(versions, broadcast_rows)
+    if small is None:
+        small = small_enough(versions, broadcast_rows)
     inside: Column = (F.col(at) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(at) < F.col(valid_to)))
     right = versions.withColumnRenamed(key, "_key")
     condition = (F.col(key) == F.col("_key")) & inside

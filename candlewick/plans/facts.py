@@ -52,8 +52,10 @@ def fct_ohlcv_hourly(
     if existing is not None:
         src = joins.absent(src, existing, ["open_date", "open_time", "base_asset_symbol"])
     now = current_assets(assets_dim)
-    keyed = with_asset_key(src, now, "base_asset_symbol", "base_asset_fk").filter(F.col("base_asset_fk").isNotNull())
-    keyed = with_asset_key(keyed, now, "quote_asset_symbol", "quote_asset_fk")
+    small = joins.small_enough(now)
+    keyed = with_asset_key(src, now, "base_asset_symbol", "base_asset_fk", small=small)
+    keyed = keyed.filter(F.col("base_asset_fk").isNotNull())
+    keyed = with_asset_key(keyed, now, "quote_asset_symbol", "quote_asset_fk", small=small)
     keyed = with_date_key(keyed, date_dim, "open_date", "open_date_fk")
     return keyed.select(
         S.surrogate_key("base_asset_fk", "open_date", "open_time").alias("ohlcv_sk"),
@@ -94,15 +96,16 @@ def fct_trades(
         }
     )
     dim = current_assets(assets_dim) if versions == "current" else assets_dim
+    small = joins.small_enough(dim)
     for symbol, name in (("base_asset", "base_asset_fk"), ("quote_asset", "quote_asset_fk")):
         side = dim.select(
             F.col("symbol").alias(symbol), F.col("asset_sk").alias(name),
             F.col("rank_valid_from").alias("_from"), F.col("rank_valid_to").alias("_to"),
         )
         if versions == "as_of":
-            base = joins.as_of_version(base, side, symbol, "_at", "_from", "_to").drop("_from", "_to")
+            base = joins.as_of_version(base, side, symbol, "_at", "_from", "_to", small=small).drop("_from", "_to")
         else:
-            base = joins.lookup_join(base, side.drop("_from", "_to"), [symbol])
+            base = joins.lookup_join(base, side.drop("_from", "_to"), [symbol], small=small)
     base = with_date_key(base, date_dim, "transaction_date", "date_fk")
     return base.select(
         S.surrogate_key("agg_trade_id", "pair_symbol", "price").alias("trades_sk"),
@@ -227,6 +230,7 @@ def with_market_share(df: DataFrame, daily: DataFrame | None = None) -> DataFram
     """Share of the day's total over all pairs of ``daily`` (default: of df).
 
     The totals are one pre-aggregated row per day, joined back; no task sees all pairs of a day.
+    The daily rows are read twice, so they should be a stored table.
     """
     totals = (daily if daily is not None else df).groupBy("open_date").agg(F.sum("quote_asset_volume").alias("_day_total"))
     return (

@@ -39,6 +39,7 @@ def market_share(trades: DataFrame, date_dim: DataFrame, assets_dim: DataFrame)
         .groupBy("base_asset_fk", "trade_year", "trade_month")
         .agg(F.sum(_value()).alias("total_value_traded"))
     )
+    per_asset = stage(per_asset, "totals")  # small, and read twice
     per_month = per_asset.groupBy("trade_year", "trade_month").agg(F.sum("total_value_traded").alias("total_market_value"))
     names = assets_dim.select(F.col("asset_sk").alias("base_asset_fk"), "asset_name")
     return (

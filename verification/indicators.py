@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from candlewick.functions import expressions as X
 from candlewick.plans import facts
 from candlewick.plans import indicators as I
+from candlewick.session import stage
 from verification.base import DAY_KEYS, SIZE_SQL, candles_long, check, daily, r, rounded, rr, stg_trades, table, using
 
 W = "PARTITION BY asset_pair_symbol ORDER BY open_date"
@@ -233,7 +234,7 @@ def ind_regime_share(spark, sf):
 def ind_period_performance(spark, sf):
     from candlewick.operators.sets import concat
 
-    d = daily(spark, sf)
+    d = stage(daily(spark, sf), "daily")
     out = concat([I.period_performance(d, k).withColumn("kind", F.lit(k)) for k in ("week", "month", "year")])
     return rounded(out, "growth_of_one", "return_pct")
 
@@ -254,6 +255,7 @@ def ind_price_volume_confirm(spark, sf):
 @check("ind_price_vs_vwap", using("daily, candles_long", f"""SELECT {KEYS}, {r('close - v', 'distance', 4)} FROM daily JOIN (SELECT {KEYS}, {_VWAP} AS v FROM candles_long GROUP BY 1, 2) USING ({KEYS})"""))
 def ind_price_vs_vwap(spark, sf):
     c = candles_long(spark, sf)
+    c = stage(c, "hourly")
     df = I.price_vs_vwap(c, facts.candles_daily(c, DAY_KEYS))
     return rounded(df.select(*DAY_KEYS, (F.col("close") - F.col("vwap")).alias("distance")), "distance", places=4)
 
@@ -264,7 +266,7 @@ def ind_price_vs_vwap(spark, sf):
     JOIN line USING ({KEYS}) JOIN {ema_sql('line', 'macd', 9, 'signal')} USING ({KEYS})""").replace("\nSELECT", f",\n{_LINE.replace(', close, ', ', ')}\nSELECT", 1))
 def ind_signal_checklist(spark, sf):
     # the first rows of a pair compare equal means; both engines agree on them within the grid only
-    return pick(I.signal_checklist(daily(spark, sf)), ["rsi_signal", "volume_signal", "above_sma_200", "macd_above_signal"])
+    return pick(I.signal_checklist(stage(daily(spark, sf), "daily")), ["rsi_signal", "volume_signal", "above_sma_200", "macd_above_signal"])
 
 
 @check("ind_micro_volatility", using("trades", f"SELECT pair_symbol, {AT} // 3600 * 3600 AS bucket, {r('stddev_samp(price)', 'price_stddev')}, max(price) - min(price) AS swing FROM trades GROUP BY 1, 2"))
@@ -305,4 +307,4 @@ def ind_price_stddev_asset(spark, sf):
 @check("ind_asset_correlation", using("lagged", f"""SELECT a.asset_pair_symbol, b.asset_pair_symbol AS base_pair, {r('corr(a.log_return, b.log_return)', 'correlation')}, count(*) AS days
     FROM lagged a JOIN lagged b ON a.open_date = b.open_date WHERE b.asset_pair_symbol IN ('AFUSDT', 'NOUSDT') GROUP BY 1, 2"""))
 def ind_asset_correlation(spark, sf):
-    return rounded(I.asset_correlation(daily(spark, sf), ["AFUSDT", "NOUSDT"]), "correlation")
+    return rounded(I.asset_correlation(stage(daily(spark, sf), "daily"), ["AFUSDT", "NOUSDT"]), "correlation")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from candlewick.plans import dims, facts, marts, staging
+from candlewick.session import stage
 from verification.base import (
     DAY_KEYS, SIZE_SQL, assets_dim, calendar, candles_1m, candles_long, check, daily, daily_series, hourly_fct, key_sql, r,
     rounded, rr, stg_trades, trades_fct, using,
@@ -163,7 +164,7 @@ _LIQ = ["range_pct", "avg_trade_size_usd", "liquidity_usd", "buy_liquidity_usd",
     quote_asset_volume / sum(quote_asset_volume) OVER (PARTITION BY open_date) AS liquidity_market_share
     FROM {_asset_key_sql('pressed')}) x"""))
 def liquidity_daily(spark, sf):
-    d = facts.candles_daily(hourly_fct(spark, sf))
+    d = stage(facts.candles_daily(hourly_fct(spark, sf)), "daily")
     df = facts.fct_liquidity_daily(d)
     return rounded(df.select("liquidity_sk", "base_asset_fk", *DAY_KEYS, "open", "high", "low", "close", "num_trades", *_LIQ), *_LIQ)
 
@@ -199,14 +200,12 @@ def _wide(df):
 
 @check("market_daily_wide", _WIDE_SQL)
 def market_daily_wide(spark, sf):
-    d = facts.fct_ohlcv_daily(hourly_fct(spark, sf))
+    d = stage(facts.fct_ohlcv_daily(hourly_fct(spark, sf)), "daily")
     return _wide(facts.market_daily_wide(d, calendar(spark), assets_dim(spark)))
 
 
 @check("join_wide_market_view", _WIDE_SQL)
 def join_wide_market_view(spark, sf):
-    from candlewick.session import stage
-
     d = stage(facts.fct_ohlcv_daily(hourly_fct(spark, sf)), "daily")
     t, l, p = facts.fct_technical_daily(d), facts.fct_liquidity_daily(d), facts.fct_pressure_daily(d)
     return _wide(facts.market_daily_joined(d, t, l, p, calendar(spark), assets_dim(spark)))

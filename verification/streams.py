@@ -35,10 +35,13 @@ def appended(spark, df):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def upserted(spark, df, keys):
-    out = Table(spark, scratch_path(spark, "stream_table"))
-    K.finish(K.upsert_to(df, out, keys, chk(spark)))
-    return out.read()
+def upserted(spark, df, keys, day_of=None):
+    """The stream's table; with ``day_of`` a batch rewrites only the days it holds."""
+    if day_of:
+        df = df.withColumn("day", F.to_date(day_of))
+    out = Table(spark, scratch_path(spark, "stream_table"), ["day"] if day_of else ())
+    K.finish(K.upsert_to(df, out, [*keys, "day"] if day_of else keys, chk(spark), partition_in_key=bool(day_of)))
+    return out.read().drop("day")
 
 
 _ALL = """SELECT kafka_offset * 4 + n AS "offset" FROM candles_1m, (VALUES (0), (1), (2), (3)) v(n)
@@ -111,7 +114,7 @@ _H = "asset_symbol, date_trunc('hour', open_time) AS hour"
 @check("st_hourly_candles", using("candles_1m", f"""SELECT {_H}, first(open ORDER BY c.open_time) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY c.close_time) AS close,
     CAST(sum(num_trades) AS BIGINT) AS num_trades, {', '.join(r(f'sum({c})', c) for c in KLINE_FLOOR)} FROM candles_1m c GROUP BY asset_symbol, date_trunc('hour', c.open_time)"""))
 def st_hourly_candles(spark, sf):
-    out = upserted(spark, K.hourly_windows(stream(spark, sf, False, 4)), ["asset_symbol", "hour"])
+    out = upserted(spark, K.hourly_windows(stream(spark, sf, False, 4)), ["asset_symbol", "hour"], "hour")
     return rounded(out, *KLINE_FLOOR)
 
 
@@ -129,12 +132,12 @@ def sliding_sql(length, slide, measures):
 
 @check("st_range_1h", sliding_sql("1 hour", "1 minute", "max(high) AS highest, min(low) AS lowest"))
 def st_range_1h(spark, sf):
-    return upserted(spark, K.price_range(stream(spark, sf, False)), ["asset_symbol", "window_end"])
+    return upserted(spark, K.price_range(stream(spark, sf, False)), ["asset_symbol", "window_end"], "window_end")
 
 
 @check("st_volatility", sliding_sql("1 hour", "1 minute", f"{r('stddev_samp(close) / nullif(avg(close), 0)', 'volatility')}, stddev_samp(close) / nullif(avg(close), 0) > 0.005::DOUBLE AS is_high"))
 def st_volatility(spark, sf):
-    return rounded(upserted(spark, K.price_volatility(stream(spark, sf, False)), ["asset_symbol", "window_end"]), "volatility")
+    return rounded(upserted(spark, K.price_volatility(stream(spark, sf, False)), ["asset_symbol", "window_end"], "window_end"), "volatility")
 
 
 _FIRST, _LAST = "first(open ORDER BY open_time)", "last(close ORDER BY open_time)"
@@ -142,13 +145,13 @@ _FIRST, _LAST = "first(open ORDER BY open_time)", "last(close ORDER BY open_time
 
 @check("st_change_1h", sliding_sql("1 hour", "10 minutes", f"{_FIRST} AS first_price, {_LAST} AS last_price, {r(f'({_LAST} - {_FIRST}) / nullif({_FIRST}, 0) * 100', 'change_pct')}"))
 def st_change_1h(spark, sf):
-    out = upserted(spark, K.first_last(stream(spark, sf, False), "1 hour", "10 minutes"), ["asset_symbol", "window_end"])
+    out = upserted(spark, K.first_last(stream(spark, sf, False), "1 hour", "10 minutes"), ["asset_symbol", "window_end"], "window_end")
     return rounded(out.drop("momentum"), "change_pct")
 
 
 @check("st_momentum_10m", sliding_sql("10 minutes", "1 minute", f"{_LAST} - {_FIRST} AS momentum"))
 def st_momentum_10m(spark, sf):
-    out = upserted(spark, K.first_last(stream(spark, sf, False), "10 minutes", "1 minute"), ["asset_symbol", "window_end"])
+    out = upserted(spark, K.first_last(stream(spark, sf, False), "10 minutes", "1 minute"), ["asset_symbol", "window_end"], "window_end")
     return out.select("asset_symbol", "window_end", "momentum")
 
 

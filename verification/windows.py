@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from candlewick.functions import expressions as X
 from candlewick.operators import dedup
 from candlewick.plans import facts, marts, staging
+from candlewick.session import stage
 from candlewick.sources import generators as G
 from verification.base import (
     DAY_KEYS, candles_1m, candles_long, check, daily, kline_messages, r, rounded, rr, stg_trades, table, using,
@@ -107,7 +108,7 @@ def win_cumulative_sum(spark, sf):
 @check("win_partition_total", using("daily", f"""SELECT asset_pair_symbol, open_date,
     {r('quote_asset_volume / nullif(sum(quote_asset_volume) OVER (PARTITION BY open_date), 0)', 'liquidity_market_share')} FROM daily"""))
 def win_partition_total(spark, sf):
-    out = facts.with_market_share(daily(spark, sf)).select(*DAY_KEYS, "liquidity_market_share")
+    out = facts.with_market_share(stage(daily(spark, sf), "daily")).select(*DAY_KEYS, "liquidity_market_share")
     return rounded(out, "liquidity_market_share")
 
 
