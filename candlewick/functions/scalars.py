@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,7 +205,3 @@ def try_cast_to(c, logical: str) -> Column:
 
 def equals(a, b, null_safe: bool = False) -> Column:
     return _col(a).eqNullSafe(_col(b)) if null_safe else _col(a) == _col(b)
-
-
-def with_default(df: DataFrame, columns: dict[str, object]) -> DataFrame:
-    return df.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in columns.items()})

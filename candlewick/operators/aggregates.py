@@ -44,12 +44,14 @@ def group_share(df: DataFrame, group: Sequence[str], period: Sequence[str], valu
 
 
 def listagg(
-    df: DataFrame, group: Sequence[str], measure: str, delimiter: str, order: Sequence[str], limit: int | None, name: str
+    df: DataFrame, group: Sequence[str], measure: str, delimiter: str, order: Sequence[str], limit: int, name: str
 ) -> DataFrame:
-    """Ordered text aggregation. With a limit only the first rows of a group are ever collected."""
-    if limit is not None:
-        df = first_n_per_key(df, group, order, limit)
-    # with a limit each group holds at most ``limit`` values here
+    """Ordered text of the first ``limit`` rows of each group.
+
+    The limit is applied before the shuffle and bounds what a group can collect. Where every group
+    is known to be small, Spark's own ``listagg`` gives the unlimited form.
+    """
+    df = first_n_per_key(df, group, order, limit)
     items = F.sort_array(F.collect_list(F.struct(*order, F.col(measure).cast("string").alias("_text"))))
     return df.groupBy(*group).agg(F.array_join(F.transform(items, lambda x: x["_text"]), delimiter).alias(name))
 

@@ -87,9 +87,9 @@ def market_models(spark: SparkSession, refs: Refs, root: str, start=dims.DATE_ST
     for m in [
         Model("stg_agg_trades", staging.stg_agg_trades, ["raw.agg_trades"], "view"),
         Model("stg_assets", staging.stg_assets, ["raw.scd_raw_assets"], "view"),
-        Model("stg_binance_kline", staging.stg_klines, ["raw.binance_kline"], "view"),
+        Model("stg_kline", staging.stg_klines, ["raw.kline"], "view"),
         Model(
-            "streamed_ohlcv", staging.streamed_ohlcv, ["stg_binance_kline"], "incremental", "merge",
+            "streamed_ohlcv", staging.streamed_ohlcv, ["stg_kline"], "incremental", "merge",
             ["asset_symbol", "open_time"], reads_itself=True,
         ),
         Model("stg_ohlcv", staging.stg_ohlcv, ["raw.ohlcv", "streamed_ohlcv"], "view"),

@@ -36,8 +36,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """One folder per application, so all of its intermediate tables can be removed together."""
+    return f"{scratch_root(spark)}/candlewick-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; call it once their results are stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -60,7 +60,7 @@ def test_project_builds_and_reruns(spark, sf):
     refs = Refs(spark)
     refs.add_source("raw", "agg_trades", lambda: base.raw_trades(spark, sf))
     refs.add_source("raw", "scd_raw_assets", lambda: base.scd_assets(spark))
-    refs.add_source("raw", "binance_kline", lambda: base.kline_messages(spark, sf))
+    refs.add_source("raw", "kline", lambda: base.kline_messages(spark, sf))
     refs.add_source("raw", "ohlcv", lambda: bronze_ohlcv(spark, sf))
     project = registry.market_models(spark, refs, scratch_path(spark, "project"), base.CAL_START, base.CAL_END)
     order = project.run()

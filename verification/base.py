@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,12 @@ CAL_START, CAL_END = "1992-01-01", "2027-12-31"
 
 def check(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, sf):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # the SQL side has no other zone
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return fn
