@@ -72,6 +72,8 @@ def merge_filters(total: np.ndarray, piece: np.ndarray) -> None:
 
 def repeated_filter(df: DataFrame, text: str, least: int, bits: int) -> bytes:
     """The filter of keys that may occur in two documents; 2**bits bits, whatever the number of lines."""
+    if not 9 <= bits <= 30:
+        raise ValueError("a filter has 2**9 to 2**30 bits")
     found = sum_tables(df, [df[text].cast("binary").alias("text")], lambda: SeenFilters(least, bits), merge_filters, SEGMENTS, np.uint8)
     size = (1 << bits) // SEGMENTS // 8
     return b"".join(found[s][size:].tobytes() if s in found else bytes(size) for s in range(SEGMENTS))
