@@ -9,8 +9,11 @@ from candlewick.functions import expressions as X
 from candlewick.functions import scalars as S
 from candlewick.operators import dedup, joins
 from candlewick.plans.staging import SUMMED, roll_up
+from candlewick.session import stage
+from candlewick.tables import incremental
 
 CUTOFF = "2025-01-01"  # fixed value: the hourly fact ends before this day
+# Key columns of the daily facts, in their order.
 PAIR_DAY = ["asset_pair_symbol", "open_date"]
 DAILY_KEYS = [
     "base_asset_fk", "quote_asset_fk", "open_date_fk", "asset_pair_symbol", "base_asset_symbol",
@@ -82,10 +85,7 @@ def fct_trades(
     from its last stored day on; the upsert that follows removes the overlap.
     """
     if existing is not None:
-        marks = existing.groupBy("pair_symbol").agg(F.max("transaction_date").alias("_mark"))
-        tagged = joins.lookup_join(stg, marks, ["pair_symbol"], computed=True)
-        newer = F.col("_mark").isNull() | (F.col("transaction_date") >= F.col("_mark"))
-        stg = tagged.filter(newer).drop("_mark")
+        stg = incremental.above_own_mark(stg, existing, ["pair_symbol"], "transaction_date", inclusive=True)
     ties = ["quantity", "first_trade_id", "last_trade_id", "transaction_date", "transaction_time"]
     base = dedup.first_per_key(stg, ["agg_trade_id", "pair_symbol", "price"], ties)
     base = base.withColumns(
@@ -240,6 +240,7 @@ def with_market_share(df: DataFrame, daily: DataFrame | None = None) -> DataFram
     )
 
 
+# Output columns of the liquidity fact, in their order.
 LIQUIDITY = [
     "asset_pair_symbol", "base_asset_fk", "quote_asset_fk", "base_asset_symbol", "quote_asset_symbol", "open_date",
     "open_date_fk", "open", "high", "low", "close", "base_asset_volume", "quote_asset_volume", "num_trades",
@@ -274,6 +275,7 @@ def pressure_columns(df: DataFrame) -> DataFrame:
     )
 
 
+# Output columns of the pressure fact, in their order.
 PRESSURE = [
     "asset_pair_symbol", "base_asset_fk", "quote_asset_fk", "base_asset_symbol", "quote_asset_symbol", "open_date",
     "open_date_fk", "taker_buy_base_volume", "taker_buy_quote_volume", "base_asset_volume", "quote_asset_volume",
@@ -289,21 +291,29 @@ def fct_pressure_daily(daily: DataFrame) -> DataFrame:
 def with_new_days(daily: DataFrame, existing: DataFrame | None, build, lookback: int) -> DataFrame:
     """Indicator rows of days newer than the stored ones, equal to those of a full run.
 
-    Each pair is read from its ``lookback`` last stored days on, so the row frames are complete.
+    Each pair is read from its ``lookback`` last stored days on, so the row frames are complete. Where those begin
+    is told from the stored pairs and days alone; the earliest of all bounds the scan of the daily candles.
     """
     if existing is None:
         return build(daily)
-    marks = existing.groupBy("asset_pair_symbol").agg(F.max("open_date").alias("_mark"))
-    tagged = daily.join(marks, "asset_pair_symbol", "left")
-    is_new = F.col("_mark").isNull() | (F.col("open_date") > F.col("_mark"))
-    old = dedup.first_n_per_key(tagged.filter(~is_new), ["asset_pair_symbol"], [F.desc("open_date")], lookback)
-    rows = build(tagged.filter(is_new).unionByName(old).drop("_mark"))
-    out = rows.join(marks, "asset_pair_symbol", "left").filter(is_new)
-    return out.drop("_mark")
+    pair = ["asset_pair_symbol"]
+    last = dedup.first_n_per_key(existing.select(*pair, "open_date"), pair, [F.desc("open_date")], lookback)
+    spans = stage(last.groupBy(*pair).agg(F.min("open_date").alias("_start"), F.max("open_date").alias("_mark")), "spans")
+    least = spans.agg(F.min("_start")).first()[0]
+    if least is None:
+        return build(daily)
+    known = joins.lookup_join(daily.filter(F.col("open_date") >= F.lit(least)), spans, pair, "inner")
+    rows = known.filter(F.col("open_date") >= F.col("_start")).drop("_start")
+    fresh = stage(joins.absent(daily.select(*pair).distinct(), spans, pair), "new-pairs")
+    if not fresh.isEmpty():
+        rows = rows.unionByName(joins.lookup_join(daily, fresh, pair, "inner"), allowMissingColumns=True)
+    out = joins.lookup_join(build(rows.drop("_mark")), spans.drop("_start"), pair)
+    return out.filter(F.col("_mark").isNull() | (F.col("open_date") > F.col("_mark"))).drop("_mark")
 
 
 # ---- wide view --------------------------------------------------------------
 
+# Output columns of the wide view, in their order.
 WIDE_DATE = ["day", "month", "monthname", "year", "quarter", "quartername"]
 WIDE_ASSET = ["asset_name", "num_market_pairs", "asset_launch_date", "supply_type", "market_cap_based_rank"]
 WIDE_MEASURES = [

@@ -121,37 +121,49 @@ def rsi(daily: DataFrame, n: int = 14) -> DataFrame:
     return df.withColumn(f"rsi_{n}", value).drop("_d", "_gain", "_loss")
 
 
-def _ewm(frames: dict[str, tuple[str, int]]):
-    def apply(pdf):
-        pdf = pdf.sort_values("open_date")
-        for name, (source, n) in frames.items():
-            pdf[name] = pdf[source].ewm(span=n, adjust=False).mean()
-        return pdf
-
-    return apply
+#: Rows of a block in an exponential mean; inverse powers of the decay stay far from overflow.
+EWM_BLOCK = 100
+
+
+def exponential_mean(df: DataFrame, source: str, n: int, name: str) -> DataFrame:
+    """The exponential mean of a daily column with span n, its first value the column's first.
+
+    It is recursive, so no row frame has it. Inside blocks of 100 rows it is a decaying sum; what a block passes on
+    is one number, and these are folded in order, one per 100 days of a pair. ``df`` is read twice: pass a stored one.
+    """
+    decay = 1 - 2 / (n + 1)
+    at = F.row_number().over(series_window()) - 1
+    rows = df.withColumn("_i", at).withColumns({"_b": F.floor(F.col("_i") / EWM_BLOCK), "_j": F.col("_i") % EWM_BLOCK})
+    inside = Window.partitionBy(PAIR, "_b").orderBy("_j").rowsBetween(Window.unboundedPreceding, 0)
+    power = lambda e: F.pow(F.lit(decay), e)
+    rows = rows.withColumn("_local", F.sum((1 - decay) * F.col(source) * power(-F.col("_j"))).over(inside) * power(F.col("_j")))
+    ends = rows.groupBy(PAIR, "_b").agg(
+        F.max_by("_local", "_j").alias("end"), F.count("*").alias("size"), F.min_by(source, "_j").alias("first"))
+    chain = ends.groupBy(PAIR).agg(F.sort_array(F.collect_list(F.struct("_b", "end", "size", "first"))).alias("blocks"))
+    passed = F.aggregate(
+        "blocks", F.struct(F.expr("CAST(array() AS array<double>)").alias("before"), F.col("blocks")[0]["first"].alias("last")),
+        lambda s, b: F.struct(
+            F.concat(s["before"], F.array(s["last"])).alias("before"), (power(b["size"]) * s["last"] + b["end"]).alias("last")),
+    )
+    carried = chain.select(PAIR, F.posexplode(passed["before"]).alias("_b", "_before"))
+    carried = carried.withColumn("_b", F.col("_b").cast("bigint"))
+    out = rows.join(carried, [PAIR, "_b"], "left")
+    return out.withColumn(name, F.col("_local") + power(F.col("_j") + 1) * F.col("_before")).select(*df.columns, name)
 
 
 def ema(daily: DataFrame, sizes: Sequence[int] = (12, 26)) -> DataFrame:
-    """Exponential means of the close. Recursive, so no row frame has it; a group is one pair's days."""
-    slim = daily.select(PAIR, "open_date", "close")
-    names = {f"ema_{n}": ("close", n) for n in sizes}
-    schema = f"{PAIR} string, open_date date, close double, " + ", ".join(f"{k} double" for k in names)
-    return slim.groupBy(PAIR).applyInPandas(_ewm(names), schema)
+    """Exponential means of the close."""
+    df = stage(daily.select(PAIR, "open_date", "close"), "closes")
+    for n in sizes:
+        df = exponential_mean(df, "close", n, f"ema_{n}")
+    return df
 
 
 def macd(daily: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    slim = daily.select(PAIR, "open_date", "close")
-
-    def apply(pdf):
-        pdf = _ewm({"_f": ("close", fast), "_s": ("close", slow)})(pdf)
-        pdf["macd"] = pdf["_f"] - pdf["_s"]
-        pdf["signal"] = pdf["macd"].ewm(span=signal, adjust=False).mean()
-        pdf["histogram"] = pdf["macd"] - pdf["signal"]
-        return pdf[[PAIR, "open_date", "close", "macd", "signal", "histogram"]]
-
-    return slim.groupBy(PAIR).applyInPandas(
-        apply, f"{PAIR} string, open_date date, close double, macd double, signal double, histogram double"
-    )
+    df = ema(daily, (fast, slow))
+    line = df.select(PAIR, "open_date", "close", (F.col(f"ema_{fast}") - F.col(f"ema_{slow}")).alias("macd"))
+    df = exponential_mean(stage(line, "macd"), "macd", signal, "signal")
+    return df.withColumn("histogram", F.col("macd") - F.col("signal"))
 
 
 def rate_of_change(daily: DataFrame, n: int = 10) -> DataFrame:
@@ -209,10 +221,12 @@ def price_volume_confirm(daily: DataFrame) -> DataFrame:
     return daily.withColumn("price_volume", label)
 
 
-def price_vs_vwap(candles: DataFrame, daily: DataFrame) -> DataFrame:
+def price_vs_vwap(candles: DataFrame, daily: DataFrame, tolerance: float = 0.0) -> DataFrame:
+    """Side of the close against the day's VWAP; within the tolerance it is neutral."""
     v = vwap(candles).select(PAIR, "open_date", "vwap")
     df = daily.join(v, [PAIR, "open_date"], "left")
-    side = F.when(F.col("close") > F.col("vwap"), "bullish").when(F.col("close") < F.col("vwap"), "bearish").otherwise("neutral")
+    above = F.col("close") - F.col("vwap")
+    side = F.when(above > tolerance, "bullish").when(above < -tolerance, "bearish").otherwise("neutral")
     return df.withColumn("vwap_side", side)
 
 
@@ -255,10 +269,10 @@ def _slim(trades: DataFrame, *more: str) -> DataFrame:
     return at_second(trades.select("pair_symbol", "agg_trade_id", "transaction_date", "transaction_time", *more))
 
 
-def trade_gaps(trades: DataFrame, level: int | None = None) -> DataFrame:
-    """Seconds since the pair's previous trade, over full timestamps."""
+def trade_gaps(trades: DataFrame, level: int | None = None, stored: bool = False) -> DataFrame:
+    """Seconds since the pair's previous trade, over full timestamps. ``stored`` trades are not copied first."""
     out = blocks.over_series(
-        _slim(trades), blocks.trade_series(), 1, lambda w: {"gap_seconds": F.col("at") - F.lag("at").over(w)}, level
+        _slim(trades), blocks.trade_series(), 1, lambda w: {"gap_seconds": F.col("at") - F.lag("at").over(w)}, level, stored=stored
     )
     return out.select("agg_trade_id", "pair_symbol", "transaction_date", "transaction_time", "gap_seconds")
 
@@ -292,10 +306,15 @@ def whale_proxy(trades: DataFrame, seconds: int = 3600) -> DataFrame:
     )
 
 
-def flow_streaks(trades: DataFrame, side: Column, level: int | None = None) -> DataFrame:
-    """Runs of consecutive trades on one side, per pair."""
+def flow_streaks(trades: DataFrame, side: Column, level: int | None = None, stored: bool = False) -> DataFrame:
+    """Runs of consecutive trades on one side, per pair. ``stored`` trades are not copied first.
+
+    The marked trades are written once in either case: the totals of the blocks and the runs inside read them.
+    """
     series = blocks.trade_series()
-    slim = stage(_slim(trades.withColumn("side", side), "side", "quantity"), "sides")
+    slim = _slim(trades.withColumn("side", side), "side", "quantity")
+    if not stored:
+        slim = stage(slim, "sides")
     if level is None:
         level = blocks.pick_level(slim, series)
     changed = lambda w: F.when(F.lag("side").over(w).eqNullSafe(F.col("side")), 0).otherwise(1)
@@ -340,11 +359,11 @@ def trader_segments(trades: DataFrame) -> DataFrame:
     return trades.groupBy(X.trade_size(v).alias("segment")).agg(F.count("*").alias("trades"), F.avg(v).alias("mean_value"))
 
 
-def price_impact(trades: DataFrame, level: int | None = None) -> DataFrame:
-    """Correlation of a trade's size with its absolute price move."""
+def price_impact(trades: DataFrame, level: int | None = None, stored: bool = False) -> DataFrame:
+    """Correlation of a trade's size with its absolute price move. ``stored`` trades are not copied first."""
     out = blocks.over_series(
         _slim(trades, "price", "quantity"), blocks.trade_series(), 1,
-        lambda w: {"_move": F.abs(F.col("price") - F.lag("price").over(w))}, level,
+        lambda w: {"_move": F.abs(F.col("price") - F.lag("price").over(w))}, level, stored=stored,
     )
     return out.groupBy("pair_symbol").agg(F.corr("quantity", "_move").alias("impact"))
 

@@ -10,6 +10,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.plans import dims, facts, marts, staging
+from candlewick.session import drop_scratch
 from candlewick.sources.refs import Refs
 from candlewick.tables import incremental
 from candlewick.tables.store import Table
@@ -77,6 +78,10 @@ class Project:
             self.refs.add_model(name, table.read)
         return done
 
+    def finish(self) -> None:
+        """Remove this application's intermediate tables, once its results are stored and read."""
+        drop_scratch(self.spark)
+
 
 def market_models(spark: SparkSession, refs: Refs, root: str, start=dims.DATE_START, end=dims.DATE_END) -> Project:
     """The whole layer set: silver views, dimensions, facts, marts."""
@@ -87,10 +92,11 @@ def market_models(spark: SparkSession, refs: Refs, root: str, start=dims.DATE_ST
     for m in [
         Model("stg_agg_trades", staging.stg_agg_trades, ["raw.agg_trades"], "view"),
         Model("stg_assets", staging.stg_assets, ["raw.scd_raw_assets"], "view"),
-        Model("stg_kline", staging.stg_klines, ["raw.kline"], "view"),
+        Model("stg_kline", partial(staging.stg_klines, coordinates=True), ["raw.kline"], "view"),
         Model(
-            "streamed_ohlcv", staging.streamed_ohlcv, ["stg_kline"], "incremental", "merge",
-            ["asset_symbol", "open_time"], reads_itself=True,
+            "streamed_ohlcv", staging.streamed_by_day, ["stg_kline"], "incremental", "merge",
+            ["asset_symbol", "open_time", "candle_date"], partition_by=["candle_date"], reads_itself=True,
+            options={"partition_in_key": True},
         ),
         Model("stg_ohlcv", staging.stg_ohlcv, ["raw.ohlcv", "streamed_ohlcv"], "view"),
         Model("assets_dim", dims.assets_dim, ["stg_assets"]),

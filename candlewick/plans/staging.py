@@ -26,6 +26,8 @@ KLINE_FIELDS = {
     "taker_buy_quote_volume": ("Q", "double"),
     "ignore": ("B", "string"),
 }
+#: Where a candle's message stands in its topic; newest first means by time, then partition, then offset.
+COORDINATES = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
 SUMMED = ["base_asset_volume", "quote_asset_volume", "num_trades", "taker_buy_base_volume", "taker_buy_quote_volume"]
 CANDLE_KEYS = ["asset_pair_symbol", "open_date", "open_time"]
 STG_OHLCV = [
@@ -61,29 +63,49 @@ def stg_assets(history: DataFrame) -> DataFrame:
 
 
 def parse_klines(messages: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
-    """Every message with its parsed body, the closed flag and the typed candle fields."""
+    """Every message with its parsed body, the closed flag and the typed candle fields.
+
+    Offsets count within a topic partition, so the partition and the message time go with them; both are NULL for
+    messages that were landed without.
+    """
     body = messages.withColumn("_body", S.parse_json(value))
     fields = {n: S.json_path("_body", f"$.data.k.{k}", t) for n, (k, t) in KLINE_FIELDS.items()}
     for n in ("open_time", "close_time"):
         fields[n] = S.from_epoch_ms(fields[n])
     fields["kafka_offset"] = F.col(offset).cast("bigint")
+    for n, kind in (("partition", "int"), ("timestamp", "timestamp")):
+        fields[f"kafka_{n}"] = (F.col(n) if n in messages.columns else F.lit(None)).cast(kind)
     fields["is_closed"] = S.json_path("_body", "$.data.k.x", "boolean")
     fields["is_malformed"] = F.col("_body").isNull()
     fields["has_candle"] = S.json_path("_body", "$.data.k", "variant").isNotNull()
     return body.withColumns(fields).drop("_body")
 
 
-def stg_klines(messages: DataFrame, value: str = "value", offset: str = "offset") -> DataFrame:
-    """Closed candles, 13 typed columns and the offset."""
+def stg_klines(messages: DataFrame, value: str = "value", offset: str = "offset", coordinates: bool = False) -> DataFrame:
+    """Closed candles, 13 typed columns and the offset; with ``coordinates`` the topic partition and time, too."""
     parsed = parse_klines(messages, value, offset)
-    return parsed.filter(F.col("is_closed")).select(*KLINE_FIELDS, "kafka_offset")
+    return parsed.filter(F.col("is_closed")).select(*KLINE_FIELDS, *(COORDINATES if coordinates else COORDINATES[-1:]))
+
+
+def newest_candles(klines: DataFrame) -> DataFrame:
+    """The newest row of each candle."""
+    order = [F.desc_nulls_last(c) for c in COORDINATES if c in klines.columns]
+    return dedup.first_per_key(klines, ["asset_symbol", "open_time"], order)
 
 
 def streamed_ohlcv(klines: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Newest row of each candle, among offsets above the stored ones."""
+    """Newest row of each candle, among offsets above the stored ones of their topic partition."""
     if existing is not None:
-        klines = incremental.above_mark(klines, existing, "kafka_offset")
-    return dedup.latest_by_offset(klines, ["asset_symbol", "open_time"], "kafka_offset")
+        if "kafka_partition" in klines.columns:
+            klines = incremental.above_own_mark(klines, existing, ["kafka_partition"], "kafka_offset")
+        else:
+            klines = incremental.above_mark(klines, existing, "kafka_offset")
+    return newest_candles(klines)
+
+
+def streamed_by_day(klines: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The same with the day of the candle, for a table that is partitioned by it."""
+    return streamed_ohlcv(klines, existing).withColumn("candle_date", F.to_date("open_time"))
 
 
 def batch_candles(raw: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,11 +26,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is named."""
+    """The shared folder named by the cluster. Only a local session gets a temporary one where none is named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder: executors of {master} don't share local ones")
         root = tempfile.mkdtemp(prefix="candlewick-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Column names and types of the landed tables, in their order.
 BRONZE_OHLCV = (
     "asset_symbol string, open_time timestamp_ntz, open double, high double, low double, close double, "
     "volume double, close_time timestamp_ntz, quote_asset_volume double, num_trades bigint, "
@@ -28,4 +29,4 @@ KLINE_ROW = [
     "open_time", "open", "high", "low", "close", "volume", "close_time", "quote_asset_volume",
     "num_trades", "taker_buy_base_volume", "taker_buy_quote_volume", "ignore",
 ]  # fixed values: field order of a candle array
-RAW_MESSAGE = "value string, offset bigint"
+RAW_MESSAGE = "value string, offset bigint, partition int, timestamp timestamp"  # a message and where its topic has it

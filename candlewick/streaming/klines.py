@@ -7,14 +7,17 @@ trigger: ``availableNow`` for a scheduled run, ``processingTime`` for a live one
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.functions import scalars as S
-from candlewick.operators import blocks, dedup, joins
+from candlewick.operators import blocks, joins
 from candlewick.plans import staging
+from candlewick.session import stage
 from candlewick.sources.schemas import RAW_MESSAGE
 from candlewick.tables import incremental
 from candlewick.tables.store import Table
@@ -42,7 +45,7 @@ def read_topic(
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     return (
         spark.readStream.format("kafka").options(**options).load()
-        .select(F.col("value").cast("string").alias("value"), "offset")
+        .select(F.col("value").cast("string").alias("value"), "offset", "partition", "timestamp")
     )
 
 
@@ -92,6 +95,7 @@ def closed_envelopes(messages: DataFrame) -> DataFrame:
     return body.filter(S.json_path("_body", "$.data.k.x", "boolean")).drop("_body")
 
 
+# The numbers that a candle message must have.
 NUMBERS = ("open", "high", "low", "close", "volume")
 
 
@@ -122,18 +126,22 @@ def typed(messages: DataFrame) -> DataFrame:
 
 # ---- last values ------------------------------------------------------------
 
+# Names of the last-value gauges.
 GAUGES = ("open", "high", "low", "close", "volume", "close_time")
 
 
 def last_values(messages: DataFrame) -> DataFrame:
     """Newest values per (symbol, interval); the last arrival wins.
 
+    Arrivals are ordered by message time, topic partition and offset: an offset alone counts within its partition.
     State is one row per series, and a map-side partial keeps one row per series and task.
     """
     good = sort_out(messages).filter(F.col("reason").isNull())
     interval = S.json_path(S.parse_json("value"), "$.data.k.i", "string")
     rows = good.withColumn("interval", interval)
-    picked = F.max_by(F.struct(*GAUGES, "kafka_offset"), "kafka_offset").alias("_last")
+    known = [F.coalesce(F.col(c), F.lit(least).cast(kind)) for c, kind, least in (
+        ("kafka_timestamp", "timestamp", "0001-01-01"), ("kafka_partition", "int", -1), ("kafka_offset", "bigint", -1))]
+    picked = F.max_by(F.struct(*GAUGES, *staging.COORDINATES), F.struct(*known)).alias("_last")
     last = rows.groupBy("asset_symbol", "interval").agg(picked)
     return last.select("asset_symbol", "interval", "_last.*")
 
@@ -141,17 +149,49 @@ def last_values(messages: DataFrame) -> DataFrame:
 # ---- upserts ----------------------------------------------------------------
 
 
+def store_candles(batch: DataFrame, table: Table) -> DataFrame:
+    """Brings a batch of messages into the candle table; the keys (symbol, open time) that it holds.
+
+    The newest message of a candle wins, whether it arrives first or last and however late; the table is partitioned
+    by the day of the open time, and the days of the batch alone are read and written.
+    """
+    newest = staging.newest_candles(staging.stg_klines(batch, coordinates=True))
+    rows = stage(newest.withColumn("open_date", F.to_date("open_time")), "candles")
+    if not table.exists():
+        table.replace(rows)
+    else:
+        touched = table.partitions(rows)
+        if touched:
+            both = table.only(touched).unionByName(rows)
+            table.replace_partitions(staging.newest_candles(both), touched)
+    return rows.select("asset_symbol", "open_time")
+
+
 def upsert_candles(messages: DataFrame, table: Table, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
-    """Closed candles by (symbol, open time): newest offset of the batch, then an upsert.
+    """Closed candles by (symbol, open time), the newest message of each.
+
+    There is no lateness bound: a correction of any age replaces its candle. A replay changes nothing.
+    """
+
+    def apply(batch: DataFrame, _: int) -> None:
+        store_candles(batch, table)
 
-    The table is partitioned by the day of the open time, so a batch rewrites the days it holds.
-    There is no lateness bound: a correction of any age replaces its candle.
+    return each_batch(messages, apply, checkpoint, "append", trigger)
+
+
+def append_new_candles(messages: DataFrame, table: Table, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
+    """Closed candles, each stored once: the first batch that holds a candle decides, however late it comes.
+
+    The table is partitioned by the day of the open time; only keys of the batch's days are compared.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        newest = dedup.latest_by_offset(typed(batch), ["asset_symbol", "open_time"], "kafka_offset")
-        rows = newest.withColumn("open_date", F.to_date("open_time"))
-        incremental.load(table, rows, "merge", ["asset_symbol", "open_time", "open_date"], partition_in_key=True)
+        newest = staging.newest_candles(staging.stg_klines(batch, coordinates=True))
+        rows = stage(newest.withColumn("open_date", F.to_date("open_time")), "candles")
+        if not table.exists():
+            table.replace(rows)
+        elif touched := table.partitions(rows):
+            table.append(joins.absent(rows, table.only(touched), ["asset_symbol", "open_time"]))
 
     return each_batch(messages, apply, checkpoint, "append", trigger)
 
@@ -159,62 +199,94 @@ def upsert_candles(messages: DataFrame, table: Table, checkpoint: str, trigger:
 # ---- time windows -----------------------------------------------------------
 
 
-def unique_candles(messages: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Closed candles, each once, within the lateness bound."""
-    df = typed(messages).withColumn("open_ts", F.col("open_time").cast("timestamp"))
-    return df.withWatermark("open_ts", lateness).dropDuplicatesWithinWatermark(["asset_symbol", "open_time"])
+@dataclass(frozen=True)
+class Windows:
+    """Time windows over stored candles: length, slide, what is measured, and the columns made of it."""
 
+    length: str
+    slide: str
+    measures: Sequence[Column]
+    finish: Callable[[DataFrame], DataFrame] = lambda df: df
+    days: int = 1  # whole days that a window may reach to either side of a candle's day
 
-def hourly_windows(messages: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Minute candles to hours with a watermark; the windowed form of the batch roll-up."""
-    df = typed(messages).withColumn("open_ts", F.col("open_time").cast("timestamp")).withWatermark("open_ts", lateness)
+    def keyed(self, candles: DataFrame) -> DataFrame:
+        """Each candle once per window that holds it; a window is named by its end."""
+        at = F.window(F.col("open_time").cast("timestamp"), self.length, self.slide)
+        return candles.withColumn("_w", at).withColumn("window_end", F.col("_w.end").cast("timestamp_ntz")).drop("_w")
+
+    def of(self, candles: DataFrame, changed: DataFrame | None = None) -> DataFrame:
+        """All windows of the candles, or those that hold a changed candle."""
+        rows = self.keyed(candles)
+        if changed is not None:
+            touched = self.keyed(changed).select("asset_symbol", "window_end").distinct()
+            rows = rows.join(touched, ["asset_symbol", "window_end"], "left_semi")
+        return self.finish(rows.groupBy("asset_symbol", "window_end").agg(*self.measures))
+
+
+def run_windows(
+    messages: DataFrame, windows: Windows, candles: Table, out: Table, checkpoint: str, trigger: dict = ONCE
+) -> StreamingQuery:
+    """Keeps a table of windows up to date with a candle table.
+
+    Each batch first enters the candle table; then the windows that hold one of its candles are computed again from
+    the stored candles. A superseded candle is never counted, a late one always is, and a replay gives the same
+    rows. ``out`` is partitioned by ``window_date``; only the days around the batch's candles are read.
+    """
+
+    def apply(batch: DataFrame, _: int) -> None:
+        changed = store_candles(batch, candles)
+        days = {date.fromisoformat(r.d) for r in changed.select(F.to_date("open_time").cast("string").alias("d")).distinct().collect() if r.d}
+        around = {(str(d + timedelta(days=k)),) for d in days for k in range(-windows.days, windows.days + 1)}
+        rows = windows.of(candles.only(around), changed).withColumn("window_date", F.to_date("window_end"))
+        incremental.load(out, rows, "merge", ["asset_symbol", "window_end", "window_date"], partition_in_key=True)
+
+    return each_batch(messages, apply, checkpoint, "append", trigger)
+
+
+def hourly_windows() -> Windows:
+    """Minute candles to hours; the windowed form of the batch roll-up."""
     sums = ["volume", "quote_asset_volume", "num_trades", "taker_buy_base_volume", "taker_buy_quote_volume"]
-    hourly = df.groupBy("asset_symbol", F.window("open_ts", "1 hour")).agg(
+    measures = [
         F.min_by("open", "open_time").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.max_by("close", "close_time").alias("close"),
         *[F.sum(c).alias(c) for c in sums],
-    )
-    at = F.col("window.start").cast("timestamp_ntz")
-    return hourly.select("asset_symbol", at.alias("hour"), "open", "high", "low", "close", *sums)
-
+    ]
+    start = F.col("window_end") - F.expr("interval 1 hour")
+    return Windows("1 hour", "1 hour", measures, lambda df: df.withColumn("hour", start))
 
-def sliding(messages: DataFrame, length: str, slide: str, measures: Sequence[Column], lateness: str = "2 hours") -> DataFrame:
-    df = typed(messages).withColumn("open_ts", F.col("open_time").cast("timestamp")).withWatermark("open_ts", lateness)
-    out = df.groupBy("asset_symbol", F.window("open_ts", length, slide)).agg(*measures)
-    at = F.col("window.end").cast("timestamp_ntz")
-    return out.withColumn("window_end", at).drop("window")
 
-
-def price_range(messages: DataFrame, slide: str = "1 minute") -> DataFrame:
+def price_range(slide: str = "1 minute") -> Windows:
     """Highest and lowest price of the last hour."""
-    return sliding(messages, "1 hour", slide, [F.max("high").alias("highest"), F.min("low").alias("lowest")])
+    return Windows("1 hour", slide, [F.max("high").alias("highest"), F.min("low").alias("lowest")])
 
 
-def price_volatility(messages: DataFrame, slide: str = "1 minute", high_above: float = 0.005) -> DataFrame:
+def price_volatility(slide: str = "1 minute", high_above: float = 0.005) -> Windows:
     """Stddev of the close over its mean in the last hour, and whether it is high."""
-    df = sliding(
-        messages, "1 hour", slide, [F.stddev_samp("close").alias("_sd"), F.avg("close").alias("_mean")]
-    )
     ratio = F.try_divide("_sd", "_mean")
-    return df.select("asset_symbol", "window_end", ratio.alias("volatility"), (ratio > high_above).alias("is_high"))
+    return Windows(
+        "1 hour", slide, [F.stddev_samp("close").alias("_sd"), F.avg("close").alias("_mean")],
+        lambda df: df.select("asset_symbol", "window_end", ratio.alias("volatility"), (ratio > high_above).alias("is_high")),
+    )
 
 
-def first_last(messages: DataFrame, length: str, slide: str) -> DataFrame:
+def first_last(length: str, slide: str) -> Windows:
     """First and last price of a sliding window and their difference."""
-    df = sliding(
-        messages, length, slide,
-        [F.min_by("open", "open_time").alias("first_price"), F.max_by("close", "open_time").alias("last_price")],
-    )
     change = F.col("last_price") - F.col("first_price")
-    return df.withColumns({"momentum": change, "change_pct": F.try_divide(change, F.col("first_price")) * 100})
+    return Windows(
+        length, slide, [F.min_by("open", "open_time").alias("first_price"), F.max_by("close", "open_time").alias("last_price")],
+        lambda df: df.withColumns({"momentum": change, "change_pct": F.try_divide(change, F.col("first_price")) * 100}),
+    )
 
 
 def market_overview(candles: DataFrame) -> DataFrame:
     """Per coin from stored candles: newest price, change against an hour ago, volume of 24 hours."""
-    newest = candles.groupBy("asset_symbol").agg(F.max("open_time").alias("_at"))
-    df = joins.lookup_join(candles, newest, ["asset_symbol"], "inner", computed=True)
+    newest = stage(candles.groupBy("asset_symbol").agg(F.max("open_time").alias("_at")), "newest")
+    least = newest.agg(F.min("_at")).first()[0]
+    if least is not None:  # a literal bound: older candles aren't read
+        candles = candles.filter(F.col("open_time") > F.lit(least - timedelta(hours=24)).cast(candles.schema["open_time"].dataType))
+    df = joins.lookup_join(candles, newest, ["asset_symbol"], "inner")
     age = lambda h: F.col("open_time") > F.col("_at") - F.expr(f"interval {h} hours")
     last_hour = age(1)
     out = df.filter(age(24)).groupBy("asset_symbol").agg(

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.operators import joins
+from candlewick.operators import dedup, joins
 from candlewick.session import stage
 from candlewick.tables import drift
 from candlewick.tables.store import Table
 
-MAX_PARTITIONS = 10_000
 STRATEGIES = ("append", "merge", "delete_insert", "insert_overwrite", "microbatch")
 
 
@@ -23,25 +22,50 @@ def is_incremental(table: Table, full_refresh: bool = False) -> bool:
     return table.exists() and not full_refresh
 
 
+def mark_of(target: DataFrame, column: str) -> Column | None:
+    """The target's largest value as a literal, so that a filter with it reaches the scan; None without a value."""
+    mark = target.agg(F.max(column)).first()[0]
+    return None if mark is None else F.lit(mark).cast(target.schema[column].dataType)
+
+
 def above_mark(df: DataFrame, target: DataFrame, column: str, strict: bool = False) -> DataFrame:
     """Rows above the target's largest value.
 
     An empty target loads everything; ``strict`` keeps the comparison with an unknown mark, which
     loads nothing.
     """
-    mark = target.agg(F.max(column)).scalar()
-    above = F.col(column) > mark
-    return df.filter(above if strict else above | mark.isNull())
+    mark = mark_of(target, column)
+    if mark is None:
+        return df.filter(F.lit(False)) if strict else df
+    return df.filter(F.col(column) > mark)
 
 
 def above_own_mark(
-    df: DataFrame, target: DataFrame, key: Sequence[str], column: str, strict: bool = False, **lookup
+    df: DataFrame, target: DataFrame, key: Sequence[str], column: str, strict: bool = False, inclusive: bool = False, **lookup
 ) -> DataFrame:
-    """Rows above the largest stored value of their own key; a new key is loaded unless strict."""
-    marks = target.groupBy(*key).agg(F.max(column).alias("_mark"))
-    tagged = joins.lookup_join(df, marks, key, computed=True, **lookup)
-    above = F.col(column) > F.col("_mark")
-    return tagged.filter(above if strict else above | F.col("_mark").isNull()).drop("_mark")
+    """Rows above (``inclusive``: from) the largest stored value of their own key; a new key is loaded unless strict.
+
+    The least mark of all keys bounds the scan of the known keys. Keys without a stored value are looked for among
+    the key columns alone, and only where there are some are their rows read.
+    """
+    key = list(key)
+    marks = stage(target.groupBy(*key).agg(F.max(column).alias("_mark")).filter(F.col("_mark").isNotNull()), "marks")
+    least = marks.agg(F.min("_mark")).first()[0]
+    if least is None:
+        return df.filter(F.lit(False)) if strict else df
+    bound = F.lit(least).cast(target.schema[column].dataType)
+    above = (lambda m: F.col(column) >= m) if inclusive else (lambda m: F.col(column) > m)
+    known = joins.lookup_join(df.filter(above(bound)), marks, key, "inner", **lookup).filter(above(F.col("_mark"))).drop("_mark")
+    if strict:
+        return known
+    fresh = stage(joins.absent(df.select(*key).distinct(), marks, key), "new-keys")
+    if fresh.isEmpty():
+        return known
+    null_key = F.lit(False)
+    for k in key:
+        null_key |= F.col(k).isNull()
+    whole = joins.lookup_join(df, fresh, key, "inner", **lookup)
+    return known.unionByName(whole).unionByName(df.filter(null_key))
 
 
 def unseen(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -105,14 +129,25 @@ def period_replaced(target: DataFrame, batch: DataFrame, event_time: str, start,
 # ---- writing ----------------------------------------------------------------
 
 
-def _touched(table: Table, rows: DataFrame) -> list | None:
-    """Partitions the rows fall in, or None when the table must be rewritten as a whole."""
-    if not table.partition_by:
-        return None
-    found = rows.select(*table.partition_by).distinct().limit(MAX_PARTITIONS + 1).collect()
-    if len(found) > MAX_PARTITIONS or any(v is None for r in found for v in r):
-        return None
-    return [tuple(r) for r in found]
+class DuplicateKeys(ValueError):
+    """A batch holds several rows for one key, so it isn't known which of them to keep."""
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()) -> DataFrame:
+    """The batch with one row per key: the newest by the given columns, or a refusal where there are several.
+
+    Rows with a NULL in the key match nothing and each other neither; they are left alone.
+    """
+    known = F.lit(True)
+    for k in keys:
+        known &= F.col(k).isNotNull()
+    if newest_by:
+        newest = dedup.first_per_key(df.filter(known), keys, [F.desc_nulls_last(c) for c in newest_by])
+        return newest.unionByName(df.filter(~known))
+    several = df.filter(known).groupBy(*keys).count().filter("count > 1").agg(F.count("*").alias("n"), F.max("count").alias("most")).first()
+    if several.n:
+        raise DuplicateKeys(f"{several.n} keys ({', '.join(keys)}) occur up to {several.most} times in the batch")
+    return df
 
 
 def default_strategy(warehouse: bool = True) -> str:
@@ -133,9 +168,15 @@ def load(
     period: tuple | None = None,
     partition_in_key: bool = False,
     cluster_by: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
+    newest_by: Sequence[str] = (),
 ) -> None:
     """Bring the rows of df into the table.
 
+    A merge needs one row per key: a batch with several is refused, or reduced to the newest by the columns of
+    ``newest_by``. ``columns`` restricts an insert-overwrite or append to these columns of the batch; the table's
+    others become NULL.
+
     ``partition_in_key`` states that the partition columns are part of, or computed from, the
     unique key. Then a merge reads and rewrites only the partitions present in the batch;
     otherwise a new version of the whole table is written.
@@ -146,6 +187,13 @@ def load(
     strategy = strategy or default_strategy()
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}")
+    if columns is not None:
+        if strategy not in ("append", "insert_overwrite"):
+            raise ValueError("a column subset goes with append and insert_overwrite")
+        named = {c.lower() for c in columns}
+        if unknown := named - {f.name.lower() for f in table.schema()}:
+            raise ValueError(f"the table has no column {', '.join(sorted(unknown))}")
+        df = df.select(*[(F.col(f.name) if f.name.lower() in named else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema()])
     df = drift.reconcile(table, df, on_schema_change)
     if strategy == "append" or (strategy in ("merge", "delete_insert") and not unique_key):
         table.append(df)
@@ -161,15 +209,14 @@ def load(
         if table.partition_by == [event_time]:
             t = F.col(event_time)
             old = table.read().filter((t >= F.lit(start)) & (t < F.lit(end)))
-            touched = _touched(table, old.select(event_time).unionByName(df.select(event_time)))
-            if touched is not None:
-                table.replace_partitions(
-                    period_replaced(table.only(touched), df, event_time, start, end), touched
-                )
-                return
+            touched = table.partitions(old.select(event_time).unionByName(df.select(event_time)))
+            table.replace_partitions(period_replaced(table.only(touched), df, event_time, start, end), touched)
+            return
         table.replace(period_replaced(table.read(), df, event_time, start, end), cluster_by)
         return
-    touched = _touched(table, df) if partition_in_key else None
+    if strategy == "merge":
+        df = one_per_key(df, unique_key, newest_by)
+    touched = table.partitions(df) if partition_in_key and table.partition_by else None
     target = table.read() if touched is None else table.only(touched)
     if strategy == "merge":
         rows = merged(target, df, unique_key, update_columns, exclude_columns, predicate)

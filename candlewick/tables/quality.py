@@ -51,17 +51,24 @@ class Severity:
     warn_if: str = "failures != 0"
     error_if: str = "failures != 0"
     limit: int | None = None
+    fail_calc: str = "count(*)"  # what counts as the failures: an aggregate over the failing rows
 
 
 def severity(failing: DataFrame, rule: Severity = Severity()) -> DataFrame:
-    """One row: failure count and the two flags."""
+    """One row: the failures (their count unless the rule says otherwise) and the two flags."""
     rows = failing.limit(rule.limit) if rule.limit is not None else failing
-    counted = rows.agg(F.count("*").alias("failures"))
+    counted = rows.agg(F.coalesce(F.expr(rule.fail_calc), F.lit(0)).alias("failures"))
     return counted.select(
         "failures", F.expr(rule.warn_if).alias("should_warn"), F.expr(rule.error_if).alias("should_error")
     )
 
 
+def failures_view(failing: DataFrame, name: str) -> DataFrame:
+    """The failing rows under a name, found again whenever they are read."""
+    failing.createOrReplaceTempView(name)
+    return failing.sparkSession.table(name)
+
+
 def store_failures(failing: DataFrame, path: str) -> DataFrame:
     failing.write.mode("overwrite").parquet(path)
     return failing.sparkSession.read.schema(failing.schema).parquet(path)

@@ -16,6 +16,13 @@ META = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 HARD_DELETES = ("ignore", "invalidate", "new_record")
 
 
+def _renamed(df: DataFrame, names: dict[str, str] | None, back: bool = False) -> DataFrame:
+    """History columns under the caller's names, or back under the fixed ones."""
+    if unknown := set(names or {}) - {*META, IS_DELETED}:
+        raise ValueError(f"no history column {', '.join(sorted(unknown))}")
+    return df.withColumnsRenamed({v: k for k, v in names.items()} if back else dict(names)) if names else df
+
+
 def _open_end(marker) -> Column:
     return F.lit(marker).cast("timestamp_ntz")
 
@@ -33,14 +40,15 @@ def _versioned(source: DataFrame, keys: Sequence[str], updated_at: Column, marke
 
 
 def first_snapshot(
-    source: DataFrame, keys: Sequence[str], updated_at: Column, open_marker=None, hard_deletes: str = "ignore"
+    source: DataFrame, keys: Sequence[str], updated_at: Column, open_marker=None, hard_deletes: str = "ignore",
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Every row open, with its version id."""
-    return _versioned(source, keys, updated_at, open_marker, hard_deletes)
+    """Every row open, with its version id. ``names`` gives history columns other names."""
+    return _renamed(_versioned(source, keys, updated_at, open_marker, hard_deletes), names)
 
 
-def is_open(marker=None) -> Column:
-    return F.col(VALID_TO).isNull() if marker is None else F.col(VALID_TO).eqNullSafe(_open_end(marker))
+def is_open(marker=None, valid_to: str = VALID_TO) -> Column:
+    return F.col(valid_to).isNull() if marker is None else F.col(valid_to).eqNullSafe(_open_end(marker))
 
 
 def snapshot(
@@ -48,23 +56,30 @@ def snapshot(
     source: DataFrame,
     keys: Sequence[str],
     now,
-    check_cols: Sequence[str] | None = None,
+    check_cols: Sequence[str] | str | None = None,
     updated_at: str | None = None,
     hard_deletes: str = "ignore",
     open_marker=None,
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
     """The history after comparing its open rows with the source.
 
     With ``check_cols`` a key gets a new version when one of them differs (NULLs compared as
-    values; a column the history does not have yet changes every row). With ``updated_at`` it
-    does when the source's stamp is later than the open version's start. Only open rows take part
-    in the one full join by key; closed versions pass through.
+    values; a column the history does not have yet changes every row); ``"all"`` means every column of the
+    source but the keys. With ``updated_at`` alone it does when the source's stamp is later than the open
+    version's start; beside check columns the stamp only dates the new version. ``names`` are the history's own
+    names for its columns. Only open rows take part in the one full join by key; closed versions pass through.
     """
     if hard_deletes not in HARD_DELETES:
         raise ValueError(f"unknown mode {hard_deletes}")
-    if (check_cols is None) == (updated_at is None):
-        raise ValueError("give either check columns or an update stamp")
+    if check_cols is None and updated_at is None:
+        raise ValueError("give check columns, an update stamp or both")
     keys = list(keys)
+    history = _renamed(history, names, back=True)
+    if isinstance(check_cols, str):
+        if check_cols != "all":
+            raise ValueError("check columns are a list, or 'all'")
+        check_cols = [c for c in source.columns if c not in keys]
     now_col = F.lit(now).cast("timestamp_ntz")
     stamp = F.col(updated_at) if updated_at else now_col
     new = _versioned(source, keys, stamp, open_marker, hard_deletes)
@@ -85,7 +100,7 @@ def snapshot(
     both = old.join(now_rows, keys, "full")
 
     has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-    if updated_at:
+    if check_cols is None:
         differs = F.col(f"_old.{VALID_FROM}") < F.col(f"_new.{UPDATED_AT}")
     elif fresh_checks:
         differs = F.lit(True)
@@ -121,4 +136,4 @@ def snapshot(
         parts.append(F.when(vanished, F.array(tomb)))
     empty = F.filter(F.array(F.col("_old")), lambda x: F.lit(False))
     rows = both.select(F.explode(F.concat(*[F.coalesce(p, empty) for p in parts])).alias("_row"))
-    return closed.unionByName(rows.select(*[F.col(f"_row.{c}").alias(c) for c in columns]))
+    return _renamed(closed.unionByName(rows.select(*[F.col(f"_row.{c}").alias(c) for c in columns])), names)

@@ -1,27 +1,34 @@
-"""Parquet tables in version folders.
+"""Parquet tables with versions: a version is a small manifest that lists what belongs to it.
 
-A version counts as published once Spark's job commit has written its ``_SUCCESS`` marker, so a
-rebuilt table appears at once and a failed rebuild stays invisible. Partitioned tables can also
-be changed partition by partition.
+Every write goes to a load folder of its own, ``data/_load=<id>``, with one folder per partition below it. A
+version's manifest names the loads, and for a partitioned table the partitions of each load that are still
+current. It is written last, under a new number, so a version appears at once and a write that fails leaves the
+table as it was: nothing that a published version reads is changed or deleted before newer versions replace it.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.session import stage
+LOAD = "_load"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name that Spark gives to NULL
+#: Versions that stay readable; files that only older ones use are removed after a new one is published.
+KEPT_VERSIONS = 3
 
 
 class Table:
-    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
+    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (), kept_versions: int = KEPT_VERSIONS):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
+        self.kept_versions = max(1, kept_versions)
 
     # -- file system ---------------------------------------------------------
 
@@ -29,38 +36,99 @@ class Table:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _versions(self) -> list[int]:
-        fs, p = self._fs_path(f"{self.path}/v*/_SUCCESS")
-        found = fs.globStatus(p)
-        return sorted(int(f.getPath().getParent().getName()[1:]) for f in (found or []))
-
-    def _save_schema(self, location: str, schema: T.StructType) -> None:
-        fs, p = self._fs_path(f"{location}/_schema.json")
-        out = fs.create(p, True)
-        out.write(bytearray(schema.json().encode()))
-        out.close()
-
-    def _load_schema(self, location: str) -> T.StructType:
-        fs, p = self._fs_path(f"{location}/_schema.json")
+    def _text(self, path: str) -> str:
+        fs, p = self._fs_path(path)
         stream = fs.open(p)
-        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
-        return T.StructType.fromJson(json.loads(text))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _names(self, pattern: str) -> list[str]:
+        fs, p = self._fs_path(pattern)
+        return sorted(f.getPath().getName() for f in (fs.globStatus(p) or []))
+
+    # -- versions ------------------------------------------------------------
+
+    def versions(self) -> list[int]:
+        return [int(n[1:-5]) for n in self._names(f"{self.path}/versions/v*.json")]
+
+    def manifest(self, number: int | None = None) -> dict:
+        """``schema`` and ``loads``: load id to its current partitions, None for all of an unpartitioned load."""
+        number = self.versions()[-1] if number is None else number
+        return json.loads(self._text(f"{self.path}/versions/v{number:09d}.json"))
+
+    def _publish(self, schema: T.StructType, loads: dict) -> None:
+        number = (self.versions() or [0])[-1] + 1
+        fs, at = self._fs_path(f"{self.path}/versions/v{number:09d}.json")
+        _, aside = self._fs_path(f"{self.path}/versions/.{uuid.uuid4().hex}")
+        out = fs.create(aside, True)
+        out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "loads": loads}).encode()))
+        out.close()
+        if not fs.rename(aside, at):
+            raise RuntimeError(f"version {number} of {self.path} was published by another writer")
+        self._expire()
+
+    def _expire(self) -> None:
+        """Removes versions beyond the kept ones, then loads that no kept version names. One writer at a time."""
+        numbers = self.versions()
+        for n in numbers[:-self.kept_versions]:
+            fs, p = self._fs_path(f"{self.path}/versions/v{n:09d}.json")
+            fs.delete(p, False)
+        used = {load for n in numbers[-self.kept_versions:] for load in self.manifest(n)["loads"]}
+        for name in self._names(f"{self.path}/data/{LOAD}=*"):
+            if name.partition("=")[2] not in used:
+                fs, p = self._fs_path(f"{self.path}/data/{name}")
+                fs.delete(p, True)
 
     # -- reading -------------------------------------------------------------
 
     def exists(self) -> bool:
-        return bool(self._versions())
+        return bool(self.versions())
 
     def location(self) -> str:
-        return f"{self.path}/v{self._versions()[-1]}"
+        """The manifest of the current version."""
+        return f"{self.path}/versions/v{self.versions()[-1]:09d}.json"
 
     def schema(self) -> T.StructType:
-        return self._load_schema(self.location())
+        return T.StructType.fromJson(self.manifest()["schema"])
+
+    def _read(self, manifest: dict, only: set[tuple] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(manifest["schema"])
+        root = f"{self.path}/data"
+        paths = []
+        for load, folders in manifest["loads"].items():
+            if folders is None:
+                paths.append(f"{root}/{LOAD}={load}")
+            else:
+                paths += [f"{root}/{LOAD}={load}/{f}" for f in folders if only is None or folder_values(f) in only]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        whole = T.StructType([*schema, T.StructField(LOAD, T.StringType())])
+        return self.spark.read.schema(whole).option("basePath", root).parquet(*paths).select(*schema.fieldNames())
 
     def read(self) -> DataFrame:
-        at = self.location()
-        return self.spark.read.schema(self._load_schema(at)).parquet(at)
+        return self._read(self.manifest())
+
+    def partitions(self, df: DataFrame) -> set[tuple]:
+        """The partitions the rows fall in, as the texts of their values; NULL is a partition of its own."""
+        texts = [F.col(c).cast("string").alias(c) for c in self.partition_by]
+        return {tuple(r) for r in df.select(*texts).distinct().collect()}
+
+    def only(self, touched: set[tuple]) -> DataFrame:
+        """Rows of the touched partitions; the folders of the others aren't read."""
+        return self._read(self.manifest(), touched)
+
+    def marks(self, column: str) -> list:
+        """Values of a partition column, from the manifest alone, typed by the schema; NULL left out."""
+        at = self.partition_by.index(column)
+        manifest = self.manifest()
+        texts = {folder_values(f)[at] for folders in manifest["loads"].values() for f in folders or []} - {None}
+        if not texts:
+            return []
+        kind = T.StructType.fromJson(manifest["schema"])[column].dataType
+        rows = self.spark.createDataFrame([(t,) for t in sorted(texts)], "v string")
+        return [r.v for r in rows.select(F.col("v").cast(kind)).distinct().collect()]
 
     # -- writing -------------------------------------------------------------
 
@@ -72,62 +140,57 @@ class Table:
             return df.hint("rebalance", *self.partition_by)
         return df
 
-    def replace(self, df: DataFrame, cluster_by: Sequence[str] = ()) -> None:
-        """Build a new version aside; its commit publishes it. The old one stays readable."""
-        number = (self._versions() or [0])[-1] + 1
-        at = f"{self.path}/v{number}"
-        fs, p = self._fs_path(at)
-        fs.delete(p, True)  # leftovers of a rebuild that was never published
-        parts = [df.schema[c] for c in self.partition_by]
-        self._save_schema(at, T.StructType([f for f in df.schema if f.name not in self.partition_by] + parts))
-        writer = self._layout(df, cluster_by).write.mode("append")
+    def _write(self, df: DataFrame, cluster_by: Sequence[str] = ()) -> tuple[str, list[str] | None]:
+        """A load that no version names yet, and its partition folders."""
+        load = uuid.uuid4().hex
+        at = f"{self.path}/data/{LOAD}={load}"
+        writer = self._layout(df, cluster_by).write.mode("error")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(at)
+        if not self.partition_by:
+            return load, None
+        fs, p = self._fs_path(at + "/*=*" * len(self.partition_by))
+        found = [f.getPath().toUri().getPath() for f in (fs.globStatus(p) or [])]
+        depth = len(self.partition_by)
+        return load, sorted("/".join(f.split("/")[-depth:]) for f in found)
+
+    def _ordered(self, fields: Sequence[T.StructField]) -> T.StructType:
+        by_name = {f.name: f for f in fields}
+        return T.StructType([f for f in fields if f.name not in self.partition_by] + [by_name[c] for c in self.partition_by])
+
+    def replace(self, df: DataFrame, cluster_by: Sequence[str] = ()) -> None:
+        """A new version with these rows alone. The old one stays readable."""
+        schema = self._ordered(df.schema.fields)
+        load, folders = self._write(df, cluster_by)
+        self._publish(schema, {load: folders})
 
     def append(self, df: DataFrame) -> None:
-        writer = self._layout(df.select(*self.schema().fieldNames())).write.mode("append")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.location())
+        manifest = self.manifest()
+        schema = T.StructType.fromJson(manifest["schema"])
+        load, folders = self._write(df.select(*schema.fieldNames()))
+        self._publish(schema, manifest["loads"] | {load: folders})
 
     def add_columns(self, fields: Sequence[T.StructField]) -> None:
         """New columns need no rewrite: older files read them as NULL."""
-        at = self.location()
-        old = self._load_schema(at)
-        parts = [f for f in old if f.name in self.partition_by]
-        plain = [f for f in old if f.name not in self.partition_by]
-        self._save_schema(at, T.StructType([*plain, *fields, *parts]))
+        manifest = self.manifest()
+        self._publish(self._ordered([*T.StructType.fromJson(manifest["schema"]), *fields]), manifest["loads"])
 
-    def replace_partitions(self, df: DataFrame, touched: Sequence) -> None:
-        """Swap the touched partitions for the rows of df; the others keep their files.
+    def replace_partitions(self, df: DataFrame, touched: set[tuple]) -> None:
+        """A new version in which the touched partitions hold the rows of df; the others keep their files.
 
-        The rows are written to the shared folder first, because they are usually derived from the
-        partitions being replaced; repeating the call after a failure gives the same table.
+        The rows may be derived from the partitions that they replace. Until the manifest is written the table is
+        as before, so repeating the call after a failure gives the same table.
         """
-        rows = stage(df.select(*self.schema().fieldNames()), "partitions")
-        at = self.location()
-        option = {"partitionOverwriteMode": "dynamic"}
-        self._layout(rows).write.mode("overwrite").options(**option).partitionBy(*self.partition_by).parquet(at)
-        kept = {tuple(r) for r in rows.select(*self.partition_by).distinct().collect()}
-        for values in touched:
-            if tuple(values) not in kept:
-                folder = "/".join(f"{c}={v}" for c, v in zip(self.partition_by, values))
-                fs, p = self._fs_path(f"{at}/{folder}")
-                fs.delete(p, True)
-
-    def only(self, touched: Sequence) -> DataFrame:
-        """Rows of the touched partitions; the filter prunes the others at planning."""
-        df = self.read()
-        if not touched:
-            return df.filter(F.lit(False))
-        condition = None
-        if len(self.partition_by) == 1:
-            condition = F.col(self.partition_by[0]).isin([v[0] for v in touched])
-        else:
-            for values in touched:
-                one = None
-                for c, v in zip(self.partition_by, values):
-                    one = (F.col(c) == F.lit(v)) if one is None else one & (F.col(c) == F.lit(v))
-                condition = one if condition is None else condition | one
-        return df.filter(condition)
+        manifest = self.manifest()
+        schema = T.StructType.fromJson(manifest["schema"])
+        load, folders = self._write(df.select(*schema.fieldNames()))
+        gone = set(touched) | {folder_values(f) for f in folders}
+        kept = {old: [f for f in fs if folder_values(f) not in gone] for old, fs in manifest["loads"].items()}
+        self._publish(schema, {old: fs for old, fs in kept.items() if fs} | {load: folders})
+
+
+def folder_values(folder: str) -> tuple:
+    """Texts of the partition values in a folder name; NULL for the folder that stands for it."""
+    values = [unquote(part.partition("=")[2]) for part in folder.split("/")]
+    return tuple(None if v == NULL_FOLDER else v for v in values)

@@ -36,12 +36,113 @@ def test_replace_publishes_by_commit(spark):
     t.replace(frame(spark, BASE[:1]))
     assert t.location() != first and t.read().count() == 1
     assert old.count() == 3  # the earlier version stays readable
-    # a rebuild that never committed is not seen
-    fs, p = t._fs_path(f"{t.path}/v9/part-0.parquet")
-    fs.create(p, True).close()
+    # a rebuild that never published its manifest is not seen
+    t._write(frame(spark, BASE))
     assert t.read().count() == 1
 
 
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("strategy", ["merge", "delete_insert", "microbatch", "append", "insert_overwrite"])
+def test_crash_before_publishing(spark, monkeypatch, strategy):
+    """Files are written, the version isn't: the table is as before, and a replay gives what one run gives."""
+    t = table(spark, BASE, ["d"])
+    batch = frame(spark, [(1, "a", 10.0), (9, "c", 9.0)])
+    more = {"event_time": "d", "period": ("a", "b")} if strategy == "microbatch" else {"partition_in_key": True}
+    load = lambda: incremental.load(t, batch, strategy, ["k", "d"], **more)
+
+    def crash(*_):
+        raise Crash
+
+    with monkeypatch.context() as m:
+        m.setattr(Table, "_publish", crash)
+        with pytest.raises(Crash):
+            load()
+    assert rows(t.read().select("k", "d", "v")) == BASE
+    load()
+    got = rows(t.read().select("k", "d", "v"))
+    want = {
+        "merge": [(1, "a", 10.0), (2, "a", 2.0), (3, "b", 3.0), (9, "c", 9.0)],
+        "delete_insert": [(1, "a", 10.0), (2, "a", 2.0), (3, "b", 3.0), (9, "c", 9.0)],
+        "microbatch": [(1, "a", 10.0), (3, "b", 3.0), (9, "c", 9.0)],
+        "append": [(1, "a", 1.0), (1, "a", 10.0), (2, "a", 2.0), (3, "b", 3.0), (9, "c", 9.0)],
+        "insert_overwrite": [(1, "a", 10.0), (9, "c", 9.0)],
+    }
+    assert got == want[strategy]
+    if strategy == "merge":
+        load()
+        assert rows(t.read().select("k", "d", "v")) == got
+
+
+def test_readers_keep_their_version(spark):
+    t = table(spark, BASE, ["d"])
+    old = t.read()
+    incremental.load(t, frame(spark, [(1, "a", 10.0)]), "merge", ["k", "d"], partition_in_key=True)
+    assert rows(old.select("k", "d", "v")) == BASE
+
+
+def test_old_versions_go(spark):
+    t = table(spark, BASE, ["d"])
+    for i in range(6):
+        incremental.load(t, frame(spark, [(1, "a", float(i))]), "merge", ["k", "d"], partition_in_key=True)
+    assert len(t.versions()) == t.kept_versions
+    used = {load for n in t.versions() for load in t.manifest(n)["loads"]}
+    assert {n.partition("=")[2] for n in t._names(f"{t.path}/data/*")} == used
+    assert rows(t.read().select("k", "d", "v")) == [(1, "a", 5.0), *BASE[1:]]
+
+
+def test_null_and_odd_partitions(spark):
+    data = [(1, None, 1.0), (2, "a/b=c %", 2.0), (3, "x", 3.0)]
+    t = table(spark, data, ["d"])
+    incremental.load(t, frame(spark, [(2, "a/b=c %", 20.0), (5, None, 5.0)]), "merge", ["k", "d"], partition_in_key=True)
+    assert rows(t.read().select("k", "d", "v")) == rows(frame(spark, [(1, None, 1.0), (2, "a/b=c %", 20.0), (3, "x", 3.0), (5, None, 5.0)]))
+    kept = [f for fs in t.manifest()["loads"].values() for f in fs]
+    assert len(kept) == 3 and len(t.manifest()["loads"]) == 2  # the untouched partition keeps its files
+
+
+def test_merge_reads_only_touched_folders(spark):
+    t = table(spark, BASE, ["d"])
+    assert all("d=b" in f for f in t.only({("b",)}).inputFiles()) and t.only(set()).count() == 0
+    assert t.marks("d") == ["a", "b"] or sorted(t.marks("d")) == ["a", "b"]
+
+
+def test_merge_refuses_duplicate_keys(spark):
+    twice = frame(spark, [(1, "a", 5.0), (1, "a", 6.0), (None, "a", 7.0), (None, "a", 8.0)])
+    for columns in (None, ["v"]):
+        t = table(spark, BASE)
+        with pytest.raises(incremental.DuplicateKeys):
+            incremental.load(t, twice, "merge", ["k"], update_columns=columns)
+        assert rows(t.read()) == BASE
+        incremental.load(t, twice, "merge", ["k"], update_columns=columns, newest_by=["v"])
+        assert sorted((r.k or 0, r.v) for r in t.read().collect()) == [(0, 7.0), (0, 8.0), (1, 6.0), (2, 2.0), (3, 3.0)]
+
+
+def test_column_subset(spark):
+    t = table(spark, BASE)
+    incremental.load(t, frame(spark, [(7, "q", 7.0)]), "insert_overwrite", columns=["k", "V"])
+    assert rows(t.read()) == [(7, None, 7.0)]
+    incremental.load(t, frame(spark, [(8, "q", 8.0)]).drop("d"), "append", columns=["k"])
+    assert rows(t.read()) == [(7, None, 7.0), (8, None, None)]
+    with pytest.raises(ValueError):
+        incremental.load(t, frame(spark, BASE), "merge", ["k"], columns=["k"])
+    with pytest.raises(ValueError):
+        incremental.load(t, frame(spark, BASE), "append", columns=["nope"])
+
+
+def test_marks_reach_the_scan(spark):
+    t = table(spark, BASE, ["d"])
+    src = table(spark, [(4, "a", 4.0), (5, "b", 5.0), (6, "c", 6.0), (7, None, 7.0), (8, "b", 1.0)])
+    new = incremental.above_own_mark(src.read(), t.read(), ["d"], "v")
+    assert rows(new) == rows(frame(spark, [(4, "a", 4.0), (5, "b", 5.0), (6, "c", 6.0), (7, None, 7.0)]))
+    assert rows(incremental.above_own_mark(src.read(), t.read(), ["d"], "v", strict=True)) == [(4, "a", 4.0), (5, "b", 5.0)]
+    assert "GreaterThan(v,2.0)" in incremental.above_own_mark(src.read(), t.read(), ["d"], "v", strict=True)._jdf.queryExecution().toString()
+    assert "GreaterThan(v,3.0)" in incremental.above_mark(src.read(), t.read(), "v")._jdf.queryExecution().toString()
+    assert incremental.above_mark(src.read(), t.read().limit(0), "v").count() == 5
+    assert incremental.above_mark(src.read(), t.read().limit(0), "v", strict=True).count() == 0
+
+
 def test_replace_from_itself(spark):
     t = table(spark, BASE)
     t.replace(t.read().filter("k > 1"))
@@ -138,9 +239,9 @@ def test_drift_fail_and_ignore(spark):
 
 def test_drift_append_needs_no_rewrite(spark):
     t = table(spark, BASE)
-    where = t.location()
+    before = list(t.manifest()["loads"])
     incremental.load(t, frame(spark, [(9, "z", 9.0)]).withColumn("w", F.lit(1)).drop("v"), "append", on_schema_change="append_new_columns")
-    assert t.location() == where
+    assert list(t.manifest()["loads"])[:1] == before and len(t.manifest()["loads"]) == 2
     assert rows(t.read())[-1] == (9, "z", None, 1) and rows(t.read())[0] == (1, "a", 1.0, None)
 
 

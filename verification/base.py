@@ -167,7 +167,8 @@ def kline_messages(spark, sf, corrections: bool = True, with_kind: bool = False)
     """Raw messages of the minute candles.
 
     Each candle has an open update and a closed message; some have a later correction, and some
-    are followed by malformed text, a message without a candle or an update with a bad number.
+    are followed by malformed text, a message without a candle or an update with a bad number. The topic has two
+    partitions; offsets count within each, so the same offset occurs in both.
     """
     c = candles_1m(spark, sf)
     ms = lambda t: F.unix_millis(F.col(t).cast("timestamp"))
@@ -186,7 +187,10 @@ def kline_messages(spark, sf, corrections: bool = True, with_kind: bool = False)
 
     o = F.col("kafka_offset")
     kinds = ["update", "closed", "correction", "noise"]
-    item = lambda value, n: F.struct(value.alias("value"), (o * 4 + n).alias("offset"), F.lit(kinds[n]).alias("kind"))
+    second = (F.col("asset_symbol") >= "M").cast("int")
+    item = lambda value, n: F.struct(
+        value.alias("value"), (o * 4 + n - second * 4).alias("offset"), second.alias("partition"),
+        F.timestamp_add("SECOND", F.lit(n), F.col("close_time").cast("timestamp")).alias("timestamp"), F.lit(kinds[n]).alias("kind"))
     out = [item(message(True, F.col("close")), 1)]
     if corrections:
         extra = (
@@ -197,7 +201,7 @@ def kline_messages(spark, sf, corrections: bool = True, with_kind: bool = False)
         )
         out = [item(message(False, F.col("open")), 0), *out, extra]
     return c.select(F.explode(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("m")).select(
-        "m.value", "m.offset", *(["m.kind"] if with_kind else []))
+        "m.value", "m.offset", "m.partition", "m.timestamp", *(["m.kind"] if with_kind else []))
 
 
 DAY_KEYS = ["asset_pair_symbol", "open_date"]
@@ -371,13 +375,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "regimes": (("pressed",), """SELECT *, CASE WHEN instant_buy_ratio_base IS NULL THEN NULL
         WHEN instant_buy_ratio_base >= 0.55 THEN 'Buyers Dominant'
         WHEN instant_buy_ratio_base <= 0.40 THEN 'Passive/Neutral Trades' ELSE 'Balanced' END AS pressure_regime FROM pressed"""),
-    "closed": (("candles_1m",), """SELECT asset_symbol, open_time, open, high, low, close, volume, close_time, quote_asset_volume,
-        num_trades, taker_buy_base_volume, taker_buy_quote_volume, "ignore", kafka_offset * 4 + 1 AS kafka_offset FROM candles_1m
+    "topic": (("candles_1m",), """SELECT *, CASE WHEN asset_symbol >= 'M' THEN 1 ELSE 0 END AS kafka_partition FROM candles_1m"""),
+    "closed": (("topic",), """SELECT asset_symbol, open_time, open, high, low, close, volume, close_time, quote_asset_volume,
+        num_trades, taker_buy_base_volume, taker_buy_quote_volume, "ignore", kafka_offset * 4 + 1 - kafka_partition * 4 AS kafka_offset,
+        kafka_partition, close_time + INTERVAL 1 SECOND AS arrived FROM topic
         UNION ALL SELECT asset_symbol, open_time, open, high, low, close + 1, volume, close_time, quote_asset_volume,
-        num_trades, taker_buy_base_volume, taker_buy_quote_volume, "ignore", kafka_offset * 4 + 2 FROM candles_1m
+        num_trades, taker_buy_base_volume, taker_buy_quote_volume, "ignore", kafka_offset * 4 + 2 - kafka_partition * 4,
+        kafka_partition, close_time + INTERVAL 2 SECOND FROM topic
         WHERE kafka_offset % 10 = 0"""),
     "latest": (("closed",), """SELECT * FROM closed QUALIFY row_number() OVER (PARTITION BY asset_symbol, open_time
-        ORDER BY kafka_offset DESC) = 1"""),
+        ORDER BY arrived DESC, kafka_partition DESC, kafka_offset DESC) = 1"""),
     "part_assets": ((), """SELECT p_partkey AS id, p_name AS name, p_brand AS pair_symbol, CAST(p_size AS BIGINT) AS num_market_pairs,
         TIMESTAMP '2020-01-01' + to_days(p_size) AS date_added, CASE WHEN p_size % 3 <> 0 THEN p_retailprice END AS max_supply,
         p_retailprice / 2 AS circulating_supply, CAST(p_size AS BIGINT) AS cmc_rank,

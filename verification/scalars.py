@@ -176,7 +176,7 @@ def fn_json_path(spark, sf):
     return rounded(parsed.select(*staging.KLINE_FIELDS, "kafka_offset"), *KLINE_FLOOR)
 
 
-@check("fn_json_parse", using("candles_1m", """SELECT kafka_offset * 4 + n AS "offset", n = 3 AND kafka_offset % 10 = 1 AS is_malformed FROM candles_1m,
+@check("fn_json_parse", using("topic", """SELECT kafka_offset * 4 + n - kafka_partition * 4 AS "offset", n = 3 AND kafka_offset % 10 = 1 AS is_malformed FROM topic,
     (VALUES (0), (1), (2), (3)) v(n) WHERE n < 2 OR (n = 2 AND kafka_offset % 10 = 0) OR (n = 3 AND kafka_offset % 10 IN (1, 2, 3))"""))
 def fn_json_parse(spark, sf):
     return kline_messages(spark, sf).select("offset", S.parse_json("value").isNull().alias("is_malformed"))

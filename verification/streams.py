@@ -11,18 +11,21 @@ from verification.projections import KLINE_FLOOR, _KLINE
 _LANDED: dict = {}
 
 
-def landed(spark, sf, corrections=True):
-    """Message files, written once per session and scale; ordered by offset over eight files."""
-    key = (spark.sparkContext.applicationId, sf, corrections)
+def landed(spark, sf, shuffled=False):
+    """Message files, written once per session and scale: eight files in the order of the time, or with messages
+    dealt at random, so that corrections come before what they correct and candles come days late."""
+    key = (spark.sparkContext.applicationId, sf, shuffled)
     if key not in _LANDED:
         path = scratch_path(spark, "messages")
-        kline_messages(spark, sf, corrections).repartitionByRange(8, "offset").write.parquet(path)
+        m = kline_messages(spark, sf)
+        dealt = m.repartition(8, F.xxhash64("value", "offset")) if shuffled else m.repartitionByRange(8, "timestamp", "partition", "offset")
+        dealt.write.parquet(path)
         _LANDED[key] = path
     return _LANDED[key]
 
 
-def stream(spark, sf, corrections=True, max_files=None):
-    return K.read_files(spark, landed(spark, sf, corrections), max_files)
+def stream(spark, sf, max_files=None, shuffled=False):
+    return K.read_files(spark, landed(spark, sf, shuffled), max_files)
 
 
 def chk(spark):
@@ -44,25 +47,37 @@ def upserted(spark, df, keys, day_of=None):
     return out.read().drop("day")
 
 
-_ALL = """SELECT kafka_offset * 4 + n AS "offset" FROM candles_1m, (VALUES (0), (1), (2), (3)) v(n)
+_ALL = """SELECT kafka_offset * 4 + n - kafka_partition * 4 AS "offset", kafka_partition AS "partition",
+    epoch_us(close_time) + n * 1000000 AS micros{} FROM topic, (VALUES (0), (1), (2), (3)) v(n)
     WHERE n < 2 OR (n = 2 AND kafka_offset % 10 = 0) OR (n = 3 AND kafka_offset % 10 IN (1, 2, 3))"""
+_MALFORMED = "n = 3 AND kafka_offset % 10 = 1 AS is_malformed"
 
 
-@check("st_source_topic", using("candles_1m", _ALL))
+def micros():
+    return F.unix_micros("timestamp").alias("micros")
+
+
+@check("st_source_topic", using("topic", _ALL.format(f", {_MALFORMED}, n = 1 OR n = 2 AS is_closed, CASE WHEN n < 3 THEN asset_symbol END AS symbol")))
 def st_source_topic(spark, sf):
-    return appended(spark, stream(spark, sf, max_files=3).select("offset"))
+    out = appended(spark, stream(spark, sf, max_files=3))
+    path = lambda p: F.get_json_object("value", p)
+    symbol = F.when(path("$.data.k.o") != "abc", path("$.data.s")).alias("symbol")
+    closed = F.coalesce((path("$.data.k.x") == "true"), F.lit(False)).alias("is_closed")
+    return out.select("offset", "partition", micros(), (F.col("value") == "{bad").alias("is_malformed"), closed, symbol)
 
 
-@check("st_filter_closed_publish", using("closed", "SELECT kafka_offset AS \"offset\", lower(asset_symbol) || '@kline_1m' AS stream FROM closed"))
+@check("st_filter_closed_publish", using("closed", "SELECT kafka_offset AS \"offset\", kafka_partition AS \"partition\", lower(asset_symbol) || '@kline_1m' AS stream FROM closed"))
 def st_filter_closed_publish(spark, sf):
     out = appended(spark, K.closed_envelopes(stream(spark, sf)))
-    return out.select("offset", F.get_json_object("value", "$.stream").alias("stream"))
+    return out.select("offset", "partition", F.get_json_object("value", "$.stream").alias("stream"))
 
 
-@check("st_land_raw", using("candles_1m", _ALL.replace('AS "offset"', 'AS "offset", n = 3 AND kafka_offset % 10 = 1 AS is_malformed')))
+@check("st_land_raw", using("topic", _ALL.format(f", {_MALFORMED}, CASE WHEN n < 3 THEN asset_symbol END AS symbol")))
 def st_land_raw(spark, sf):
     out = appended(spark, stream(spark, sf))
-    return out.select("offset", (F.col("value") == "{bad").alias("is_malformed"))
+    path = lambda p: F.get_json_object("value", p)
+    symbol = F.when(path("$.data.k.o") != "abc", path("$.data.s")).alias("symbol")
+    return out.select("offset", "partition", micros(), (F.col("value") == "{bad").alias("is_malformed"), symbol)
 
 
 @check("st_parse_typed", using("closed", f"SELECT {_KLINE} FROM closed"))
@@ -70,29 +85,41 @@ def st_parse_typed(spark, sf):
     return rounded(appended(spark, K.typed(stream(spark, sf))), *KLINE_FLOOR)
 
 
-@check("st_bad_records", using("candles_1m", """SELECT kafka_offset * 4 + 3 AS "offset", CASE WHEN kafka_offset % 10 = 3 THEN asset_symbol ELSE 'UNKNOWN' END AS asset_symbol,
-    CASE kafka_offset % 10 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no candle' ELSE 'bad number' END AS reason FROM candles_1m WHERE kafka_offset % 10 IN (1, 2, 3)"""))
+@check("st_bad_records", using("topic", """SELECT kafka_offset * 4 + 3 - kafka_partition * 4 AS "offset", CASE WHEN kafka_offset % 10 = 3 THEN asset_symbol ELSE 'UNKNOWN' END AS asset_symbol,
+    CASE kafka_offset % 10 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no candle' ELSE 'bad number' END AS reason FROM topic WHERE kafka_offset % 10 IN (1, 2, 3)"""))
 def st_bad_records(spark, sf):
     return appended(spark, K.quarantine(stream(spark, sf))).select("offset", "asset_symbol", "reason")
 
 
-@check("st_last_value_gauge", using("closed", f"""SELECT asset_symbol, '1m' AS "interval", open, high, low, close, {r('volume', 'volume')}, close_time, kafka_offset
-    FROM closed QUALIFY row_number() OVER (PARTITION BY asset_symbol ORDER BY kafka_offset DESC) = 1"""))
+@check("st_last_value_gauge", using("closed", f"""SELECT asset_symbol, '1m' AS "interval", open, high, low, close, {r('volume', 'volume')}, close_time, kafka_offset, kafka_partition
+    FROM closed QUALIFY row_number() OVER (PARTITION BY asset_symbol ORDER BY arrived DESC, kafka_partition DESC, kafka_offset DESC) = 1"""))
 def st_last_value_gauge(spark, sf):
-    return rounded(upserted(spark, K.last_values(stream(spark, sf)), ["asset_symbol", "interval"]), "volume")
+    out = upserted(spark, K.last_values(stream(spark, sf, max_files=3, shuffled=True)), ["asset_symbol", "interval"])
+    return rounded(out.drop("kafka_timestamp"), "volume")
+
 
+STORED = ("open_date", "kafka_timestamp", "kafka_partition")
 
-def _candle_table(spark, sf, runs=1):
+
+def _candle_table(spark, sf, runs=1, shuffled=False):
     out = Table(spark, scratch_path(spark, "streamed"), ["open_date"])
     checkpoint = chk(spark)
     for _ in range(runs):
-        K.finish(K.upsert_candles(stream(spark, sf, max_files=4), out, checkpoint))
-    return out.read().drop("open_date")
+        K.finish(K.upsert_candles(stream(spark, sf, 4, shuffled), out, checkpoint))
+    return out.read().drop(*STORED)
+
+
+def windowed(spark, sf, windows, max_files=4):
+    """The windows that a stream of shuffled messages, corrections among them, leaves after several batches."""
+    candles = Table(spark, scratch_path(spark, "candles"), ["open_date"])
+    out = Table(spark, scratch_path(spark, "windows"), ["window_date"])
+    K.finish(K.run_windows(stream(spark, sf, max_files, shuffled=True), windows, candles, out, chk(spark)))
+    return out.read().drop("window_date")
 
 
 @check("st_dedup_upsert", using("latest", f"SELECT {_KLINE} FROM latest"))
 def st_dedup_upsert(spark, sf):
-    return rounded(_candle_table(spark, sf), *KLINE_FLOOR)
+    return rounded(_candle_table(spark, sf, shuffled=True), *KLINE_FLOOR)
 
 
 @check("st_late_correction", using("latest", f"SELECT {_KLINE} FROM latest"))
@@ -105,17 +132,16 @@ def st_late_correction(spark, sf):
     for arrival in (~late, late):
         messages.filter(arrival).drop("kind").write.mode("append").parquet(folder)
         K.finish(K.upsert_candles(K.read_files(spark, folder), out, checkpoint))
-    return rounded(out.read().drop("open_date"), *KLINE_FLOOR)
+    return rounded(out.read().drop(*STORED), *KLINE_FLOOR)
 
 
 _H = "asset_symbol, date_trunc('hour', open_time) AS hour"
 
 
-@check("st_hourly_candles", using("candles_1m", f"""SELECT {_H}, first(open ORDER BY c.open_time) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY c.close_time) AS close,
-    CAST(sum(num_trades) AS BIGINT) AS num_trades, {', '.join(r(f'sum({c})', c) for c in KLINE_FLOOR)} FROM candles_1m c GROUP BY asset_symbol, date_trunc('hour', c.open_time)"""))
+@check("st_hourly_candles", using("latest", f"""SELECT {_H}, first(open ORDER BY c.open_time) AS open, max(high) AS high, min(low) AS low, last(close ORDER BY c.close_time) AS close,
+    CAST(sum(num_trades) AS BIGINT) AS num_trades, {', '.join(r(f'sum({c})', c) for c in KLINE_FLOOR)} FROM latest c GROUP BY asset_symbol, date_trunc('hour', c.open_time)"""))
 def st_hourly_candles(spark, sf):
-    out = upserted(spark, K.hourly_windows(stream(spark, sf, False, 4)), ["asset_symbol", "hour"], "hour")
-    return rounded(out, *KLINE_FLOOR)
+    return rounded(windowed(spark, sf, K.hourly_windows(), 3).drop("window_end"), *KLINE_FLOOR)
 
 
 @check("st_periodic_run", using("latest", f"SELECT {_KLINE} FROM latest"))
@@ -125,19 +151,19 @@ def st_periodic_run(spark, sf):
 
 def sliding_sql(length, slide, measures):
     """Every window of the length that ends on a slide step and holds a candle."""
-    return using("candles_1m", f"""SELECT asset_symbol, window_end, {measures} FROM (SELECT c.*, unnest(generate_series(
-    time_bucket(INTERVAL '{slide}', open_time) + INTERVAL '{slide}', time_bucket(INTERVAL '{slide}', open_time) + INTERVAL '{length}', INTERVAL '{slide}')) AS window_end FROM candles_1m c) x
+    return using("latest", f"""SELECT asset_symbol, window_end, {measures} FROM (SELECT c.*, unnest(generate_series(
+    time_bucket(INTERVAL '{slide}', open_time) + INTERVAL '{slide}', time_bucket(INTERVAL '{slide}', open_time) + INTERVAL '{length}', INTERVAL '{slide}')) AS window_end FROM latest c) x
     GROUP BY asset_symbol, window_end""")
 
 
 @check("st_range_1h", sliding_sql("1 hour", "1 minute", "max(high) AS highest, min(low) AS lowest"))
 def st_range_1h(spark, sf):
-    return upserted(spark, K.price_range(stream(spark, sf, False)), ["asset_symbol", "window_end"], "window_end")
+    return windowed(spark, sf, K.price_range())
 
 
 @check("st_volatility", sliding_sql("1 hour", "1 minute", f"{r('stddev_samp(close) / nullif(avg(close), 0)', 'volatility')}, stddev_samp(close) / nullif(avg(close), 0) > 0.005::DOUBLE AS is_high"))
 def st_volatility(spark, sf):
-    return rounded(upserted(spark, K.price_volatility(stream(spark, sf, False)), ["asset_symbol", "window_end"], "window_end"), "volatility")
+    return rounded(windowed(spark, sf, K.price_volatility()), "volatility")
 
 
 _FIRST, _LAST = "first(open ORDER BY open_time)", "last(close ORDER BY open_time)"
@@ -145,13 +171,13 @@ _FIRST, _LAST = "first(open ORDER BY open_time)", "last(close ORDER BY open_time
 
 @check("st_change_1h", sliding_sql("1 hour", "10 minutes", f"{_FIRST} AS first_price, {_LAST} AS last_price, {r(f'({_LAST} - {_FIRST}) / nullif({_FIRST}, 0) * 100', 'change_pct')}"))
 def st_change_1h(spark, sf):
-    out = upserted(spark, K.first_last(stream(spark, sf, False), "1 hour", "10 minutes"), ["asset_symbol", "window_end"], "window_end")
+    out = windowed(spark, sf, K.first_last("1 hour", "10 minutes"))
     return rounded(out.drop("momentum"), "change_pct")
 
 
 @check("st_momentum_10m", sliding_sql("10 minutes", "1 minute", f"{_LAST} - {_FIRST} AS momentum"))
 def st_momentum_10m(spark, sf):
-    out = upserted(spark, K.first_last(stream(spark, sf, False), "10 minutes", "1 minute"), ["asset_symbol", "window_end"], "window_end")
+    out = windowed(spark, sf, K.first_last("10 minutes", "1 minute"))
     return out.select("asset_symbol", "window_end", "momentum")
 
 
@@ -171,7 +197,9 @@ def st_volume_spike(spark, sf):
     return rounded(K.volume_bars(_candle_table(spark, sf)).select("asset_symbol", "open_time", "is_spike", "mean_volume"), "mean_volume")
 
 
-@check("st_unique_within_watermark", using("candles_1m", "SELECT asset_symbol, count(*) AS candles FROM candles_1m GROUP BY 1"))
+@check("st_unique_within_watermark", using("topic", """SELECT asset_symbol, open_time, open, num_trades, kafka_partition FROM topic"""))
 def st_unique_within_watermark(spark, sf):
-    out = appended(spark, K.unique_candles(stream(spark, sf)).drop("open_ts"))
-    return out.groupBy("asset_symbol").agg(F.count("*").alias("candles"))
+    """Each candle is stored once, whatever its lateness; which of its messages came first isn't compared."""
+    out = Table(spark, scratch_path(spark, "unique"), ["open_date"])
+    K.finish(K.append_new_candles(stream(spark, sf, 3, shuffled=True), out, chk(spark)))
+    return out.read().select("asset_symbol", "open_time", "open", "num_trades", "kafka_partition")

@@ -137,6 +137,25 @@ def inc_insert_overwrite(spark, sf):
     return t.read()
 
 
+@check("inc_insert_overwrite_columns", f"SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, CAST(NULL AS VARCHAR) AS o_orderstatus, o_totalprice + 1 AS o_totalprice FROM orders WHERE {BATCH}")
+def inc_insert_overwrite_columns(spark, sf):
+    """Only the named columns are inserted; the others become NULL."""
+    t = stored(spark, orders(spark, sf).filter(OLD), "overwrite_columns")
+    incremental.load(t, batch(spark, sf), "insert_overwrite", columns=["o_orderkey", "o_totalprice"])
+    return t.read()
+
+
+@check("inc_merge_newest", f"""SELECT {O} FROM orders WHERE {OLD} AND NOT ({BATCH}) UNION ALL
+    SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 2 AS o_totalprice FROM orders WHERE {BATCH}""")
+def inc_merge_newest(spark, sf):
+    """A batch with two rows per key, reduced to the newest by a stated order."""
+    t = stored(spark, orders(spark, sf).filter(OLD), "merge_newest")
+    b = batch(spark, sf)
+    twice = b.unionByName(b.withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    incremental.load(t, twice, "merge", ["o_orderkey"], newest_by=["o_totalprice"])
+    return t.read()
+
+
 @check("inc_microbatch", """SELECT event_id, CASE WHEN d BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' THEN value + 1 ELSE value END AS value, d
     FROM (SELECT event_id, value, ts::DATE AS d FROM events) WHERE NOT (d = DATE '2024-01-11')""")
 def inc_microbatch(spark, sf):
@@ -263,6 +282,33 @@ def scd2_check(spark, sf):
     return snapshot.snapshot(FIRST(spark, sf), parts_later(spark, sf), ["id"], T2, check_cols=["cmc_rank"])
 
 
+@check("scd2_check_all", _HIST + " UNION ALL ".join([
+    _v("(SELECT p.* FROM p JOIN l USING (id) WHERE p.cmc_rank IS DISTINCT FROM l.cmc_rank OR id % 7 = 0)", T1, _END),
+    _v("(SELECT p.* FROM p JOIN l USING (id) WHERE p.cmc_rank IS NOT DISTINCT FROM l.cmc_rank AND id % 7 <> 0)", T1, _NULL), _v(_GONE, T1, _NULL),
+    _v("(SELECT l.id, CASE WHEN l.id % 7 = 0 AND p.id IS NOT NULL THEN l.name || '!' ELSE l.name END AS name, l.cmc_rank FROM l LEFT JOIN p USING (id)"
+       " WHERE p.id IS NULL OR p.cmc_rank IS DISTINCT FROM l.cmc_rank OR l.id % 7 = 0)", T2, _NULL)]))
+def scd2_check_all(spark, sf):
+    """Every column but the key is compared: some names change, too."""
+    renamed = F.when((F.col("id") % 7 == 0) & (F.col("id") < 1_000_000_000), F.concat("name", F.lit("!"))).otherwise(F.col("name"))
+    return snapshot.snapshot(FIRST(spark, sf), parts_later(spark, sf).withColumn("name", renamed), ["id"], T2, check_cols="all")
+
+
+@check("scd2_check_stamped", _HIST + " UNION ALL ".join([
+    _v(_CHANGED, T1, "TIMESTAMP '2024-03-01 12:00:00'"), _v(_SAME, T1, _NULL), _v(_GONE, T1, _NULL), _v(_NEWER, "2024-03-01 12:00:00", _NULL)]))
+def scd2_check_stamped(spark, sf):
+    """Columns decide what changed, the source's stamp dates it."""
+    stamped = lambda df, at: df.withColumn("seen_at", F.lit(at).cast("timestamp_ntz"))
+    old = snapshot.first_snapshot(stamped(parts(spark, sf), T1), ["id"], F.col("seen_at"))
+    later = stamped(parts_later(spark, sf), "2024-03-01 12:00:00")
+    return snapshot.snapshot(old, later, ["id"], T2, check_cols=["cmc_rank"], updated_at="seen_at").drop("seen_at")
+
+
+@check("scd2_column_names", "SELECT id, name, cmc_rank, dbt_scd_id AS version_id, dbt_updated_at, dbt_valid_from AS starts, dbt_valid_to AS ends FROM (" + history_sql() + ")")
+def scd2_column_names(spark, sf):
+    names = {"dbt_scd_id": "version_id", "dbt_valid_from": "starts", "dbt_valid_to": "ends"}
+    return snapshot.snapshot(FIRST(spark, sf, names=names), parts_later(spark, sf), ["id"], T2, check_cols=["cmc_rank"], names=names)
+
+
 @check("scd2_timestamp", _HIST + " UNION ALL ".join([
     _v("(SELECT * FROM p WHERE id NOT IN (SELECT id FROM l WHERE id % 4 = 0))", T1, _NULL),
     _v("(SELECT * FROM p WHERE id IN (SELECT id FROM l WHERE id % 4 = 0))", T1, _END),
