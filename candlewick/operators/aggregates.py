@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.operators.dedup import first_n_per_key
@@ -56,15 +56,52 @@ def listagg(
     return df.groupBy(*group).agg(F.array_join(F.transform(items, lambda x: x["_text"]), delimiter).alias(name))
 
 
-def describe(df: DataFrame, column: str, accuracy: int = 1_000_000) -> DataFrame:
-    """One-row summary: count, mean, stddev, min, quartiles, max. Quartiles come from a sketch."""
+def quantiles(df: DataFrame, column: str, points: Sequence[float]) -> list[float | None]:
+    """Exact interpolated quantiles at any size; None for each without a value.
+
+    Equal values are counted first, so a frequent one is one row; the distinct values are sorted by range, and only
+    the ranges that hold a wanted rank are looked into.
+    """
+    values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    ranges = stage(values.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "ranges")
+    totals = sorted((r.part, r.n) for r in ranges.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    count = sum(n for _, n in totals)
+    if not count:
+        return [None] * len(points)
+    ranks = sorted({r for p in points for r in (int(p * (count - 1)), min(int(p * (count - 1)) + 1, count - 1))})
+    wanted, before = {}, 0  # range: the ranks inside it
+    for part, n in totals:
+        for r in ranks:
+            if before <= r < before + n:
+                wanted.setdefault(part, []).append((r, r - before))
+        before += n
+    inside = ranges.filter(F.col("part").isin(list(wanted))).withColumn(
+        "upto", F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    hit = F.lit(False)
+    for part, places in wanted.items():
+        for _, place in places:
+            hit |= (F.col("part") == part) & (F.col("upto") - F.col("n") <= place) & (F.col("upto") > place)
+    found = inside.filter(hit).collect()
+    at = {rank: float(next(x.v for x in found if x.part == part and x.upto - x.n <= place < x.upto))
+          for part, places in wanted.items() for rank, place in places}
+    out = []
+    for p in points:
+        low = int(p * (count - 1))
+        out.append(at[low] + (at[min(low + 1, count - 1)] - at[low]) * (p * (count - 1) - low))
+    return out
+
+
+def describe(df: DataFrame, column: str) -> DataFrame:
+    """One-row summary: count, mean, stddev, min, interpolated quartiles, max."""
     c = F.col(column)
+    points = (0.25, 0.5, 0.75)
+    found = quantiles(df, column, points)
     return df.agg(
         F.count(c).alias("count"),
         F.avg(c).alias("mean"),
         F.stddev_samp(c).alias("stddev"),
         F.min(c).alias("min"),
-        *[F.percentile_approx(c, q, accuracy).alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)],
+        *[F.lit(v).cast("double").alias(f"p{int(q * 100)}") for q, v in zip(points, found, strict=True)],
         F.max(c).alias("max"),
     )
 
@@ -75,6 +112,14 @@ def freshness(df: DataFrame, loaded_at: str, where: str | None = None) -> DataFr
     return df.agg(F.max(loaded_at).alias("max_loaded_at"), F.current_timestamp().alias("snapshotted_at"))
 
 
+def freshness_of_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
+    """The same from a query of the caller's that gives one value; it names the tables as ``{name}``."""
+    found = spark.sql(query, **tables)
+    if len(found.columns) != 1:
+        raise ValueError("a freshness query gives one column")
+    return found.select(F.col(found.columns[0]).alias("max_loaded_at"), F.current_timestamp().alias("snapshotted_at")).limit(1)
+
+
 def high_water(df: DataFrame, column: str, default=None) -> DataFrame:
     mark = F.max(column)
     return df.agg((F.coalesce(mark, F.lit(default)) if default is not None else mark).alias("high_water"))

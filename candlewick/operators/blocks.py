@@ -63,21 +63,22 @@ def with_lookback(df: DataFrame, series: Series, n: int, level: int) -> DataFram
     latest_first = Window.partitionBy(*keys, BLOCK).orderBy(*[F.desc(c) for c in order])
     # row_number() <= n is applied before the shuffle, so a hot block sends n rows per map task
     tails = base.withColumn("_rn", F.row_number().over(latest_first)).filter(F.col("_rn") <= n).drop("_rn")
+    seen = f"_seen{level}"
     if level >= 2:
-        # many small blocks: the tails of one key are themselves cut at the coarsest level
-        outer = Series(keys, order, [series.levels[0]])
-        inner = tails.withColumnRenamed(BLOCK, "_fine")
-        tails = with_lookback(inner, outer, n, 0).withColumnRenamed(BLOCK, "_outer").withColumnRenamed(CARRIED, "_seen")
-        tails = tails.withColumnRenamed("_fine", BLOCK)
-        along = Window.partitionBy(*keys, "_outer").orderBy(*order)
+        # many small blocks: the tails are themselves cut at the next coarser level, down to days
+        outer = Series(keys, order, series.levels[:level])
+        fine = f"_fine{level}"
+        inner = with_lookback(tails.withColumnRenamed(BLOCK, fine), outer, n, level - 1)
+        tails = inner.withColumnsRenamed({BLOCK: f"_outer{level}", CARRIED: seen}).withColumnRenamed(fine, BLOCK)
+        along = Window.partitionBy(*keys, f"_outer{level}").orderBy(*order)
     else:
-        tails = tails.withColumn("_seen", F.lit(False))
+        tails = tails.withColumn(seen, F.lit(False))
         along = Window.partitionBy(*keys).orderBy(*order)
     previous = F.collect_list(F.struct(*columns)).over(along.rowsBetween(-n, -1))
     before = F.lag(BLOCK).over(along)
     heads = (
         tails.withColumns({"_previous": previous, "_before": before})
-        .filter(~F.col("_seen") & F.col("_before").isNotNull() & (F.col("_before") != F.col(BLOCK)))
+        .filter(~F.col(seen) & F.col("_before").isNotNull() & (F.col("_before") != F.col(BLOCK)))
         .select(F.col(BLOCK), F.explode("_previous").alias("_row"))
     )
     carried = heads.select(*[F.col("_row")[c].alias(c) for c in columns], F.col(BLOCK), F.lit(True).alias(CARRIED))
@@ -106,12 +107,24 @@ def over_series(
 
 
 def running_sum(df: DataFrame, series: Series, value: str, name: str, level: int) -> DataFrame:
-    """Running total along a hot key: totals per block first, then an offset for each block."""
+    """Running total along a hot key: totals per block first, then an offset for each block.
+
+    With many small blocks the offsets are themselves sums of two steps, so no task sees all blocks of a key.
+    """
     keys = list(series.keys)
-    base = df.withColumn(BLOCK, series.levels[level])
-    totals = base.groupBy(*keys, BLOCK).agg(F.sum(value).alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, BLOCK, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+    base = df.withColumn(BLOCK, series.levels[level]).withColumn("_outer", series.levels[max(0, min(level - 1, 1))])
+    totals = base.groupBy(*keys, "_outer", BLOCK).agg(F.sum(value).alias("_total"))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda order, *by: F.coalesce(F.sum("_total").over(before(*by).orderBy(order)), F.lit(0))
+    if level >= 2:
+        # offsets of days (or months) first, then of the blocks inside each
+        outer = totals.groupBy(*keys, "_outer").agg(F.sum("_total").alias("_total"))
+        outer = outer.select(*keys, "_outer", earlier("_outer", *keys).alias("_start"))
+        inner = totals.select(*keys, "_outer", BLOCK, earlier(BLOCK, *keys, "_outer").alias("_rest"))
+        offsets = inner.join(outer, [*keys, "_outer"]).select(*keys, BLOCK, (F.col("_start") + F.col("_rest")).alias("_offset"))
+    else:
+        offsets = totals.select(*keys, BLOCK, earlier(BLOCK, *keys).alias("_offset"))
+    base = base.drop("_outer")
     w = Window.partitionBy(*keys, BLOCK).orderBy(*series.order).rowsBetween(Window.unboundedPreceding, 0)
     inside = base.withColumn("_inside", F.sum(value).over(w))
     return (

@@ -11,12 +11,21 @@ from pyspark.sql import functions as F
 from candlewick.session import stage
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 64
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when the frame holds at most ``rows`` rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True when the frame holds at most ``rows`` rows of ``size`` bytes together; reads no more rows than that.
+
+    Texts count by their length, every other column for eight bytes.
+    """
+    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    width = F.lit(8 * len(df.columns)).cast("bigint")
+    for c in texts:
+        width = width + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("size")).first()
+    return found.n <= rows and (found["size"] or 0) <= size
 
 
 def lookup_join(
@@ -51,7 +60,13 @@ def lookup_join(
 
 
 def fixed_lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
-    """Join to a dimension whose size is fixed by its definition (calendar days, seconds of a day)."""
+    """Join to a dimension whose size is fixed by its definition (calendar days, seconds of a day).
+
+    The definition is held to it by the planner's size of the dimension; a larger one is refused.
+    """
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > BROADCAST_BYTES:
+        raise ValueError(f"a fixed dimension of {size} bytes is too large to send to every task")
     return facts.join(F.broadcast(dim), on, how)
 
 

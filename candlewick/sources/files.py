@@ -165,6 +165,13 @@ def tradable_bases(info: DataFrame, quote: str = "USDT", status: str = "TRADING"
 
 
 def seed_csv(spark: SparkSession, path, overrides: dict[str, str]) -> DataFrame:
-    """A small CSV with inferred types, some of them overridden."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return df.withColumns({c: F.col(c).cast(t) for c, t in overrides.items()})
+    """A small CSV with inferred types, some of them overridden.
+
+    An overridden column is read with its type from the text itself, so a text keeps its leading zeros.
+    """
+    inferred = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+    given = {c.lower(): t for c, t in overrides.items()}
+    if unknown := set(given) - {f.name.lower() for f in inferred}:
+        raise ValueError(f"no column {', '.join(sorted(unknown))} in the file")
+    types = ", ".join(f"`{f.name}` {given.get(f.name.lower(), f.dataType.simpleString())}" for f in inferred)
+    return spark.read.option("header", True).schema(types).csv(path)

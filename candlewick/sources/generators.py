@@ -29,14 +29,19 @@ def intervals_between(part: str, start, end) -> Column:
 def date_spine(bounds: DataFrame, part: str, start: str = "start", end: str = "end", inclusive: bool = False) -> DataFrame:
     """One row per period from start on, end exclusive by default.
 
-    ``bounds`` is a one-row frame, so the bounds may be aggregates that stay on the cluster.
+    ``bounds`` is a one-row frame; its two values and the number of periods come to the driver, and the rows are
+    made where they are used.
     """
     name = f"date_{part}"
-    seq = F.expr(f"sequence(cast({start} as timestamp_ntz), cast({end} as timestamp_ntz), interval 1 {part})")
-    out = bounds.select(F.explode(seq).alias(name), F.col(end).cast("timestamp_ntz").alias("_end"))
-    if not inclusive:
-        out = out.filter(F.col(name) < F.col("_end"))
-    return out.drop("_end")
+    first, last = (F.col(c).cast("timestamp_ntz") for c in (start, end))
+    found = bounds.select(first.alias("a"), last.alias("b"), F.timestamp_diff(part.upper(), first, last).alias("n")).first()
+    spark = bounds.sparkSession
+    if found is None or found.n is None or found.n < 0:
+        return spark.range(0).select(F.lit(None).cast("timestamp_ntz").alias(name))
+    at = F.timestamp_add(part.upper(), F.col("id").cast("int"), F.lit(found.a).cast("timestamp_ntz"))
+    rows = spark.range(found.n + 2).select(at.alias(name))
+    end_at = F.lit(found.b).cast("timestamp_ntz")
+    return rows.filter(F.col(name) <= end_at if inclusive else F.col(name) < end_at)
 
 
 def literal_rows(spark: SparkSession, data: list[dict], schema: T.StructType) -> DataFrame:

@@ -133,10 +133,10 @@ def agg_bool_or(spark, sf):
 
 
 @check("agg_describe", f"""SELECT count(o_totalprice) AS "count", {r('avg(o_totalprice)', 'mean')}, {r('stddev_samp(o_totalprice)', 'stddev')},
-    min(o_totalprice) AS "min", quantile_disc(o_totalprice, 0.25) AS p25, quantile_disc(o_totalprice, 0.5) AS p50,
-    quantile_disc(o_totalprice, 0.75) AS p75, max(o_totalprice) AS "max" FROM orders""")
+    min(o_totalprice) AS "min", {r('quantile_cont(o_totalprice, 0.25)', 'p25')}, {r('quantile_cont(o_totalprice, 0.5)', 'p50')},
+    {r('quantile_cont(o_totalprice, 0.75)', 'p75')}, max(o_totalprice) AS "max" FROM orders""")
 def agg_describe(spark, sf):
-    return rounded(A.describe(table(spark, sf, "orders"), "o_totalprice"), "mean", "stddev")
+    return rounded(A.describe(table(spark, sf, "orders"), "o_totalprice"), "mean", "stddev", "p25", "p50", "p75")
 
 
 @check("agg_freshness", "SELECT max(ts) AS max_loaded_at FROM events WHERE event_type = 'click'")
@@ -144,6 +144,12 @@ def agg_freshness(spark, sf):
     return A.freshness(table(spark, sf, "events"), "ts", "event_type = 'click'").drop("snapshotted_at")
 
 
+@check("agg_freshness_query", "SELECT max(ts) AS max_loaded_at FROM events WHERE event_type <> 'click' AND value > 10")
+def agg_freshness_query(spark, sf):
+    query = "SELECT max(ts) FROM {events} WHERE event_type <> 'click' AND value > 10"
+    return A.freshness_of_query(spark, query, events=table(spark, sf, "events")).drop("snapshotted_at")
+
+
 # ---- sorts and limits -------------------------------------------------------
 
 
@@ -218,6 +224,7 @@ def set_intersect(spark, sf):
     return sets.intersect(table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("k")))
 
 
-@check("set_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@check("set_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 400000")
 def set_except(spark, sf):
-    return sets.except_(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").select(F.col("o_custkey").alias("k")))
+    dear = table(spark, sf, "orders").filter("o_totalprice > 400000")
+    return sets.except_(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), dear.select(F.col("o_custkey").alias("k")))

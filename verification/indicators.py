@@ -107,11 +107,12 @@ def ind_rsi_14(spark, sf):
 
 
 def ema_sql(source, value, n, name):
-    """An exponential mean as a weighted sum over all earlier rows."""
+    """An exponential mean by its own recursion, row by row."""
     a = f"(2.0::DOUBLE / {n + 1})"
-    return f"""(SELECT t.asset_pair_symbol, t.open_date, sum(s.v * CASE WHEN s.i = 1 THEN 1 ELSE {a} END * pow(1 - {a}, t.i - s.i)) AS {name}
-    FROM (SELECT {KEYS}, row_number() OVER ({W}) AS i FROM {source}) t
-    JOIN (SELECT {KEYS}, {value} AS v, row_number() OVER ({W}) AS i FROM {source}) s ON s.asset_pair_symbol = t.asset_pair_symbol AND s.i <= t.i GROUP BY 1, 2)"""
+    return f"""(WITH RECURSIVE numbered AS (SELECT {KEYS}, CAST({value} AS DOUBLE) AS v, row_number() OVER ({W}) AS i FROM {source}),
+    steps AS (SELECT {KEYS}, i, v AS {name} FROM numbered WHERE i = 1 UNION ALL
+    SELECT n.asset_pair_symbol, n.open_date, n.i, {a} * n.v + (1 - {a}) * s.{name} FROM steps s JOIN numbered n
+    ON n.asset_pair_symbol = s.asset_pair_symbol AND n.i = s.i + 1) SELECT {KEYS}, {name} FROM steps)"""
 
 
 @check("ind_ema", using("daily", f"SELECT {KEYS}, close, {rr('ema_12', 'ema_26')} FROM daily JOIN {ema_sql('daily', 'close', 12, 'ema_12')} USING ({KEYS}) JOIN {ema_sql('daily', 'close', 26, 'ema_26')} USING ({KEYS})"))
@@ -251,13 +252,14 @@ def ind_price_volume_confirm(spark, sf):
     return pick(I.price_volume_confirm(daily(spark, sf)), ["price_volume"])
 
 
-# a day of one candle has its close as its mean price up to the last digit, so the border is compared on the grid
-@check("ind_price_vs_vwap", using("daily, candles_long", f"""SELECT {KEYS}, {r('close - v', 'distance', 4)} FROM daily JOIN (SELECT {KEYS}, {_VWAP} AS v FROM candles_long GROUP BY 1, 2) USING ({KEYS})"""))
+# a day of one candle has its close as its mean price up to the last digit, so such a day counts as neutral
+@check("ind_price_vs_vwap", using("daily, candles_long", f"""SELECT {KEYS}, {r('close - v', 'distance', 4)}, CASE WHEN close - v > 1e-6::DOUBLE THEN 'bullish'
+    WHEN close - v < -1e-6::DOUBLE THEN 'bearish' ELSE 'neutral' END AS vwap_side FROM daily JOIN (SELECT {KEYS}, {_VWAP} AS v FROM candles_long GROUP BY 1, 2) USING ({KEYS})"""))
 def ind_price_vs_vwap(spark, sf):
     c = candles_long(spark, sf)
     c = stage(c, "hourly")
-    df = I.price_vs_vwap(c, facts.candles_daily(c, DAY_KEYS))
-    return rounded(df.select(*DAY_KEYS, (F.col("close") - F.col("vwap")).alias("distance")), "distance", places=4)
+    df = I.price_vs_vwap(c, facts.candles_daily(c, DAY_KEYS), 1e-6)
+    return rounded(df.select(*DAY_KEYS, (F.col("close") - F.col("vwap")).alias("distance"), "vwap_side"), "distance", places=4)
 
 
 @check("ind_signal_checklist", using("daily", f"""SELECT {KEYS}, CASE WHEN rsi_14 < 30 THEN 'buy' WHEN rsi_14 > 70 THEN 'sell' ELSE 'none' END AS rsi_signal,

@@ -125,9 +125,9 @@ def join_anti_not_in(spark, sf):
     return J.not_in(o, dear, ["o_custkey", "o_orderstatus"])
 
 
-@check("join_anti_is_null", "SELECT c_custkey, c_name FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE o_orderkey IS NULL")
+@check("join_anti_is_null", "SELECT c_custkey, c_name FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON o_custkey = c_custkey WHERE o_orderkey IS NULL")
 def join_anti_is_null(spark, sf):
-    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    o = table(spark, sf, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
     return J.absent(table(spark, sf, "customer").select("c_custkey", "c_name"), o, ["c_custkey"])
 
 

@@ -46,6 +46,19 @@ def dq_severity(spark, sf):
     return Q.severity(Q.not_null(nulled(spark, sf), "k"), rule)
 
 
+@check("dq_fail_calc", """SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS failures, sum(n) > 100 AS should_warn, sum(n) > 1000000000 AS should_error FROM (
+    SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)""")
+def dq_fail_calc(spark, sf):
+    """Failures counted as all rows of a repeated key, not as keys."""
+    rule = Q.Severity("failures > 100", "failures > 1000000000", fail_calc="sum(n_records)")
+    return Q.severity(Q.unique_combination(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]), rule)
+
+
+@check("dq_failures_view", f"SELECT * FROM {_NULLED} WHERE k IS NULL")
+def dq_failures_view(spark, sf):
+    return Q.failures_view(Q.not_null(nulled(spark, sf), "k"), "rows_without_k")
+
+
 @check("dq_store_failures", f"SELECT * FROM {_NULLED} WHERE k IS NULL")
 def dq_store_failures(spark, sf):
     return Q.store_failures(Q.not_null(nulled(spark, sf), "k"), scratch_path(spark, "failures"))

@@ -140,11 +140,13 @@ def src_intervals_between(spark, sf):
     return span.select("o_custkey", G.intervals_between("day", "a", "b").alias("days"), G.intervals_between("month", "a", "b").alias("months"))
 
 
-@check("src_seed_csv", "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_acctbal FROM customer")
+@check("src_seed_csv", "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS c_nationkey, c_acctbal FROM customer")
 def src_seed_csv(spark, sf):
-    path = _csv(table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal"), spark, "seed")
+    """Codes with leading zeros look like numbers and stay texts."""
+    code = F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("c_nationkey")
+    path = _csv(table(spark, sf, "customer").select("c_custkey", code, "c_acctbal"), spark, "seed")
     seeds = Table(spark, scratch_path(spark, "seed_table"))
-    seeds.replace(files.seed_csv(spark, path, {"c_custkey": "bigint", "c_nationkey": "string"}))
+    seeds.replace(files.seed_csv(spark, path, {"c_custkey": "bigint", "C_NATIONKEY": "string"}))
     return seeds.read()
 
 
