@@ -23,6 +23,11 @@ def _times(time_dim: DataFrame, *cols) -> DataFrame:
     return time_dim.select(F.col("time_sk").alias("time_fk"), *cols)
 
 
+def outside_calendar(trades: DataFrame) -> DataFrame:
+    """Days of trades that the calendar doesn't have, with their number of trades; the star joins would drop these."""
+    return trades.filter(F.col("date_fk").isNull()).groupBy("transaction_date").agg(F.count("*").alias("trades"))
+
+
 def trade_size_distribution(trades: DataFrame) -> DataFrame:
     sized = trades.select("pair_symbol", X.trade_size(F.col("price") * F.col("quantity")).alias("_size"))
     labels = [label for _, label in X.TRADE_SIZES] + [X.TRADE_SIZE_TOP]

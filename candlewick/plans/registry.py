@@ -31,6 +31,11 @@ class Model:
     cluster_by: Sequence[str] = ()
     reads_itself: bool = False
     options: dict = field(default_factory=dict)
+    check: Callable[[DataFrame], DataFrame] | None = None  # failing rows of the stored result
+
+
+class CheckFailed(ValueError):
+    """A stored model holds rows that its check refuses."""
 
 
 class Project:
@@ -75,6 +80,10 @@ class Project:
                     table, rows, m.strategy, m.unique_key, m.on_schema_change, full_refresh,
                     cluster_by=m.cluster_by, **m.options,
                 )
+            if m.check is not None:
+                failing = m.check(table.read()).limit(5).collect()
+                if failing:
+                    raise CheckFailed(f"{name}: {failing}")
             self.refs.add_model(name, table.read)
         return done
 
@@ -109,7 +118,7 @@ def market_models(spark: SparkSession, refs: Refs, root: str, start=dims.DATE_ST
         Model(
             "trades_fct", facts.fct_trades, ["stg_agg_trades", "assets_dim", "date_dim"], "incremental", "merge",
             ["trades_sk", "transaction_date"], "fail", ["transaction_date"], reads_itself=True,
-            options={"partition_in_key": True},
+            options={"partition_in_key": True}, check=marts.outside_calendar,
         ),
         Model("fct_ohlcv_daily", facts.fct_ohlcv_daily, ["ohlcv_fct"], cluster_by=by_day),
         Model(

@@ -79,3 +79,20 @@ def test_small_ids_per_block(spark):
     got = blocks.over_series(t, series, 3, lambda w: {"m": X.sma("price", 4, w)}, level=4)
     want = t.select("agg_trade_id", F.avg("price").over(whole().rowsBetween(-3, 0)).alias("want"))
     assert got.join(want, "agg_trade_id").filter(F.abs(F.col("m") - F.col("want")) > 1e-9).count() == 0
+
+
+def test_many_small_blocks(spark):
+    """Thousands of blocks of one pair: tails and offsets are cut in steps, down to seconds."""
+    t = spark.range(4000).select(
+        F.col("id").alias("agg_trade_id"), F.lit("HOTUSDT").alias("pair_symbol"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") / 500).cast("int")).alias("transaction_date"),
+        F.date_format(F.timestamp_seconds(F.col("id") % 500 * 37), "HH:mm:ss").alias("transaction_time"),
+        (F.col("id") * 7 % 31).cast("double").alias("price"), (F.col("id") % 9).cast("double").alias("quantity"))
+    for level in (3, 4):
+        got = marts.volatility_rows(t, 7, level)
+        want = t.select("agg_trade_id", F.stddev_samp("price").over(whole().rowsBetween(-6, 0)).alias("want"))
+        both = got.join(want, "agg_trade_id")
+        assert both.count() == 4000 and both.filter(~F.round("volatility_7_day", 9).eqNullSafe(F.round("want", 9))).count() == 0
+    runs = indicators.flow_streaks(t, F.when(F.col("quantity") > 4, "buy").otherwise("sell"), 4)
+    assert runs.agg(F.sum("trades")).first()[0] == 4000 and runs.count() == runs.select("run").distinct().count()
+    assert runs.agg(F.max("run")).first()[0] == runs.count()

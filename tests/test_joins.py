@@ -60,3 +60,17 @@ def test_not_in_follows_sql(spark):
 def test_against_group_mean(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 10.0), ("b", 2.0), ("b", None)], "g string, v double")
     assert rows(joins.against_group_mean(df, ["g"], "v", 2).select("g", "v")) == [("a", 10.0)]
+
+
+def test_small_enough_counts_rows_and_bytes(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    assert joins.small_enough(df) and not joins.small_enough(df, rows=99)
+    assert not joins.small_enough(df, size=100_000) and joins.small_enough(df, size=110_000)
+
+
+def test_fixed_lookup_refuses_a_large_side(spark, monkeypatch):
+    days, facts = spark.range(1000).withColumnRenamed("id", "k"), spark.range(10).withColumnRenamed("id", "k")
+    assert joins.fixed_lookup(facts, days, "k").count() == 10
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    with pytest.raises(ValueError, match="too large"):
+        joins.fixed_lookup(facts, days, "k")

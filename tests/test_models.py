@@ -59,7 +59,7 @@ def test_project_builds_and_reruns(spark, sf):
 
     refs = Refs(spark)
     refs.add_source("raw", "agg_trades", lambda: base.raw_trades(spark, sf))
-    refs.add_source("raw", "scd_raw_assets", lambda: base.scd_assets(spark))
+    refs.add_source("raw", "scd_raw_assets", lambda: base.scd_assets(spark, sf))
     refs.add_source("raw", "kline", lambda: base.kline_messages(spark, sf))
     refs.add_source("raw", "ohlcv", lambda: bronze_ohlcv(spark, sf))
     project = registry.market_models(spark, refs, scratch_path(spark, "project"), base.CAL_START, base.CAL_END)
@@ -80,3 +80,16 @@ def test_unknown_names(spark):
         refs.ref("nothing")
     with pytest.raises(KeyError):
         refs.source("raw", "nothing")
+
+
+def test_trades_outside_the_calendar_are_refused(spark, sf):
+    from verification.models import bronze_ohlcv
+
+    refs = Refs(spark)
+    refs.add_source("raw", "agg_trades", lambda: base.raw_trades(spark, sf))
+    refs.add_source("raw", "scd_raw_assets", lambda: base.scd_assets(spark, sf))
+    refs.add_source("raw", "kline", lambda: base.kline_messages(spark, sf))
+    refs.add_source("raw", "ohlcv", lambda: bronze_ohlcv(spark, sf))
+    project = registry.market_models(spark, refs, scratch_path(spark, "short"), base.CAL_START, "2024-01-05")
+    with pytest.raises(registry.CheckFailed, match="trades_fct"):
+        project.run()

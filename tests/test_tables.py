@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick.session import scratch_path
+from candlewick.operators import aggregates
+from candlewick.sources import files
 from candlewick.sources import generators as G
 from candlewick.tables import drift, incremental, quality, snapshot
 from candlewick.tables.store import Table
@@ -354,3 +356,66 @@ def test_date_spine_end(spark):
     assert G.date_spine(b, "day").count() == 3 and G.date_spine(b, "day", inclusive=True).count() == 4
     with pytest.raises(ValueError):
         G.generate_series(spark, 0)
+
+
+def test_long_date_spine_is_not_one_row(spark):
+    b = spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS start, timestamp'2025-01-01 00:00:00' AS end")
+    assert G.date_spine(b, "minute").count() == 366 * 1440
+    months = G.date_spine(spark.sql("SELECT date'2024-01-31' AS start, date'2024-05-01' AS end"), "month")
+    assert [str(r.date_month)[:10] for r in months.collect()] == ["2024-01-31", "2024-02-29", "2024-03-31", "2024-04-30"]
+    assert G.date_spine(spark.sql("SELECT CAST(NULL AS DATE) AS start, date'2024-01-01' AS end"), "day").count() == 0
+
+
+def test_seed_override_keeps_the_text(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("code,n,v\n007,1,1.5\n010,2,\n")
+    got = files.seed_csv(spark, str(tmp_path / "s.csv"), {"CODE": "string", "n": "bigint"})
+    assert rows(got) == [("007", 1, 1.5), ("010", 2, None)] and got.dtypes == [("code", "string"), ("n", "bigint"), ("v", "double")]
+    with pytest.raises(ValueError):
+        files.seed_csv(spark, str(tmp_path / "s.csv"), {"none": "string"})
+
+
+@pytest.mark.parametrize("values", [[], [5.0], [1.0, 2.0], [3.0] * 50 + [1.0, 9.0], [float(x * 7 % 101) for x in range(101)], [None, 4.0, None, 8.0]])
+def test_quantiles(spark, values):
+    import numpy as np
+
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    points = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    known = [v for v in values if v is not None]
+    want = [float(np.quantile(known, p)) for p in points] if known else [None] * len(points)
+    got = aggregates.quantiles(df, "v", points)
+    assert got == want or np.allclose(got, want, rtol=1e-12)
+
+
+def test_snapshot_forms(spark):
+    s1 = spark.createDataFrame([(1, "a", 5, "x"), (2, "b", 6, "y")], "id int, name string, rank int, seen string")
+    s2 = spark.createDataFrame([(1, "a", 5, "z"), (2, "B", 6, "z")], "id int, name string, rank int, seen string")
+    first = snapshot.first_snapshot(s1, ["id"], F.lit(D1))
+    everything = snapshot.snapshot(first, s2, ["id"], D2, check_cols="all")
+    assert everything.filter(snapshot.is_open()).filter(F.col("dbt_valid_from") == F.lit(D2).cast("timestamp_ntz")).count() == 2
+    with pytest.raises(ValueError):
+        snapshot.snapshot(first, s2, ["id"], D2, check_cols="some")
+    stamped = s2.withColumn("seen", F.lit("2024-01-01 06:00:00"))
+    one = snapshot.snapshot(first, stamped, ["id"], D2, check_cols=["name"], updated_at="seen")
+    assert [(r.id, r.dbt_valid_from.hour) for r in one.filter("dbt_valid_from > timestamp_ntz'2024-01-01 00:00:00'").collect()] == [(2, 6)]
+    names = {"dbt_valid_from": "a", "dbt_valid_to": "b", "dbt_is_deleted": "gone"}
+    own = snapshot.first_snapshot(s1, ["id"], F.lit(D1), hard_deletes="new_record", names=names)
+    own = snapshot.snapshot(own, s2.filter("id = 1"), ["id"], D2, check_cols=["name"], hard_deletes="new_record", names=names)
+    assert {"a", "b", "gone"} <= set(own.columns) and not {"dbt_valid_to", "dbt_is_deleted"} & set(own.columns)
+    assert own.filter(snapshot.is_open(valid_to="b")).count() == 2 and own.filter("gone = 'True'").count() == 1
+    with pytest.raises(ValueError):
+        snapshot.first_snapshot(s1, ["id"], F.lit(D1), names={"nope": "x"})
+
+
+def test_fail_calc_and_view(spark):
+    failing = spark.createDataFrame([(3,), (4,)], "n int")
+    one = lambda rule, df=failing: quality.severity(df, rule).collect()[0].failures
+    assert one(quality.Severity()) == 2 and one(quality.Severity(fail_calc="sum(n)")) == 7
+    assert one(quality.Severity(fail_calc="sum(n)"), failing.limit(0)) == 0
+    assert quality.failures_view(failing, "bad_rows").count() == spark.table("bad_rows").count() == 2
+
+
+def test_freshness_of_a_query(spark):
+    df = spark.createDataFrame([(1,), (5,)], "t int")
+    assert aggregates.freshness_of_query(spark, "SELECT max(t) FROM {x}", x=df).collect()[0].max_loaded_at == 5
+    with pytest.raises(ValueError):
+        aggregates.freshness_of_query(spark, "SELECT 1, 2")

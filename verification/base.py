@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from functools import wraps
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from candlewick.operators.aggregates import joined_key, order_key
 from candlewick.plans import dims, facts, staging
-from candlewick.sources.generators import literal_rows
+from candlewick.session import stage
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -50,6 +49,22 @@ def rr(*names: str, places: int = 6) -> str:
     return ", ".join(r(n, n.split(".")[-1], places) for n in names)
 
 
+def significant(df: DataFrame, *cols: str) -> DataFrame:
+    """Values that leave any fixed grid, as seven significant digits and their scale."""
+    for c in cols:
+        x = F.col(c)
+        scale = F.when(x != 0, F.floor(F.log10(F.abs(x))) - 6)
+        digits = F.when(x == 0, F.lit(0.0)).otherwise(F.floor(x / F.pow(F.lit(10.0), scale) + 0.501).cast("double"))
+        df = df.withColumns({f"{c}_scale": scale.cast("int"), f"{c}_digits": digits}).drop(c)
+    return df
+
+
+def sig(expr: str, name: str) -> str:
+    scale = f"CASE WHEN ({expr}) <> 0 THEN floor(log10(abs({expr}))) - 6 END"
+    return f"""CAST({scale} AS INTEGER) AS {name}_scale, CASE WHEN ({expr}) = 0 THEN 0.0::DOUBLE
+        WHEN ({expr}) <> 0 THEN floor(({expr}) / pow(10.0::DOUBLE, floor(log10(abs({expr}))) - 6) + 0.501) END AS {name}_digits"""
+
+
 # ---- stand-in tables in Spark -----------------------------------------------
 
 
@@ -136,7 +151,7 @@ def candles_long(spark, sf) -> DataFrame:
     base = F.concat("l_returnflag", "l_linestatus")
     return h.select(
         F.concat(base, F.lit("USDT")).alias("asset_pair_symbol"), base.alias("base_asset_symbol"),
-        F.lit("USDT").alias("quote_asset_symbol"), "open_date",
+        F.right(F.concat(base, F.lit("USDT")), F.lit(4)).alias("quote_asset_symbol"), "open_date",
         hour.alias("open_time"), F.col("open_date").alias("close_date"), hour.alias("close_time"),
         "open", "high", "low", "close", "base_asset_volume", "quote_asset_volume", "num_trades",
         "taker_buy_base_volume", "taker_buy_quote_volume", F.lit("batch").alias("record_source"),
@@ -217,40 +232,38 @@ def daily_series(spark, sf) -> DataFrame:
 
 # ---- assets -----------------------------------------------------------------
 
-SYMBOLS = ["VIE", "CLI", "PUR", "ERR", "SIG", "af", "AO", "NF", "NO", "RF", "USDT"]
 VERSION_CUT = "2024-01-16 00:00:00"
+_ASSETS: dict = {}
+
+
+def scd_assets(spark, sf) -> DataFrame:
+    """Asset versions of the symbols that occur in the trades and line items, one symbol left out and one written
+    in lower case. Every other asset has a second version."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _ASSETS:
+        return _ASSETS[key]
+    pairs = raw_trades(spark, sf).select("pair_symbol").distinct()
+    lines = table(spark, sf, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("s")).distinct().filter("s <> 'RO'")
+    symbols = pairs.select(F.replace("pair_symbol", F.lit("USDT"), F.lit("")).alias("s")).unionAll(
+        pairs.select(F.right("pair_symbol", F.lit(4)).alias("s"))).unionAll(lines.selectExpr("if(s = 'AF', 'af', s) AS s")).distinct()
+    i, v = F.col("i"), F.col("v")
+    numbered = symbols.withColumn("i", F.row_number().over(Window.orderBy(F.upper("s"))).cast("bigint") - 1)  # a dozen rows
+    rows = numbered.withColumn("v", F.explode(F.expr("IF(i % 2 = 0, array(0L, 1L), array(0L))")))
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    out = rows.select(
+        (i + 1).alias("id"), F.concat(F.lit("Asset "), "s").alias("name"), F.col("s").alias("pair_symbol"),
+        (i + 100).alias("num_market_pairs"), at("2015-07-30 12:00:00").alias("date_added"),
+        F.when(i % 3 != 0, i * F.lit(1000.0)).alias("max_supply"), (i * F.lit(500.0)).alias("circulating_supply"),
+        (i + 1 + v).alias("cmc_rank"), at("2024-01-20 00:00:00").alias("last_updated"), at("2024-01-21 00:00:00").alias("timestamp"),
+        F.when(v == 0, at("2019-01-01 00:00:00")).otherwise(at(VERSION_CUT)).alias("dbt_valid_from"),
+        F.when((v == 0) & (i % 2 == 0), at(VERSION_CUT)).alias("dbt_valid_to"),
+    )
+    _ASSETS[key] = stage(out, "assets")  # read by most queries
+    return _ASSETS[key]
 
 
-def asset_rows() -> list[dict]:
-    out = []
-    for i, s in enumerate(SYMBOLS):
-        spans = [("2019-01-01 00:00:00", VERSION_CUT), (VERSION_CUT, None)] if i % 2 == 0 else [("2019-01-01 00:00:00", None)]
-        for v, (start, end) in enumerate(spans):
-            out.append(
-                dict(
-                    id=i + 1, name=f"Asset {s}", pair_symbol=s, num_market_pairs=100 + i, date_added="2015-07-30 12:00:00",
-                    max_supply=None if i % 3 == 0 else 1000.0 * i, circulating_supply=500.0 * i, cmc_rank=i + 1 + v,
-                    last_updated="2024-01-20 00:00:00", timestamp="2024-01-21 00:00:00",
-                    dbt_valid_from=start, dbt_valid_to=end,
-                )
-            )
-    return out
-
-
-_TIMES = ("date_added", "last_updated", "timestamp", "dbt_valid_from", "dbt_valid_to")
-
-
-def scd_assets(spark) -> DataFrame:
-    kinds = {"id": T.LongType(), "num_market_pairs": T.LongType(), "cmc_rank": T.LongType(),
-             "max_supply": T.DoubleType(), "circulating_supply": T.DoubleType()}
-    names = list(asset_rows()[0])
-    schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
-    df = literal_rows(spark, asset_rows(), schema)
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in _TIMES})
-
-
-def assets_dim(spark) -> DataFrame:
-    return dims.assets_dim(staging.stg_assets(scd_assets(spark)))
+def assets_dim(spark, sf) -> DataFrame:
+    return dims.assets_dim(staging.stg_assets(scd_assets(spark, sf)))
 
 
 def calendar(spark) -> DataFrame:
@@ -258,28 +271,25 @@ def calendar(spark) -> DataFrame:
 
 
 def trades_fct(spark, sf, versions: str = "as_of") -> DataFrame:
-    return facts.fct_trades(stg_trades(spark, sf), assets_dim(spark), calendar(spark), versions=versions)
+    return facts.fct_trades(stg_trades(spark, sf), assets_dim(spark, sf), calendar(spark), versions=versions)
 
 
 def hourly_fct(spark, sf) -> DataFrame:
-    return facts.fct_ohlcv_hourly(candles_long(spark, sf), assets_dim(spark), calendar(spark))
+    return facts.fct_ohlcv_hourly(candles_long(spark, sf), assets_dim(spark, sf), calendar(spark))
 
 
 # ---- the same tables as SQL -------------------------------------------------
 
 
-def _values() -> str:
-    def lit(n, v):
-        if v is None:
-            return "CAST(NULL AS TIMESTAMP)" if n in _TIMES else "CAST(NULL AS DOUBLE)"
-        if n in _TIMES:
-            return f"TIMESTAMP '{v}'"
-        return f"'{v}'" if isinstance(v, str) else f"CAST({v} AS {'DOUBLE' if isinstance(v, float) else 'BIGINT'})"
-
-    rows = asset_rows()
-    names = ", ".join(f'"{n}"' for n in rows[0])
-    body = ", ".join("(" + ", ".join(lit(n, v) for n, v in row.items()) + ")" for row in rows)
-    return f"SELECT * FROM (VALUES {body}) AS t({names})"
+_ASSETS_SQL = f"""SELECT i + 1 AS id, 'Asset ' || s AS name, s AS pair_symbol, i + 100 AS num_market_pairs, TIMESTAMP '2015-07-30 12:00:00' AS date_added,
+    CASE WHEN i % 3 <> 0 THEN i * 1000.0::DOUBLE END AS max_supply, i * 500.0::DOUBLE AS circulating_supply, i + 1 + v AS cmc_rank,
+    TIMESTAMP '2024-01-20 00:00:00' AS last_updated, TIMESTAMP '2024-01-21 00:00:00' AS "timestamp",
+    CASE WHEN v = 0 THEN TIMESTAMP '2019-01-01 00:00:00' ELSE TIMESTAMP '{VERSION_CUT}' END AS dbt_valid_from,
+    CASE WHEN v = 0 AND i % 2 = 0 THEN TIMESTAMP '{VERSION_CUT}' END AS dbt_valid_to
+    FROM (SELECT s, row_number() OVER (ORDER BY upper(s)) - 1 AS i FROM (SELECT DISTINCT upper(left(event_type, 3)) AS s FROM events
+    UNION SELECT DISTINCT right(upper(left(event_type, 3)) || 'USDT', 4) FROM events
+    UNION SELECT DISTINCT CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'af' ELSE l_returnflag || l_linestatus END FROM lineitem
+    WHERE l_returnflag || l_linestatus <> 'RO')), (VALUES (0), (1)) t(v) WHERE v = 0 OR i % 2 = 0"""
 
 
 def key_sql(*cols: str) -> str:
@@ -390,7 +400,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         p_retailprice / 2 AS circulating_supply, CAST(p_size AS BIGINT) AS cmc_rank,
         TIMESTAMP '2020-01-01' + to_days(p_size + 100) AS last_updated, TIMESTAMP '2020-01-01' + to_days(1000) AS "timestamp",
         TIMESTAMP '2020-01-01' AS dbt_valid_from, CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM part"""),
-    "raw_assets": ((), _values()),
+    "raw_assets": ((), _ASSETS_SQL),
     "stg_assets": (("raw_assets",), """SELECT id AS asset_id, name AS asset_name, pair_symbol AS symbol, num_market_pairs,
         CAST(date_added AS DATE) AS asset_launch_date, max_supply, circulating_supply,
         CASE WHEN max_supply IS NULL THEN 'Unlimited' ELSE 'Fixed' END AS supply_type,

@@ -44,7 +44,7 @@ def join_left_dim_lookup(spark, sf):
     FROM candles_long LEFT JOIN assets_dim ON upper(base_asset_symbol) = upper(symbol) AND rank_valid_to IS NULL"""))
 def join_left_current_version(spark, sf):
     c = candles_long(spark, sf).select("asset_pair_symbol", "base_asset_symbol", "open_date", "open_time")
-    return facts.with_asset_key(c, facts.current_assets(assets_dim(spark)), "base_asset_symbol", "base_asset_fk").drop("base_asset_symbol")
+    return facts.with_asset_key(c, facts.current_assets(assets_dim(spark, sf)), "base_asset_symbol", "base_asset_fk").drop("base_asset_symbol")
 
 
 @check("join_left_expr_key", using("time_dim", """SELECT event_id, time_sk FROM events LEFT JOIN time_dim
@@ -152,6 +152,6 @@ def join_null_safe_equals(spark, sf):
     ON symbol = replace(pair_symbol, 'USDT', '') AND ts >= rank_valid_from AND (rank_valid_to IS NULL OR ts < rank_valid_to)"""))
 def join_asof_scd2(spark, sf):
     t = raw_trades(spark, sf).select("agg_trade_id", S.pair_base("pair_symbol").alias("symbol"), S.from_epoch_ms("transact_time").alias("ts"))
-    v = assets_dim(spark).select("symbol", "asset_sk", "market_cap_based_rank", "rank_valid_from", "rank_valid_to")
+    v = assets_dim(spark, sf).select("symbol", "asset_sk", "market_cap_based_rank", "rank_valid_from", "rank_valid_to")
     out = J.as_of_version(t, v, "symbol", "ts", "rank_valid_from", "rank_valid_to")
     return out.select("agg_trade_id", "asset_sk", "market_cap_based_rank")

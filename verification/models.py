@@ -6,7 +6,7 @@ from candlewick.plans import dims, facts, marts, staging
 from candlewick.session import stage
 from verification.base import (
     DAY_KEYS, SIZE_SQL, assets_dim, calendar, candles_1m, candles_long, check, daily, daily_series, hourly_fct, key_sql, r,
-    rounded, rr, stg_trades, trades_fct, using,
+    rounded, rr, sig, significant, stg_trades, trades_fct, using,
 )
 
 SUMS = ["base_asset_volume", "quote_asset_volume", "taker_buy_base_volume", "taker_buy_quote_volume"]
@@ -20,7 +20,7 @@ OHLC = "open, high, low, close"
     LEFT JOIN (SELECT base_asset_fk, count(*) AS n FROM trades_fct GROUP BY 1) t ON t.base_asset_fk = a.asset_sk"""))
 def dim_assets(spark, sf):
     n = trades_fct(spark, sf).groupBy(F.col("base_asset_fk").alias("asset_sk")).agg(F.count("*").alias("n"))
-    out = assets_dim(spark).join(n, "asset_sk", "left")
+    out = assets_dim(spark, sf).join(n, "asset_sk", "left")
     return out.select(*[c for c in out.columns if c != "n"], F.coalesce("n", F.lit(0)).alias("trades"))
 
 
@@ -80,9 +80,14 @@ def fct_ohlcv_hourly(spark, sf):
     return rounded(hourly_fct(spark, sf), *SUMS)
 
 
-@check("fct_trades", using("trades_fct", "SELECT * FROM trades_fct"))
+@check("fct_trades", using("trades_fct", """SELECT * FROM (SELECT * FROM trades_fct UNION ALL
+    SELECT * REPLACE (quantity + 1 AS quantity) FROM trades_fct WHERE agg_trade_id % 10 = 0)
+    QUALIFY row_number() OVER (PARTITION BY agg_trade_id, pair_symbol, price ORDER BY quantity) = 1"""))
 def fct_trades(spark, sf):
-    return trades_fct(spark, sf)
+    """A tenth of the trades arrives twice, the second time with another quantity."""
+    t = stg_trades(spark, sf)
+    again = t.filter("agg_trade_id % 10 = 0").withColumn("quantity", F.col("quantity") + 1)
+    return facts.fct_trades(t.unionByName(again), assets_dim(spark, sf), calendar(spark))
 
 
 @check("candles_daily", using("daily", f"SELECT asset_pair_symbol, open_date, {OHLC}, num_trades, {rr(*SUMS)} FROM daily"))
@@ -104,11 +109,15 @@ def returns_daily(spark, sf):
     return _pick(facts.returns_daily(daily(spark, sf)), ["return_abs", "return_pct"], ["log_return"])
 
 
-# the compounded value leaves any fixed grid, so its running logarithm is compared
-@check("cumulative_return", using("ranged", f"SELECT asset_pair_symbol, open_date, {r('cumulative_log_return', 'cumulative_log_return')} FROM ranged"))
+_COMPOUNDED = "(exp(cumulative_log_return) - 1) * 100"
+
+
+# the compounded value leaves any fixed grid, so its significant digits are compared
+@check("cumulative_return", using("ranged", f"SELECT asset_pair_symbol, open_date, {r('cumulative_log_return', 'cumulative_log_return')}, {sig(_COMPOUNDED, 'cumulative_return')} FROM ranged"))
 def cumulative_return(spark, sf):
     df = facts.cumulative_return(facts.returns_daily(daily(spark, sf)))
-    return _pick(df.withColumn("cumulative_log_return", facts.running_log_return()), [], ["cumulative_log_return"])
+    df = df.withColumn("cumulative_log_return", facts.running_log_return()).select(*DAY_KEYS, "cumulative_log_return", "cumulative_return")
+    return significant(rounded(df, "cumulative_log_return"), "cumulative_return")
 
 
 @check("true_range", _pick_sql("ranged", ["tr"], []))
@@ -143,10 +152,11 @@ def _asset_key_sql(cte):
 
 
 @check("fct_ohlcv_daily", using("series, assets_dim", f"""SELECT {key_sql('asset_sk', 'open_date')} AS daily_ohlcv_sk,
-    asset_sk AS base_asset_fk, {', '.join([*DAY_KEYS, *_DAY_EXACT])}, {rr(*_DAY_FLOOR)} FROM {_asset_key_sql('series')}"""))
+    asset_sk AS base_asset_fk, {', '.join([*DAY_KEYS, *_DAY_EXACT])}, {rr(*_DAY_FLOOR)}, {sig(_COMPOUNDED, 'cumulative_return')} FROM {_asset_key_sql('series')}"""))
 def fct_ohlcv_daily(spark, sf):
     df = facts.fct_ohlcv_daily(hourly_fct(spark, sf))
-    return rounded(df.select("daily_ohlcv_sk", "base_asset_fk", *DAY_KEYS, *_DAY_EXACT, *_DAY_FLOOR), *_DAY_FLOOR)
+    df = df.select("daily_ohlcv_sk", "base_asset_fk", *DAY_KEYS, *_DAY_EXACT, *_DAY_FLOOR, "cumulative_return")
+    return significant(rounded(df, *_DAY_FLOOR), "cumulative_return")
 
 
 @check("ma_crossover_50_200", _pick_sql("crossed", ["ma_crossover_event"], ["price_avg_50", "price_avg_200"]))
@@ -185,7 +195,7 @@ _WIDE_FLOOR = ["rolling_vol_10", "price_avg_50", "price_avg_200", "liquidity_usd
                "rolling_volume_20", "taker_buy_base_volume", "taker_buy_quote_volume", *_PRESS]
 _WIDE_SQL = using("regimes, assets_dim, date_dim", f"""SELECT open_date, d.day, d.month, d.monthname, d.year, d.quarter, d.quartername,
     asset_pair_symbol, asset_name, num_market_pairs, asset_launch_date, supply_type, market_cap_based_rank,
-    high - low AS daily_range, {', '.join(_WIDE_EXACT)}, {rr(*_WIDE_FLOOR)}, {r('range_pct', 'price_range_pct')} FROM (
+    high - low AS daily_range, {', '.join(_WIDE_EXACT)}, {rr(*_WIDE_FLOOR)}, {r('range_pct', 'price_range_pct')}, {sig(_COMPOUNDED, 'cumulative_return_pct')} FROM (
     SELECT s.* EXCLUDE (liquidity_market_share), a.*, quote_asset_volume / sum(quote_asset_volume) OVER (PARTITION BY open_date)
         AS liquidity_market_share
     FROM regimes s JOIN (SELECT *, upper(symbol) || 'USDT' AS p FROM assets_dim WHERE rank_valid_to IS NULL) a
@@ -194,21 +204,21 @@ _WIDE_SQL = using("regimes, assets_dim, date_dim", f"""SELECT open_date, d.day,
 
 
 def _wide(df):
-    drop = ["base_asset_symbol", "quote_asset_symbol", "cumulative_return_pct"]
-    return rounded(df.drop(*drop), *_WIDE_FLOOR, "price_range_pct")
+    df = df.drop("base_asset_symbol", "quote_asset_symbol")
+    return significant(rounded(df, *_WIDE_FLOOR, "price_range_pct"), "cumulative_return_pct")
 
 
 @check("market_daily_wide", _WIDE_SQL)
 def market_daily_wide(spark, sf):
     d = stage(facts.fct_ohlcv_daily(hourly_fct(spark, sf)), "daily")
-    return _wide(facts.market_daily_wide(d, calendar(spark), assets_dim(spark)))
+    return _wide(facts.market_daily_wide(d, calendar(spark), assets_dim(spark, sf)))
 
 
 @check("join_wide_market_view", _WIDE_SQL)
 def join_wide_market_view(spark, sf):
     d = stage(facts.fct_ohlcv_daily(hourly_fct(spark, sf)), "daily")
     t, l, p = facts.fct_technical_daily(d), facts.fct_liquidity_daily(d), facts.fct_pressure_daily(d)
-    return _wide(facts.market_daily_joined(d, t, l, p, calendar(spark), assets_dim(spark)))
+    return _wide(facts.market_daily_joined(d, t, l, p, calendar(spark), assets_dim(spark, sf)))
 
 
 # ---- marts ------------------------------------------------------------------
@@ -229,7 +239,7 @@ def mart_trade_size_distribution(spark, sf):
     SELECT base_asset_fk, d.year AS trade_year, d.month AS trade_month, sum(quantity * price) AS v
     FROM trades_fct JOIN date_dim d ON d.date_sk = date_fk GROUP BY 1, 2, 3)) x JOIN assets_dim a ON a.asset_sk = base_asset_fk"""))
 def mart_market_share(spark, sf):
-    df = marts.market_share(trades_fct(spark, sf), calendar(spark), assets_dim(spark))
+    df = marts.market_share(trades_fct(spark, sf), calendar(spark), assets_dim(spark, sf))
     return rounded(df, "total_value_traded", "total_market_value", "asset_market_share_percentage")
 
 

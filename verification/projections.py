@@ -121,7 +121,7 @@ def filter_in_set(spark, sf):
 @check("filter_date_bound", using("hourly_fct", """SELECT ohlcv_sk, base_asset_fk, open_date, open_time FROM hourly_fct
     WHERE open_date < DATE '1998-01-01' AND base_asset_fk IS NOT NULL"""))
 def filter_date_bound(spark, sf):
-    df = facts.fct_ohlcv_hourly(candles_long(spark, sf), assets_dim(spark), calendar(spark), cutoff="1998-01-01")
+    df = facts.fct_ohlcv_hourly(candles_long(spark, sf), assets_dim(spark, sf), calendar(spark), cutoff="1998-01-01")
     return df.select("ohlcv_sk", "base_asset_fk", "open_date", "open_time")
 
 

@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.plans import dims, facts, marts
 from candlewick.session import scratch_path
 from candlewick.tables import quality as Q
-from verification.base import check, hourly_fct, table, using
+from verification.base import CAL_START, assets_dim, check, hourly_fct, stg_trades, table, using
 
 _NULLED = "(SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey END AS k FROM orders)"
 
@@ -46,6 +47,13 @@ def dq_severity(spark, sf):
     return Q.severity(Q.not_null(nulled(spark, sf), "k"), rule)
 
 
+@check("dq_calendar_covers", using("trades", "SELECT transaction_date, count(*) AS trades FROM trades WHERE transaction_date > DATE '2024-01-20' GROUP BY 1"))
+def dq_calendar_covers(spark, sf):
+    """Trades after the last day of a calendar that ends too early."""
+    short = dims.calendar(spark, CAL_START, "2024-01-20")
+    return marts.outside_calendar(facts.fct_trades(stg_trades(spark, sf), assets_dim(spark, sf), short))
+
+
 @check("dq_fail_calc", """SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS failures, sum(n) > 100 AS should_warn, sum(n) > 1000000000 AS should_error FROM (
     SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)""")
 def dq_fail_calc(spark, sf):
