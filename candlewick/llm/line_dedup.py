@@ -131,7 +131,8 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", least: i
     outs = ["n_lines", "n_dropped", "kept_sha256"]
     others = [key] if digest else [c for c in df.columns if c != text and c not in outs[:2]]
     rows = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(others)], df[key].alias("key"), df[text].cast("binary").alias("text"))
-    joined = rows.join(drops, rows.key.eqNullSafe(drops.drop_key), "left").select(
+    # a merge join at every size: neither side has a proven bound
+    joined = rows.join(drops.hint("merge"), rows.key.eqNullSafe(drops.drop_key), "left").select(
         *[f"k{i}" for i in range(len(others))], "text", "drop_lines")
     n = len(others)
 
