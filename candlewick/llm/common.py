@@ -71,12 +71,14 @@ def map_texts(df: DataFrame, texts: list[str], keep: list[str], outputs: list[tu
 
     `start()` runs once per task and returns a function from lists of UTF-8 bytes (one list per text column; null
     becomes empty) to a list of output columns. Only the named columns are read, so other columns of the input
-    cannot clash.
+    cannot clash. A text column that is kept, too, goes to the task once.
     """
     ship(df.sparkSession)
-    n = len(keep)
-    source = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(keep)],
+    plain = [c for c in keep if c not in texts or df.schema[c].dataType.typeName() != "string"]
+    n = len(plain)
+    source = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(plain)],
                        *[df[c].cast("binary").alias(f"t{i}") for i, c in enumerate(texts)])
+    place = [plain.index(c) if c in plain else n + texts.index(c) for c in keep]
     types = [df.schema[c].dataType.simpleString() for c in keep] + [t for _, t in outputs]
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate(types))
     kinds = [KINDS[t] for _, t in outputs]
@@ -89,7 +91,8 @@ def map_texts(df: DataFrame, texts: list[str], keep: list[str], outputs: list[tu
             for a, b in cuts(lengths, block_bytes):
                 parts = [[x or b"" for x in c.slice(a, b - a).to_pylist()] for c in columns]
                 made = [pa.array(x, t) for x, t in zip(work(*parts), kinds, strict=True)]
-                arrays = [batch.column(i).slice(a, b - a) for i in range(n)] + made
+                kept = [batch.column(i).slice(a, b - a) for i in place]
+                arrays = [x.cast(pa.string()) if i >= n else x for i, x in zip(place, kept, strict=True)] + made
                 yield pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
 
     return source.mapInArrow(run, schema).toDF(*keep, *[o for o, _ in outputs])

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -225,26 +226,28 @@ def find_passages(df: DataFrame, benchmark: DataFrame, text: str = "text", keep:
     """
     ship(df.sparkSession)
     keep = ["doc_id"] if keep is None else keep
-    n = len(keep)
-    found = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(keep)], df[text].cast("binary").alias("text"),
+    plain = [c for c in keep if c != text or df.schema[c].dataType.typeName() != "string"]
+    n = len(plain)
+    found = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(plain)], df[text].cast("binary").alias("text"),
                       F.lit(0).cast("bigint").alias("n_words"),
                       F.expr("CAST(array() AS array<struct<first:int,last:int>>)").alias("spans"),
                       F.expr("CAST(array() AS array<string>)").alias("items"))
     schema = found.schema
-    kinds = [pa.binary(), pa.int64(), KINDS["array<struct<first:int,last:int>>"], KINDS["array<string>"]]
+    kinds = [pa.int64(), KINDS["array<struct<first:int,last:int>>"], KINDS["array<string>"]]
 
     def searching(items):
         def run(batches):
             windows = Windows(items, size)
             for batch in batches:
-                values = [x or b"" for x in batch.column(n).to_pylist()]
-                for a, b in cuts(np.array([len(x) for x in values], np.int64), SHARD_BYTES):
-                    counts, spans, names = search_shard(values[a:b], windows)
-                    old = [[(s["first"], s["last"] + 1) for s in x] for x in batch.column(n + 2).slice(a, b - a).to_pylist()]
+                lengths = pc.fill_null(pc.binary_length(batch.column(n)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                for a, b in cuts(lengths, SHARD_BYTES):
+                    part = batch.slice(a, b - a)
+                    counts, spans, names = search_shard([x or b"" for x in part.column(n).to_pylist()], windows)
+                    old = [[(s["first"], s["last"] + 1) for s in x] for x in part.column(n + 2).to_pylist()]
                     spans = [[{"first": x, "last": y - 1} for x, y in merged(s + t)] for s, t in zip(spans, old, strict=True)]
-                    names = [sorted({*s, *t}) for s, t in zip(names, batch.column(n + 3).slice(a, b - a).to_pylist(), strict=True)]
-                    made = [pa.array(x, t) for x, t in zip([values[a:b], counts, spans, names], kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(n)), *made], schema.names)
+                    names = [sorted({*s, *t}) for s, t in zip(names, part.column(n + 3).to_pylist(), strict=True)]
+                    made = [pa.array(x, t) for x, t in zip([counts, spans, names], kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n + 1)), *made], schema.names)
 
         return run
 
@@ -255,7 +258,8 @@ def find_passages(df: DataFrame, benchmark: DataFrame, text: str = "text", keep:
     if not blocks:  # words are counted all the same
         found = found.mapInArrow(searching([]), schema)
     hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.last - s.first + 1)")
-    return found.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words", hit.alias("n_hit"), "spans", "items")
+    kept = [F.col(f"k{plain.index(c)}") if c in plain else F.col("text").cast("string") for c in keep]
+    return found.select(*[x.alias(c) for x, c in zip(kept, keep, strict=True)], "n_words", hit.alias("n_hit"), "spans", "items")
 
 
 def contaminated():

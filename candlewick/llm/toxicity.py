@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -213,52 +214,71 @@ def logistic_fit(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> tuple[f
     return float(max(w[0], 0.0)), float(w[1])
 
 
-def score_toxicity(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
-                   sample: int = SAMPLE, passages: bool = True) -> DataFrame:
-    """One row per document: the key, score (0 to 1) and, with `passages`, the significant passages.
+@dataclass
+class Model:
+    """What scoring needs: the buckets' scores, packed, the law of chance, and the curve from evidence to score."""
 
-    A passage is its first and last word and its score. `labels` has the rows to learn from; only `sample` keys of
-    each class are used. A null or empty text has no passage and gets the score of no evidence. Null keys and null
-    labels teach nothing; a key labelled twice counts once, as toxic if any label is. Repeated rows give repeated
-    rows; without labels of both classes no token scores and every score is the share of toxic labels (one half
-    without any); empty tables give empty tables. Columns that aren't named are not read.
-    """
-    spark = df.sparkSession
-    ship(spark)
-    chosen = stage(training_sample(labels, key, label, sample), "toxic-sample")
-    small = F.broadcast(chosen)  # at most 2 * sample rows of a key and a flag
-    rows = df.select(df[key].alias("key"), df[text].cast("binary").alias("text"))
-    marked = rows.join(small, rows.key == chosen.sample_key, "left")
-    counts = sum_tables(marked, ["text", "sample_toxic"], ClassCounts, add_counts, SEGMENTS, np.int64)
-    size = (1 << BITS) // SEGMENTS
-    table = np.concatenate([counts.get(s, np.zeros(size * 3, np.int64)).reshape(-1, 3) for s in range(SEGMENTS)])
-    scores = Scores(table)
-    packed, law = pack(scores.values), scores.law
+    values: bytes
+    law: ChanceLaw
+    slope: float = 0.0
+    offset: float = 0.0
+
+    def score(self, found: float) -> float:
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * math.log1p(found) + self.offset))))
+
+
+def judged(df: DataFrame, model: Model, text: str, keep: list[str], passages: bool) -> DataFrame:
+    """`keep`, evidence, score and passages of every text. Narrow."""
 
     def start():
-        values, buckets = unpack(packed, np.float32), Buckets()
+        values, buckets = unpack(model.values, np.float32), Buckets()
 
         def block(texts):
-            found = [evidence(tokens(t), buckets, values, law) for t in texts]
-            return [[x for x, _ in found],
+            found = [evidence(tokens(t), buckets, values, model.law) for t in texts]
+            return [[x for x, _ in found], [model.score(x) for x, _ in found],
                     [[{"first": a, "last": b, "score": x} for a, b, x in s] if passages else [] for _, s in found]]
 
         return block
 
-    outputs = [("evidence", "double"), ("passages", "array<struct<first:int,last:int,score:double>>")]
-    raw = stage(map_texts(df, [text], [key], outputs, start), "toxic-evidence")
-    # the curve is fitted on counts per bin of log evidence: a small table, whatever the sample
-    bent = F.log1p("evidence")
-    bins = raw.join(small, raw[key] == chosen.sample_key).groupBy(F.least(F.floor(bent * 8), F.lit(80)).alias("bin")).agg(
+    outputs = [("evidence", "double"), ("score", "double"), ("passages", "array<struct<first:int,last:int,score:double>>")]
+    return map_texts(df, [text], keep, outputs, start)
+
+
+def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", sample: int = SAMPLE) -> Model:
+    """The prior from all texts; token scores and the curve from at most `sample` labelled keys of each class."""
+    ship(df.sparkSession)
+    chosen = stage(training_sample(labels, key, label, sample), "toxic-sample")
+    small = F.broadcast(chosen)  # at most 2 * sample rows of a key and a flag
+    rows = df.select(df[key].alias("key"), df[text].cast("binary").alias("text"))
+    marked = rows.join(small, rows.key == chosen.sample_key, "left")
+    counts = sum_tables(marked, ["text", "sample_toxic"], ClassCounts, add_counts, SEGMENTS, np.int64)
+    size = (1 << BITS) // SEGMENTS
+    scores = Scores(np.concatenate([counts.get(s, np.zeros(size * 3, np.int64)).reshape(-1, 3) for s in range(SEGMENTS)]))
+    model = Model(pack(scores.values), scores.law)
+    # the curve is fitted on the sample's counts per bin of log evidence: a small table, whatever the sample
+    taught = judged(rows.join(small, rows.key == chosen.sample_key), model, "text", ["sample_toxic"], False)
+    bins = taught.groupBy(F.least(F.floor(F.log1p("evidence") * 8), F.lit(80)).alias("bin")).agg(
         F.sum(F.col("sample_toxic").cast("int")).alias("toxic"), F.count("*").alias("n")).collect()
     if bins:
         x, toxic, n = (np.array([float(b[c]) for b in bins]) for c in ("bin", "toxic", "n"))
-        slope, offset = logistic_fit((x + 0.5 * (x > 0)) / 8, toxic, n - toxic)
-    else:
-        slope, offset = 0.0, 0.0
-    score = 1 / (1 + F.exp(-(F.lit(slope) * bent + F.lit(offset))))
-    out = raw.withColumn("score", score)
-    return out.select(key, "score", "passages") if passages else out.select(key, "score")
+        model.slope, model.offset = logistic_fit((x + 0.5 * (x > 0)) / 8, toxic, n - toxic)
+    return model
+
+
+def score_toxicity(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
+                   sample: int = SAMPLE, passages: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """One row per document: `keep` (else the key), score (0 to 1) and, with `passages`, the significant passages.
+
+    A passage is its first and last word and its score. `labels` has the rows to learn from; only `sample` keys of
+    each class are used. A null or empty text has no passage and gets the score of no evidence. Null keys and null
+    labels teach nothing; a key labelled twice counts once, as toxic if any label is. Repeated rows give repeated
+    rows; without labels of both classes no token scores and every score is the share of toxic labels (one half
+    without any); empty tables give empty tables. Columns that aren't named are not read. Once the model is fitted,
+    scoring is narrow: each task judges its own rows.
+    """
+    model = fit(df, labels, text, key, label, sample)
+    keep = [key] if keep is None else keep
+    return judged(df, model, text, keep, passages).select(*keep, "score", *["passages"] * passages)
 
 
 def learnable(labels: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -16,21 +16,22 @@ from candlewick.llm import bpe, decontaminate, line_dedup, simhash, toxicity
 from candlewick.session import stage
 
 
-def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The docs without the rejected ids (`rejected_id`, once each). Rows without an id can't be rejected by it."""
-    return docs.join(verdicts, docs.doc_id == verdicts.rejected_id, "left_anti")
+def by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The docs under neutral column names, which no operator's results share, and each name's neutral one."""
+    names = {c: f"column_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of one half or more go; labels of the held-out fold are not learned from.
 
-    Null and empty texts score as no evidence and stay. Rows with the same id share their fate: the id goes if any
-    of its texts is rejected.
+    Each row is judged by its own text. Null and empty texts score as no evidence and stay.
     """
+    plain, names = by_place(docs)
     labels = toxicity.learnable(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_toxicity(docs, labels, passages=False)
-    rejected = stage(scored.where("score >= 0.5 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("rejected_id")).distinct(), "toxic")
-    return keep_rows(docs, rejected)
+    labels = labels.select(F.col("doc_id").alias(names["doc_id"]), "toxic")
+    scored = toxicity.score_toxicity(plain, labels, names["text"], names["doc_id"], passages=False, keep=plain.columns)
+    return scored.where("score < 0.5").select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,12 +53,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth or more of their words inside benchmark windows go.
 
-    Texts without words stay. Rows with the same id share their fate: the id goes if any of its texts is contaminated.
+    Each row is judged by its own text. Texts without words stay.
     """
-    found = decontaminate.find_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    rejected = stage(found.where(decontaminate.contaminated()).where("doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("rejected_id")).distinct(), "contaminated")
-    return keep_rows(docs, rejected)
+    plain, names = by_place(docs)
+    found = decontaminate.find_passages(plain, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), names["text"], plain.columns)
+    return found.where(~decontaminate.contaminated()).select(*plain.columns).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
