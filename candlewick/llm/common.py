@@ -65,6 +65,14 @@ def cuts(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def pieces(batch: pa.RecordBatch, columns: list[int], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose texts add up to about `limit` bytes, so that few are Python objects at once."""
+    lengths = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    if batch.num_rows:
+        for a, b in cuts(lengths, limit):
+            yield batch.slice(a, b - a)
+
+
 def map_texts(df: DataFrame, texts: list[str], keep: list[str], outputs: list[tuple[str, str]],
               start: Callable[[], Callable], block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One output row per input row: the columns `keep`, then `outputs` (name, type).
@@ -86,12 +94,10 @@ def map_texts(df: DataFrame, texts: list[str], keep: list[str], outputs: list[tu
     def run(batches):
         work = start()
         for batch in batches:
-            columns = [batch.column(n + i) for i in range(len(texts))]
-            lengths = sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
-            for a, b in cuts(lengths, block_bytes):
-                parts = [[x or b"" for x in c.slice(a, b - a).to_pylist()] for c in columns]
+            for piece in pieces(batch, [n + i for i in range(len(texts))], block_bytes):
+                parts = [[x or b"" for x in piece.column(n + i).to_pylist()] for i in range(len(texts))]
                 made = [pa.array(x, t) for x, t in zip(work(*parts), kinds, strict=True)]
-                kept = [batch.column(i).slice(a, b - a) for i in place]
+                kept = [piece.column(i) for i in place]
                 arrays = [x.cast(pa.string()) if i >= n else x for i, x in zip(place, kept, strict=True)] + made
                 yield pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(arrays))])
 

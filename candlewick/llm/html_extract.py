@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import map_texts, ship
+from candlewick.llm.common import map_texts, pieces, ship
 
 #: Element names by their role in HTML.
 SKIPPED = "script style noscript template textarea title select option svg math iframe object canvas audio video button datalist".split()
@@ -240,7 +240,7 @@ def fit(df: DataFrame, page: str = "html", key: str = "page_id", pages: int = SA
     every = max(1, rows.count() // pages)
 
     def run(batches):
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in pieces(batch, [1])):
             for h, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = blocks_of(value or "")
                 if not found:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import map_texts, ship, sum_tables
+from candlewick.llm.common import map_texts, pieces, ship, sum_tables
 from candlewick.session import stage
 
 SEGMENTS = 64
@@ -44,8 +44,8 @@ class SeenFilters:
         self.once, self.twice = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
 
     def add(self, batch: pa.RecordBatch) -> None:
-        for at in range(0, batch.num_rows, 512):
-            keys = sorted(k for text in batch.column(0).slice(at, 512).to_pylist() if text
+        for piece in pieces(batch, [0]):
+            keys = sorted(k for text in piece.column(0).to_pylist() if text
                           for k in {*line_keys(text, self.least)} - {None})
             if not keys:
                 continue
@@ -139,7 +139,7 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", least: i
     def run(batches):
         import hashlib
 
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in pieces(batch, [n])):
             kept, total, gone = [], [], []
             for value, drop in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True):
                 lines = (value or b"").split(b"\n")

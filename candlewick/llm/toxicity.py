@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import WORDS, map_texts, pack, ship, sum_tables, unpack
+from candlewick.llm.common import WORDS, map_texts, pack, pieces, ship, sum_tables, unpack
 from candlewick.session import stage
 
 BITS = 20
@@ -67,15 +67,16 @@ class ClassCounts:
         self.buckets = Buckets()
 
     def add(self, batch: pa.RecordBatch) -> None:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = tokens(text or b"")
-            if words:
-                for buckets in self.buckets.of(words):
-                    at = np.sort(buckets)
-                    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-                    self.table[at[first], 0] += 1
-                    if toxic is not None:
-                        self.table[at[first], 1 if toxic else 2] += 1
+        for piece in pieces(batch, [0]):
+            for text, toxic in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                words = tokens(text or b"")
+                if words:
+                    for buckets in self.buckets.of(words):
+                        at = np.sort(buckets)
+                        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+                        self.table[at[first], 0] += 1
+                        if toxic is not None:
+                            self.table[at[first], 1 if toxic else 2] += 1
 
     def pieces(self):
         size = (1 << BITS) // SEGMENTS

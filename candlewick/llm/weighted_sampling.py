@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from candlewick.llm.common import ship
+from candlewick.llm.common import pieces, ship
 from candlewick.session import stage
 
 PLACES = 64
@@ -145,7 +145,7 @@ def rows_in_order(places: int, key_type: pa.DataType):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
         none = (None,) * len(RESULT)
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in pieces(batch, [1])):
             out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = text or ""
@@ -190,7 +190,7 @@ def fingerprint_edits(df: DataFrame, text: str = "text", key: str = "doc_id", pl
 
     def close(batches):
         reader = Reader(places)
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in pieces(batch, [1, 2])):
             out = []
             for k, own_text, following in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 out.append((k, *reader.result(own_text, reader.signature(own_text), following, reader.signature(following))))
