@@ -9,6 +9,7 @@ to the generalised Jaccard similarity of their weights, sum(min) / sum(max).
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +26,19 @@ PLACES = 64
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # fixed values: multipliers of a 64-bit mixing function
 
 
-def uniforms(hashes: np.ndarray, places: int, draws: int) -> np.ndarray:
-    """Numbers in (0, 1), (draws, words, places): a counter mixed with each word's hash."""
-    counter = np.arange(1, draws * places + 1, dtype=np.uint64).reshape(draws, 1, places) * np.uint64(0x9E3779B97F4A7C15)
-    x = hashes[None, :, None] ^ counter
-    for shift, factor in zip((30, 27), MIX, strict=True):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    x ^= x >> np.uint64(31)
-    return ((x >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24)
+def uniforms(hashes: np.ndarray, places: int, draws: int) -> list[np.ndarray]:
+    """Numbers in (0, 1), `draws` arrays of (words, places): a counter mixed with each word's hash, two from each mix."""
+    out = []
+    for k in range(-(-draws // 2)):
+        counter = np.arange(k * places + 1, (k + 1) * places + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = hashes[:, None] ^ counter
+        for shift, factor in zip((30, 27), MIX, strict=True):
+            x ^= x >> np.uint64(shift)
+            x *= np.uint64(factor)
+        x ^= x >> np.uint64(31)
+        for part in (x >> np.uint64(40), x >> np.uint64(16) & np.uint64(0xFFFFFF)):
+            out.append((part.astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24))
+    return out[:draws]
 
 
 class Sampler:
@@ -40,19 +46,15 @@ class Sampler:
 
     def __init__(self, places: int = PLACES, max_words: int = 60_000):
         self.places, self.max_words = places, max_words
-        self.clear()
-
-    def clear(self):
         self.row: dict[bytes, int] = {}
         n = 4096
-        self.rate, self.offset, self.cost = (np.empty((n, self.places), np.float32) for _ in range(3))
-        self.light = np.empty((n, self.places), np.float32)
+        self.rate, self.offset, self.cost, self.light = (np.empty((n, self.places), np.float32) for _ in range(4))
         self.tag = np.empty(n, np.uint32)
 
     def learn(self, words: list[bytes]) -> None:
         """Gamma(2, 1) draws r and c and a uniform grid offset for each new word and place."""
-        for at in range(0, len(words), 2048):
-            part = words[at:at + 2048]
+        for at in range(0, len(words), 256):  # so that a part's draws stay in the cache
+            part = words[at:at + 256]
             a, b = len(self.row), len(self.row) + len(part)
             while b > len(self.tag):
                 self.rate, self.offset, self.cost, self.light = (np.concatenate([x, np.empty_like(x)]) for x in (
@@ -71,14 +73,16 @@ class Sampler:
         if not words:
             return np.zeros(self.places, ">u2")
         if len(self.row) > self.max_words:
-            self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.row]
+            self.row.clear()  # the arrays are filled anew
+        counts = Counter(words)
+        new = [w for w in counts if w not in self.row]
         if new:
             self.learn(new)
-        rows = np.sort(np.fromiter(map(self.row.__getitem__, words), np.int32, len(words)))
-        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        weight = np.diff(np.append(first, len(rows)))
-        rows = rows[first]
+        rows = np.fromiter(map(self.row.__getitem__, counts), np.int32, len(counts))
+        weight = np.fromiter(counts.values(), np.int64, len(counts))
+        # the words' order in a worker's table must not matter: ties in value go to the least tag
+        order = np.argsort(self.tag[rows], kind="stable")
+        rows, weight = rows[order], weight[order]
         value = self.light[rows]
         heavy = np.flatnonzero(weight > 1)
         step = np.zeros(value.shape, np.int32)
@@ -88,10 +92,8 @@ class Sampler:
             t = np.floor(np.log(weight[heavy]).astype(np.float32)[:, None] / rate + offset)
             value[heavy] = self.cost[at] - rate * (t - offset) - rate
             step[heavy] = t
-        # the words' order in a worker's table must not matter: ties in value go to the least tag
+        best = np.argmin(value, axis=0)
         tags = self.tag[rows]
-        order = np.argsort(tags, kind="stable")
-        best = order[np.argmin(value[order], axis=0)]
         sample = tags[best].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + step[best, np.arange(self.places)].astype(np.uint64)
         sample = (sample ^ (sample >> np.uint64(29))) * np.uint64(MIX[0])
         return (sample >> np.uint64(48)).astype(">u2")
