@@ -35,6 +35,8 @@ LEAST_Z = 2.0
 #: Bytes of a token that count as its stem; a token without evidence of its own scores as its stem does.
 STEM = 6
 DRIFT = 0.35
+#: The highest score of a text without evidence.
+NO_EVIDENCE = 0.49
 #: Segments below this score are no evidence.
 LEAST_SCORE = 1.0
 
@@ -225,7 +227,9 @@ class Model:
     offset: float = 0.0
 
     def score(self, found: float) -> float:
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * math.log1p(found) + self.offset))))
+        """The curve's probability; a text without evidence is never called toxic, whatever the share of labels."""
+        score = 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * math.log1p(found) + self.offset))))
+        return score if found > 0 else min(score, NO_EVIDENCE)
 
 
 def judged(df: DataFrame, model: Model, text: str, keep: list[str], passages: bool) -> DataFrame:
@@ -273,8 +277,8 @@ def score_toxicity(df: DataFrame, labels: DataFrame, text: str = "text", key: st
     A passage is its first and last word and its score. `labels` has the rows to learn from; only `sample` keys of
     each class are used. A null or empty text has no passage and gets the score of no evidence. Null keys and null
     labels teach nothing; a key labelled twice counts once, as toxic if any label is. Repeated rows give repeated
-    rows; without labels of both classes no token scores and every score is the share of toxic labels (one half
-    without any); empty tables give empty tables. Columns that aren't named are not read. Once the model is fitted,
+    rows; without labels of both classes no token scores, and no text is called toxic (a score of 0.49 at most);
+    empty tables give empty tables. Columns that aren't named are not read. Once the model is fitted,
     scoring is narrow: each task judges its own rows.
     """
     model = fit(df, labels, text, key, label, sample)

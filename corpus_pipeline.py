@@ -39,15 +39,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     All rows stay; a text that loses all lines becomes empty, as a null one does.
     """
-    kept = line_dedup.dedup_lines(docs)
+    plain, names = by_place(docs)
+    kept = line_dedup.dedup_lines(plain, names["text"], names["doc_id"])
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        kept = kept.withColumn(names["n_chars"], F.length(names["text"]).cast(docs.schema["n_chars"].dataType))
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id. Rows without an id stay."""
-    return simhash.keep_one(docs)
+    plain, names = by_place(docs)
+    return simhash.keep_one(plain, names["text"], names["doc_id"]).toDF(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

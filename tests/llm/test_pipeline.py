@@ -2,7 +2,10 @@
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from candlewick import session
 from candlewick.llm import toxicity
 from tests.llm import test_bpe, test_decontaminate, test_line_dedup, test_simhash
 from tests.llm.helpers import ODD
@@ -44,7 +47,7 @@ def test_odd_rows(spark, tmp_path):
     items = [(1, "Hello World it s 2024"), (2, None)]
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    for name, function in corpus_pipeline.STAGES[1:-1]:
+    for name, function in corpus_pipeline.STAGES[:-1]:
         out = function(spark, docs, str(tmp_path))
         assert out.columns == COLUMNS and out.schema == docs.schema, name
         out.write.parquet(f"{tmp_path}/{name}")
@@ -54,6 +57,24 @@ def test_odd_rows(spark, tmp_path):
     assert got == plain(rows, items, set())
 
 
+def test_clashing_columns(spark, tmp_path):
+    """Columns that have the names of the operators' results and keys pass through as they are."""
+    own = ["score", "evidence", "n_lines", "n_dropped", "n_hit", "n_words", "spans", "items", "fp", "component_id", "kept_key", "key", "column_1", "k0"]
+    rows = [(i, f"document number {i} says something of its own, {i * 37}", None, "s", 1) for i in range(12)] + [(3, None, None, "s", 0)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    docs = spark.createDataFrame(rows, schema).withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in own})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, 0), (2, 0, 1)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "document number 5 says something")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        docs = session.stage(function(spark, docs, str(tmp_path)), "clash")
+        assert docs.columns == [*COLUMNS, *own], name
+        assert all(r[c] == f"{c}{r.doc_id}" for r in docs.collect() for c in own), name
+    kept = {r.doc_id for r in docs.collect()}
+    assert 5 not in kept and {0, 1, 11} <= kept
+
+
 def test_empty_tables(spark, tmp_path):
     table(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

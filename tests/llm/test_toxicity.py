@@ -91,7 +91,7 @@ def test_odd_rows_and_labels(spark):
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert toxicity.score_toxicity(frame(spark, []), none).collect() == []
-    assert {r.score for r in toxicity.score_toxicity(frame(spark, ODD), none).collect()} == {0.5}
+    assert {r.score for r in toxicity.score_toxicity(frame(spark, ODD), none).collect()} == {toxicity.NO_EVIDENCE}
 
 
 def test_accuracy_on_held_out_labels(spark):
@@ -101,6 +101,12 @@ def test_accuracy_on_held_out_labels(spark):
     assert sum(p == y for p, y in found) / len(found) > 0.93
 
 
+def test_no_evidence_is_not_toxic(spark):
+    marks = spark.createDataFrame([(i, 1) for i in range(1, 5)] + [(7, 0)], "doc_id bigint, toxic int")
+    found = toxicity.score_toxicity(frame(spark, ODD), marks).collect()
+    assert all(r.score < 0.5 for r in found if not r.passages)
+
+
 def test_chance_of_counts():
     assert toxicity.minus_log_chance(1, 2.0) == 0.0
     assert abs(toxicity.minus_log_chance(2, 0.1) + np.log(1 - np.exp(-0.1) * 1.1)) < 1e-9
