@@ -78,10 +78,11 @@ def fit(labelled: DataFrame, steps: int = STEPS, rate: float = 2.0, ridge: float
     table = rows.agg(F.sort_array(F.collect_list(F.struct("b", "y"))).alias("rows"))
     table = table.selectExpr("rows", "transform(rows, r -> 1 / sqrt(size(r.b))) AS v",
                              "flatten(transform(rows, (r, i) -> transform(r.b, k -> struct(k AS k, i AS i)))) AS entries")
-    # posting lists by one more grouping
+    # posting lists by one more grouping; both single rows meet in one aggregate
     lists = table.selectExpr("explode(entries) AS e").groupBy(F.col("e.k").alias("k")).agg(F.sort_array(F.collect_list("e.i")).alias("at"))
     lists = lists.agg(F.map_from_entries(F.collect_list(F.struct("k", "at"))).alias("lists"))
-    one = table.withColumn("j", F.lit(1)).join(lists.withColumn("j", F.lit(1)), "j").selectExpr(
+    both = table.select("rows", "v").unionByName(lists, allowMissingColumns=True)
+    one = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("rows", "v", "lists")]).selectExpr(
         "rows", "v", f"transform(sequence(0L, {BUCKETS - 1}L), k -> coalesce(lists[k], CAST(array() AS array<int>))) AS lists")
     n = "greatest(size(rows), 1)"
     error = ("transform(rows, (r, i) -> 1 / (1 + exp(-(s.bias + v[i] * aggregate(r.b, 0D, (a, k) -> a + s.w[CAST(k AS INT)])))) - r.y)")
