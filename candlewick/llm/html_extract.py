@@ -38,6 +38,9 @@ BOILERPLATE_NAMES = set("""ad ads advert adverts advertisement advertising banne
 #: Those that may stand beside a content name (a content column with a sidebar, an article's header).
 MIXED_NAMES = set("side sidebar rail header menu menus form search skip notice notices widget widgets banner social".split())
 
+#: First words of a name that tells a topic or what else there is on the page, and last words of one that tells a state.
+TOPICS, STATES = set("category cat tag topic has with without no".split()), set("open closed enabled disabled".split())
+
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>" + "|".join(SKIPPED) + r""")(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"""
@@ -52,8 +55,9 @@ FEATURES = 6
 #: Where the ridge pulls the weights: length and sentences speak for content, links and a copyright sign against it.
 GENERAL = np.array([-3.0, 5.0, -4.0, 0.5, 1.0, -3.0])
 RIDGE = 0.02
-#: Costs in nats: names around a block, and the smoothness between neighbours and within a container.
-BOILERPLATE_COST, CONTENT_COST, NEIGHBOUR, CONTAINER = 9.0, 4.0, 0.4, 0.8
+#: Costs in nats: elements and names around a block, and the smoothness between neighbours and within a container.
+#: The classifier (3 at most) and the smoothness of a block (2.4 at most) together outweigh a name, but no element.
+BOILERPLATE_COST, NAME_COST, CONTENT_COST, NEIGHBOUR, CONTAINER = 9.0, 4.0, 4.0, 0.4, 0.8
 
 
 class Block:
@@ -64,19 +68,36 @@ class Block:
 
 
 def hint_of(tag: str, rest: str, parent: int) -> int:
-    """Role told by names: -1 boilerplate, 1 content, 0 nothing; boilerplate holds for everything inside."""
-    if parent < 0 or tag in BOILERPLATE_TAGS or (tag == "header" and not parent):
-        return -1
-    hint = 1 if tag in CONTENT_TAGS else parent
+    """Role told by names: -2 boilerplate by an element, -1 by a class, id or role, 1 content, 0 nothing.
+
+    Boilerplate holds for everything inside, but <main> overrules a name around it and <article> evens it out.
+    Where some names of an element tell of content and others of boilerplate, <article> and <main> stay content, and
+    for any other element the text decides.
+    """
+    if parent == -2 or tag in BOILERPLATE_TAGS or (tag == "header" and parent <= 0):
+        return -2
+    if parent < 0 and tag not in CONTENT_TAGS:
+        return parent
+    hint = 1 if tag == "main" or (tag == "article" and parent >= 0) else 0 if tag == "article" else parent
     if not rest or tag in ("body", "html"):  # names there tell of the layout
         return hint
-    words = {w for m in NAMES.finditer(rest) for w in PART.findall((m[1] or m[2] or m[3] or "").lower())}
-    unwanted, wanted = words & BOILERPLATE_NAMES, bool(words & CONTENT_NAMES)
-    if parent > 0:  # an article's own header holds its title
+    names = [PART.findall(w) for m in NAMES.finditer(rest) for w in (m[1] or m[2] or m[3] or "").lower().split()]
+    wanted = any(CONTENT_NAMES.intersection(n) and not BOILERPLATE_NAMES.intersection(n) for n in names)
+    if wanted or tag in CONTENT_TAGS:
+        names = [n for n in names if not n or (n[0] not in TOPICS and n[-1] not in STATES)]
+    words = {w for n in names for w in n}
+    unwanted = words & BOILERPLATE_NAMES
+    if hint > 0:  # an article's own header holds its title
         unwanted = unwanted - {"header"}
-    if unwanted - MIXED_NAMES or (unwanted and not wanted and tag not in CONTENT_TAGS):
-        return -1
-    return 1 if wanted and not unwanted else hint
+    if not unwanted:
+        return 1 if words & CONTENT_NAMES and parent >= 0 else hint
+    if tag == "main" or (tag == "article" and wanted and parent >= 0):
+        return hint
+    if unwanted <= MIXED_NAMES and (tag in CONTENT_TAGS or words & CONTENT_NAMES):
+        return hint
+    if parent >= 0 and (wanted or (tag == "article" and not parent)):
+        return min(hint, 0)
+    return -1
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -204,7 +225,7 @@ def label(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
     if not blocks:
         return np.zeros(0, bool)
     hints = np.array([b.hint for b in blocks])
-    excess = np.clip(features(blocks) @ weights, -3, 3) + np.where(hints < 0, -BOILERPLATE_COST, hints * CONTENT_COST)
+    excess = np.clip(features(blocks) @ weights, -3, 3) + np.choose(hints + 2, [-BOILERPLATE_COST, -NAME_COST, 0, CONTENT_COST])
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i:

@@ -93,3 +93,26 @@ def test_training():
     x = np.column_stack([np.ones(400), rng.normal(size=(400, he.FEATURES - 1))])
     y = (x[:, 1] - x[:, 2] > 0).astype(float)
     assert ((x @ he.train(x, y) > 0) == y).mean() > 0.9
+
+
+TEXT = "<h1>The title of it</h1><p>A paragraph of the article with a number of words, commas, and an end. Another sentence follows, so that it has the length of one.</p><p>The second paragraph is shorter, with less.</p>"
+WANT = "The title of it\n\nA paragraph of the article with a number of words, commas, and an end. Another sentence follows, so that it has the length of one.\n\nThe second paragraph is shorter, with less."
+
+
+@pytest.mark.parametrize("opening", [
+    '<article class="post category-legal">', '<article class="post tag-privacy">', '<article class="post comments-open">', '<article class="legal">',
+    '<article class="category-advertising">', '<main class="privacy">', '<main id="main" class="search-form">', '<div class="post category-legal">',
+    '<div class="entry comments-closed no-sidebar">', '<div class="legal"><main>', '<div class="post legal">', '<div class="ads"><article>'])
+def test_names_of_boilerplate_on_articles(opening):
+    page = f'<body><nav><a href="/">Home</a></nav>{opening}{TEXT}</article></main></div><div class="comments"><p>A comment, it has words.</p></div></body>'
+    assert he.main_text(page, WEIGHTS) == WANT
+
+
+def test_name_is_a_finite_vote():
+    """Within an article, text outweighs the name of a paragraph, but not that of a container, nor an element."""
+    note = "A note of the article, of a length that no label has, with commas, and sentences. It goes on for quite a while, and then it ends. " * 3
+    page = "<article><p>First paragraph, of some words.</p>{}<p>Last paragraph, of some words.</p></article>"
+    kept = ["First paragraph, of some words.", note.strip(), "Last paragraph, of some words."]
+    assert he.main_text(page.format(f'<p class="notice">{note}</p>'), WEIGHTS) == "\n\n".join(kept)
+    for other in (f"<aside>{note}</aside>", '<p class="ad">Buy it</p>', f'<div class="comments"><p>{note}</p><p>{note}</p></div>'):
+        assert he.main_text(page.format(other), WEIGHTS) == "\n\n".join(kept[::2])
