@@ -21,7 +21,10 @@ from pyspark.sql import functions as F
 from candlewick.llm.common import map_texts, pieces, ship
 
 #: Element names by their role in HTML.
-SKIPPED = "script style noscript template textarea title select option svg math iframe object canvas audio video button datalist".split()
+RAW = "script style noscript textarea title iframe".split()
+#: Not shown, or labels of controls and drawings; what lies between their tags is no text if they are closed.
+SKIPPED = set("template select option datalist button svg".split())
+FOREIGN = {"svg", "math"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup p pre search section summary table tbody td tfoot th
@@ -43,8 +46,8 @@ TOPICS, STATES = set("category cat tag topic has with without no".split()), set(
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>" + "|".join(SKIPPED) + r""")(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"""
     r"""|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S | re.I)
+RAW_ENDS = {name: re.compile(f"</{name}\\s*>", re.I) for name in RAW}
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
 
@@ -100,6 +103,37 @@ def hint_of(tag: str, rest: str, parent: int) -> int:
     return -1
 
 
+def tags_of(page: str) -> list[tuple[int, int, str, str, str]]:
+    """Start, end, name in lower case, "/" of a closing tag, and attributes of each tag; comments have no name.
+
+    A raw element is one entry without a name, up to its closing tag or the end of the page, and so is an element to
+    be skipped from its opening tag to the closing one that belongs to it; without one, it is an ordinary tag.
+    """
+    tags, at, foreign = [], 0, 0
+    opened: dict[str, list[int]] = {}
+    while m := TOKEN.search(page, at):
+        at, name, close, rest = m.end(), (m["name"] or "").lower(), m["close"], m["rest"]
+        empty = bool(name) and rest.endswith("/")
+        if name in RAW_ENDS and not close and not (foreign and empty):
+            end = RAW_ENDS[name].search(page, at)
+            at, name = end.end() if end else len(page), ""
+        elif name in FOREIGN and not (empty and not close):
+            foreign = max(0, foreign - 1) if close else foreign + 1
+        start = m.start()
+        if name in SKIPPED and close and opened.get(name):
+            first = opened[name].pop()
+            start = tags[first][0]
+            del tags[first:]
+            for places in opened.values():  # what was opened inside is gone
+                while places and places[-1] >= first:
+                    places.pop()
+            name = ""
+        elif name in SKIPPED and not close and not (empty and (foreign or name in FOREIGN)):
+            opened.setdefault(name, []).append(len(tags))
+        tags.append((start, at, name, close, rest))
+    return tags
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. White space inside a block is one space; character references are decoded."""
     out: list[Block] = []
@@ -116,25 +150,23 @@ def blocks_of(page: str) -> list[Block]:
         text, linked = [], 0
 
     at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            piece = page[at:m.start()]
+    for start, end, name, close, rest in tags_of(page):
+        if start > at:
+            piece = page[at:start]
             text.append(piece)
             if links:
                 linked += len(piece)
-        at = m.end()
-        name = m["name"]
-        if name is None:
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name not in BLOCKS:
             if name == "a":
-                links = 0 if m["close"] else 1
+                links = 0 if close else 1
             elif name == "br":
                 text.append(" ")
             continue
         flush()
-        if m["close"]:
+        if close:
             if any(s[0] == name for s in stack):
                 while stack[-1][0] != name:
                     stack.pop()
@@ -147,7 +179,7 @@ def blocks_of(page: str) -> list[Block]:
             if name in VOID:
                 continue
             number += 1
-            stack.append((name, hint_of(name, m["rest"], stack[-1][1]), number if name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd", "tr", "td", "th") else stack[-1][2]))
+            stack.append((name, hint_of(name, rest, stack[-1][1]), number if name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd", "tr", "td", "th") else stack[-1][2]))
     if at < len(page):
         text.append(page[at:])
     flush()

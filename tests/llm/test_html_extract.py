@@ -116,3 +116,22 @@ def test_name_is_a_finite_vote():
     assert he.main_text(page.format(f'<p class="notice">{note}</p>'), WEIGHTS) == "\n\n".join(kept)
     for other in (f"<aside>{note}</aside>", '<p class="ad">Buy it</p>', f'<div class="comments"><p>{note}</p><p>{note}</p></div>'):
         assert he.main_text(page.format(other), WEIGHTS) == "\n\n".join(kept[::2])
+
+
+@pytest.mark.parametrize(("inside", "text"), [
+    ('<svg class="i"/> Two.', "Two."), ("<math/>Two.", "Two."), ("<SVG/>Two.<svg><path/></svg>", "Two."), ("<svg><svg><text>a</text></svg>b</svg>Two.", "Two."),
+    ("<svg><title/><style/><path/></svg>Two.", "Two."), ("<svg><title>no</title><path/></svg>Two.", "Two."), ("Two <button>label", "Two label"),
+    ("Two <button>label</button>.", "Two ."), ("Two <button>label <button>other</button>.", "Two label ."), ("Two <canvas>drawn", "Two drawn"),
+    ("Two <object>own <b>text</b>", "Two own text"), ("Two <object data=x>own text</object>.", "Two own text."), ("Two <video src=x>fallback</video>.", "Two fallback."),
+    ("Two <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.", "Two x=2."), ("Two <select><option>a<option>b</select>.", "Two ."),
+    ("Two <template><p>no</p><template>no</template></template>.", "Two ."), ("Two <template>open", "Two open"),
+    ("Two <script>if (a < b) '<p>' </script>.", "Two ."), ("Two <noscript><p>no</p></noscript><iframe src=x>no</iframe><textarea><p></textarea>.", "Two ."),
+    ("Two <script>'<svg>'</script>. <!-- <button> -->", "Two .")])
+def test_elements_that_do_not_swallow(inside, text):
+    page = f"<article><p>One.</p><p>{inside}</p><p>Three.</p></article>"
+    assert he.main_text(page, WEIGHTS) == f"One.\n\n{text}\n\nThree."
+
+
+def test_unclosed_raw_and_many_openings():
+    assert he.main_text("<article><p>One.</p><script>rest <p>no</p></article>", WEIGHTS) == "One."
+    assert he.main_text("<article><p>One" + "<button>a" * 30_000 + "</article>", WEIGHTS) == "One" + "a" * 30_000
