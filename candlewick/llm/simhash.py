@@ -87,6 +87,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def members(docs: DataFrame, order, distance: int) -> DataFrame:
+    """fp, least and label of every distinct fingerprint of `docs`: the least `order` of its rows, and its component."""
+    prints = stage(docs.groupBy("fp").agg(F.min(order).alias("least")), "prints")
+    labels = components(stage(links(prints, distance), "pairs"))
+    return stage(prints.join(labels, prints.fp == labels.node, "left").select(
+        "fp", "least", F.coalesce("label", "fp").alias("label")), "members")
+
+
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row per document: the key, fp and component_id, the least key among all documents reachable by links.
 
@@ -96,24 +104,27 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shin
     columns of the input are not read.
     """
     docs = stage(fingerprints(df, text, [key], shingle), "fingerprints")
-    prints = stage(docs.groupBy("fp").agg(F.min(key).alias("least")), "prints")
-    labels = components(stage(links(prints, distance), "pairs"))
-    members = stage(prints.join(labels, prints.fp == labels.node, "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label")), "members")
-    groups = stage(members.groupBy("label").agg(F.min("least").alias("component_id")), "groups")
-    named = stage(members.join(groups, "label").select(F.col("fp").alias("print"), "component_id"), "named")
+    prints = members(docs, F.col(key), distance)
+    groups = stage(prints.groupBy("label").agg(F.min("least").alias("component_id")), "groups")
+    named = stage(prints.join(groups, "label").select(F.col("fp").alias("print"), "component_id"), "named")
     return docs.join(named, docs.fp == named.print).select(key, "fp", "component_id")
 
 
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The rows whose key names their component; the rest of each group goes. Columns stay as they are.
+    """One row of each component; the rest of each group goes. Columns stay as they are.
 
-    Rows without a key are kept: nothing tells which of them to keep.  Of rows that share the kept key, one stays.
+    The row with the least key stays, rows without a key come last, then the hash of the text decides, and among equal
+    texts any one stays. Rows are told apart by a written row id, not by their key: rows without a key, or with the
+    same one, go only as copies of each other or of another row.
     """
-    named = near_duplicates(df, text, key, shingle, distance)
-    kept = stage(named.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("kept_key")).distinct(), "kept")
-    rows = df.join(kept, df[key] == kept.kept_key, "left_semi").dropDuplicates([key])
-    return rows.unionByName(df.where(df[key].isNull()))
+    places = [f"c{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*places)
+    text, key = places[df.columns.index(text)], places[df.columns.index(key)]
+    rows = stage(rows.select("*", F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("row")), "rows")
+    docs = stage(fingerprints(rows, text, [key, "hash", "row"], shingle), "fingerprints")
+    prints = members(docs, F.struct(F.col(key).isNull().alias("none"), key, "hash", "row"), distance)
+    kept = stage(prints.groupBy("label").agg(F.min("least").alias("least")).select("least.row"), "kept")
+    return rows.join(kept.hint("merge"), "row", "left_semi").select(*places).toDF(*df.columns)
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

@@ -47,7 +47,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the least id. Rows without an id stay."""
+    """One row of each group of near copies stays, the one with the least id; rows without an id come after those with one.
+
+    Repeated ids are no copies: rows of one id with unlike texts stay.
+    """
     plain, names = by_place(docs)
     return simhash.keep_one(plain, names["text"], names["doc_id"]).toDF(*docs.columns)
 

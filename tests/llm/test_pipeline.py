@@ -75,6 +75,14 @@ def test_clashing_columns(spark, tmp_path):
     assert 5 not in kept and {0, 1, 11} <= kept
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{w}{i}" for w in "one two three four five six seven eight nine ten".split()) for i in range(3)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[1]), (None, texts[0]), (None, texts[2]), (None, texts[2]), (None, texts[2])]
+    got = corpus_pipeline.drop_near_duplicates(spark, table(spark, rows), "")
+    assert got.columns == COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == [(1, texts[0]), (1, texts[1]), (None, texts[2])]
+
+
 def test_empty_tables(spark, tmp_path):
     table(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

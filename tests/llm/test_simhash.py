@@ -87,6 +87,17 @@ def test_keep_one(spark):
     assert got == [None, *sorted(want)]
 
 
+def test_keep_one_with_null_and_repeated_keys(spark):
+    """One row of each group stays, whatever its key: repeated keys are no copies, rows without a key may be."""
+    rng = random.Random(3)
+    a, b, c, d, e = (" ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta iota".split()) for _ in range(300)) for _ in range(5))
+    data = [(1, a), (1, b), (1, b), (2, b), (None, a), (None, c), (None, c), (None, c.upper()), (None, d), (3, e), (2, e), (2, None), (None, "")]
+    got = [(r.doc_id, r.text) for r in sh.keep_one(frame(spark, data).repartition(3)).collect()]
+    assert len(got) == 6 and {(i, t.lower() if t else t) for i, t in got} == {(1, a), (1, b), (None, c), (None, d), (2, e), (2, None)}
+    again = [(r.doc_id, r.text) for r in sh.keep_one(frame(spark, data[::-1])).collect()]
+    assert sorted(again, key=key) == sorted(got, key=key)
+
+
 def test_odd_distance_is_refused(spark):
     with pytest.raises(ValueError):
         sh.links(spark.range(1).withColumnRenamed("id", "fp"), 3)
