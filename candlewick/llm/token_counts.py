@@ -6,9 +6,9 @@ may still grow into a token, the last token of the encoding before that suffix a
 A transition is annotated with the change of the number of tokens, so the counts of a text are the sum of its
 annotations. States and transitions are compiled when they are first met and kept in arrays.
 
-A block of text is split into chunks that run through the transducer side by side. Each chunk first gives its map
-for the start state; a scan over the chunks then feeds every chunk the true end state of its predecessor and runs
-it only until both runs meet, which they do at the next piece at the latest.
+A block of text is split into chunks that run through the transducer side by side, each from the start state. Then
+every chunk is fed the true end state of its predecessor and runs again only until both runs meet, which they do at the
+next piece at the latest. No maps are composed: a piece over K chunks whose runs do not meet takes K rounds.
 """
 
 from __future__ import annotations
