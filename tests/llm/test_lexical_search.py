@@ -124,7 +124,7 @@ def test_whole_numbers_beyond_doubles():
     searcher = ls.Searcher(block, [6000], 10)
     assert searcher.times.dtype == np.int64
     searcher.segment(made[0])
-    assert [k for _, _, k, _ in searcher.best[0]] == [1, 0] and searcher.best[0][0][0] % 2_000_000 == 0
+    assert [k for _, _, k, _ in searcher.best[0]] == [0, 1] and searcher.best[0][0][0] % 2_000_000 == 0
 
 
 def test_normaliser_of_large_numbers():
