@@ -1,7 +1,6 @@
 """Token ids of whole corpora as compressed binary files, and reading them back, whole or by token position.
 
-Texts are cut into pieces by class rules over code points; the tokenizers library encodes every distinct piece once per
-worker. A canonical Huffman code whose lengths are limited is made from the global counts of the ids (package-merge), so
+A canonical Huffman code whose lengths are limited is made from the global counts of the ids (package-merge), so
 the code lengths alone describe it. Ids are stored in ascending order of the key, in chunks of whole documents; inside a
 chunk every block of BLOCK_IDS ids has a checkpoint, the bit at which it begins. Blocks are decoded side by side with a
 table of all bit patterns of the greatest length: one look-up gives the id and the bits to go on.
@@ -16,7 +15,7 @@ import json
 import re
 import zlib
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,93 +24,77 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import map_texts, pieces, read, ship, sum_tables
-from candlewick.llm.token_counts import piece_starts, vocabulary_bytes
+from candlewick.llm.token_counts import LETTER, LONG_ENDINGS, NUMBER, SHORT_ENDINGS, SPACE, byte_letters, code_point_classes, vocabulary_bytes
 from candlewick.session import scratch_path, stage
 
 #: Ids between two checkpoints, ids after which a chunk is closed, and the longest code.
 BLOCK_IDS, CHUNK_IDS, MAX_BITS = 256, 1 << 18, 18
-#: Text cut into pieces at once, and the longest piece that is remembered.
-SLICE_BYTES, KEPT_PIECE = 1 << 20, 64
 #: Ids a code may have: bounds what is counted on the driver and sent to the tasks.
 MOST_IDS = 1 << 22
-#: A space between two printable ASCII signs begins a piece whatever stands around them.
-SAFE_CUT = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 
 
 class IdEncoder:
-    """Ids of texts as little-endian unsigned 32-bit integers; distinct pieces go to the library once."""
+    """Ids of texts under a byte-level BPE vocabulary, as the tokenizers library gives them.
 
-    def __init__(self, vocabulary: bytes, max_pieces: int = 300_000):
+    Pieces are cut by explicit classes of code points, so no table of a newer Unicode version decides. Merging by the
+    rank of the merged bytes gives the library's ids wherever every token is the encoding of its own bytes: a pair can
+    only stand side by side if no merge crossed its outer bounds, and then it is the pair that the token is made of.
+    """
+
+    def __init__(self, vocabulary: bytes):
+        import tiktoken
+
+        spec, letters = json.loads(vocabulary), byte_letters()
+        model, signs = spec["model"], {b: x for x, b in letters.items()}
+        names, ranks = [signs[b] for b in range(256)], {bytes([b]): b for b in range(256)}
+        for pair in model["merges"]:
+            name = "".join(pair.split(" ") if isinstance(pair, str) else pair)
+            ranks[bytes(letters[x] for x in name)] = len(names)
+            names.append(name)
+        self.vocabulary, self.ids = vocabulary, np.array([model["vocab"][x] for x in names], np.uint32)
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.split = re.compile("(" + "|".join(re.escape(s) for s in self.special) + ")") if self.special else None
+        self.most = 1 + max([*model["vocab"].values(), *self.special.values()])
+        letter, number, white = (class_ranges(x) for x in (LETTER, NUMBER, SPACE))
+        endings = "|".join([f"[{SHORT_ENDINGS}]", *LONG_ENDINGS])
+        pattern = f"'(?:{endings})| ?[{letter}]+| ?[{number}]+| ?[^{white}{letter}{number}]+|[{white}]+(?![^{white}])|[{white}]+"
+        self.ranks = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def library(self):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(vocabulary.decode())
-        self.library.no_truncation()
-        self.library.no_padding()
-        special = {t["content"].encode(): t["id"] for t in json.loads(vocabulary)["added_tokens"]}
-        self.special = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
-        self.split = re.compile(b"(" + b"|".join(re.escape(s) for s in special) + b")") if special else None
-        self.known: dict[bytes, bytes] = {}
-        self.max_pieces = max_pieces
-
-    def parts(self, text: bytes) -> list[bytes]:
-        """A text in slices that are encoded apart with the same ids: around special strings and at safe spaces."""
-        out: list[bytes] = []
-        for part in self.split.split(text) if self.split else [text]:
-            if part in self.special:
-                out.append(part)
-                continue
-            at = 0
-            while len(part) - at > SLICE_BYTES and (cut := SAFE_CUT.search(part, at + SLICE_BYTES)):
-                out.append(part[at:cut.start()])
-                at = cut.start()
-            if at < len(part):
-                out.append(part[at:])
-        return out
-
-    def slice_ids(self, parts: list[bytes]) -> list[bytes]:
-        data = b"".join(parts)
-        flat = np.frombuffer(data, np.uint8)
-        points = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
-        place = np.flatnonzero((flat & 0xC0) != 0x80)
-        begins = np.cumsum([0, *(len(p) for p in parts)])
-        first = np.zeros(len(flat), bool)
-        first[begins[:-1]] = True
-        starts = place[piece_starts(points, first[place])]
-        bounds = [*starts.tolist(), len(data)]
-        keys = [data[a:b] for a, b in zip(bounds, bounds[1:])]
-        known = self.known
-        new = [k for k in set(keys) if k not in known]
-        passing: dict[bytes, bytes] = {}
-        for k, made in zip(new, self.library.encode_batch_fast([k.decode() for k in new], add_special_tokens=False) if new else [], strict=True):
-            (known if len(k) <= KEPT_PIECE else passing)[k] = np.array(made.ids, "<u4").tobytes()
-        get = known.__getitem__ if not passing else lambda k: known[k] if k in known else passing[k]
-        cuts = np.searchsorted(starts, begins).tolist()
-        return [b"".join(map(get, keys[a:b])) for a, b in zip(cuts, cuts[1:])]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > self.max_pieces:
-            self.known.clear()
-        out: list[list[bytes]] = [[] for _ in texts]
-        waiting: list[tuple[int, int, bytes]] = []  # text, place in its list, slice
-        size = 0
-        for i, text in enumerate(texts):
-            for part in self.parts(text):
-                if part in self.special:
-                    out[i].append(self.special[part])
-                    continue
-                waiting.append((i, len(out[i]), part))
-                out[i].append(b"")
-                size += len(part)
-                if size >= SLICE_BYTES:
-                    self.fill(out, waiting)
-                    waiting, size = [], 0
-        self.fill(out, waiting)
-        return [b"".join(x) for x in out]
-
-    def fill(self, out: list[list[bytes]], waiting: list[tuple[int, int, bytes]]) -> None:
-        if waiting:
-            for (i, at, _), ids in zip(waiting, self.slice_ids([p for _, _, p in waiting]), strict=True):
-                out[i][at] = ids
+        made = Tokenizer.from_str(self.vocabulary.decode())
+        made.no_truncation()
+        made.no_padding()
+        return made
+
+    def part(self, text: str) -> np.ndarray:
+        if text in self.special:
+            return np.array([self.special[text]], np.uint32)
+        try:
+            return self.ids[self.ranks.encode_to_numpy(text, disallowed_special=())]
+        except ValueError:  # the pattern gives up on runs of hundreds of thousands of white space signs
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encode(self, text: bytes) -> np.ndarray:
+        """Ids of a whole text; special strings inside it are their ids."""
+        parts = self.split.split(text.decode()) if self.split else [text.decode()]
+        return np.concatenate([self.part(x) for x in parts]) if len(parts) > 1 else self.part(parts[0])
+
+
+def class_ranges(kind: int) -> str:
+    """The code points of a class as ranges of a pattern."""
+    points = np.flatnonzero(code_point_classes() == kind)
+    points = points[(points < 0xD800) | (points > 0xDFFF)]
+    cut = np.flatnonzero(np.diff(points) != 1)
+    first, last = np.append(points[:1], points[cut + 1]), np.append(points[cut], points[-1:])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(first.tolist(), last.tolist(), strict=True))
+
+
+def id_type(most: int) -> str:
+    """The narrowest type of ids below `most`, as they are stored before they are coded."""
+    return "<u2" if most <= 1 << 16 else "<u4"
 
 
 @lru_cache(maxsize=2)
@@ -202,7 +185,7 @@ class Code:
 CHUNK = "part int, seq bigint, before bigint, keys array<%s>, sizes array<bigint>, checkpoints array<bigint>, payload binary"
 
 
-def count_ids(encoded: DataFrame, most: int) -> np.ndarray:
+def count_ids(encoded: DataFrame, most: int, kind: str) -> np.ndarray:
     """How often every id below `most` occurs: one array per task, summed."""
 
     class Counts:
@@ -211,7 +194,7 @@ def count_ids(encoded: DataFrame, most: int) -> np.ndarray:
 
         def add(self, batch):
             for piece in pieces(batch, [0]):
-                flat = np.frombuffer(b"".join(piece.column(0).to_pylist()), "<u4")
+                flat = np.frombuffer(b"".join(piece.column(0).to_pylist()), kind)
                 self.n += np.bincount(flat, minlength=most)
 
         def pieces(self):
@@ -223,17 +206,17 @@ def count_ids(encoded: DataFrame, most: int) -> np.ndarray:
     return sum_tables(encoded, ["ids"], Counts, merge, 1, np.int64).get(0, np.zeros(most, np.int64))
 
 
-def chunk_rows(code_bits: np.ndarray):
+def chunk_rows(code_bits: np.ndarray, kind: str):
     """Sorted documents of one part as chunks; a chunk ends with the document that fills it."""
 
     def run(batches):
-        code, part = Code(code_bits), TaskContext.get().partitionId()
+        code, part, width = Code(code_bits), TaskContext.get().partitionId(), np.dtype(kind).itemsize
         seq = before = n = 0
         keys, held, key_type = [], [], None
 
         def chunk():
-            sizes = [len(x) // 4 for x in held]
-            checkpoints, payload = code.encode(np.frombuffer(b"".join(held), "<u4").astype(np.int64))
+            sizes = [len(x) // width for x in held]
+            checkpoints, payload = code.encode(np.frombuffer(b"".join(held), kind))
             lists = [pa.array([keys], pa.list_(key_type)), pa.array([sizes], pa.list_(pa.int64())),
                      pa.array([checkpoints.tolist()], pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays(
@@ -246,7 +229,7 @@ def chunk_rows(code_bits: np.ndarray):
                 for key, ids in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
                     keys.append(key)
                     held.append(ids)
-                    n += len(ids) // 4
+                    n += len(ids) // width
                     if n >= CHUNK_IDS:
                         yield chunk()
                         seq, before, n, keys, held = seq + 1, before + n, 0, [], []
@@ -267,26 +250,26 @@ def write_ids(df: DataFrame, path: str, text: str = "text", key: str = "doc_id",
     """
     spark = df.sparkSession
     data = vocabulary_bytes(vocabulary, "byte_bpe_50k.json")
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    most = max(id_encoder(data).most, 1 + (end_id or 0))
+    if most > MOST_IDS:
+        raise ValueError(f"a code of {most} ids is too large to send to every task")
+    width = id_type(most)
+    end = b"" if end_id is None else np.array([end_id], width).tobytes()
 
     def start():
         machine = id_encoder(data)
-        return lambda texts: [[ids + end for ids in machine.encode(texts)]]
+        return lambda texts: [[machine.encode(t).astype(width).tobytes() + end for t in texts]]
 
     encoded = map_texts(df, [text], [key], [("ids", "binary")], start).toDF("key", "ids")
     encoded = stage(encoded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
-    spec = json.loads(data)
-    most = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]), end_id or 0])
-    if most > MOST_IDS:
-        raise ValueError(f"a code of {most} ids is too large to send to every task")
-    bits = code_lengths(count_ids(encoded, most), max_bits)
+    bits = code_lengths(count_ids(encoded, most, width), max_bits)
     used = np.flatnonzero(bits)
     codes = spark.createDataFrame(list(zip(used.tolist(), bits[used].tolist(), strict=True)), "id int, bits int")
     codes.coalesce(1).write.parquet(f"{path}/codes")
 
     schema = CHUNK % encoded.schema["key"].dataType.simpleString()
     ordered = encoded.repartitionByRange("key", "row").sortWithinPartitions("key", "row").select("key", "ids")
-    ordered.mapInArrow(chunk_rows(bits), schema).write.parquet(f"{path}/chunks")
+    ordered.mapInArrow(chunk_rows(bits, width), schema).write.parquet(f"{path}/chunks")
 
     held = F.expr("aggregate(sizes, 0L, (n, x) -> n + x)")
     parts = spark.read.parquet(f"{path}/chunks").groupBy("part").agg(F.sum(held).alias("n_tokens"))

@@ -132,10 +132,26 @@ def test_code(size):
 
 
 def test_one_long_text():
-    """A text of some megabytes in slices gives the ids of the whole."""
+    """A text of some megabytes gives the library's ids."""
     text = "".join(f"line {i} isn't like line {i * i};  see\n" for i in range(60_000))
     machine = tf.id_encoder(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
-    assert np.frombuffer(machine.encode([text.encode()])[0], "<u4").tolist() == ids(text)[:-1]
+    assert machine.encode(text.encode()).tolist() == ids(text)[:-1]
+
+
+def test_every_token_is_the_encoding_of_its_bytes():
+    """What merging by the rank of the merged bytes rests on."""
+    machine = tf.id_encoder(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    letters = tf.byte_letters()
+    names = {i: t for t, i in LIBRARY.get_vocab().items() if i not in machine.special.values()}
+    for i, name in names.items():
+        assert machine.ids[machine.ranks._encode_single_piece(bytes(letters[x] for x in name))].tolist() == [i]
+    assert sorted(names) == sorted(machine.ids.tolist())
+
+
+@pytest.mark.parametrize("text", [" " * 1_200_000 + "b", "\n \t" * 300_000, "a" * 400_000, "=" * 300_000 + " x"])
+def test_long_runs(text):
+    machine = tf.id_encoder(open(public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
+    assert machine.encode(text.encode()).tolist() == ids(text)[:-1]
 
 
 def test_every_code_point():
@@ -147,5 +163,4 @@ def test_every_code_point():
         texts.append("".join(f"{c}x{c} {c}9{c}{c}" for c in points))
     texts = [t for t in texts if t]
     want = [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
-    got = [np.frombuffer(x, "<u4").tolist() for x in machine.encode([t.encode() for t in texts])]
-    assert got == want
+    assert [machine.encode(t.encode()).tolist() for t in texts] == want
