@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from candlewick.operators import blocks
+from candlewick.operators.sets import concat
 from candlewick.session import stage
 
 BROADCAST_ROWS = 200_000
@@ -116,7 +119,10 @@ def as_of_version(
     broadcast_rows: int = BROADCAST_ROWS,
     small: bool | None = None,
 ) -> DataFrame:
-    """Left join each fact to the version of its key that was valid at the fact's time."""
+    """Left join each fact to the version of its key that was valid at the fact's time.
+
+    Versions of counted size are sent to every task; more of them are merged with the facts in order of time.
+    """
     if small is None:
         small = small_enough(versions, broadcast_rows)
     inside: Column = (F.col(at) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(at) < F.col(valid_to)))
@@ -124,9 +130,64 @@ def as_of_version(
     condition = (F.col(key) == F.col("_key")) & inside
     if small:
         return facts.join(F.broadcast(right), condition, "left").drop("_key")
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int"))
-    copies = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, condition & (F.col("_salt") == F.col("_copy")), "left").drop("_key", "_salt", "_copy")
+    return as_of_merge(facts, versions, key, at, valid_from, valid_to)
+
+
+def as_of_merge(
+    facts: DataFrame, versions: DataFrame, key: str, at: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
+    block_rows: int = blocks.BLOCK_ROWS, stored: bool = False,
+) -> DataFrame:
+    """The same left join as a merge: facts and versions in one order by key and time, the last version carried on.
+
+    Versions of a key must not overlap. A key is cut into blocks of time whose size is counted (whole, by month, day,
+    hour or minute), and a block begins with the last version of the blocks before it, so a key with a large part of
+    all facts is shared by many tasks and no row is copied. Facts are read up to four times and written once first
+    unless they are ``stored``.
+    """
+    if not stored:
+        facts = stage(facts, "facts")
+    kind = facts.schema[at].dataType
+    if versions.schema[valid_from].dataType != kind:
+        kind = T.TimestampNTZType()
+    when = F.col(at).cast(kind)
+    extra = [c for c in versions.columns if c != key]
+    usable = F.col(key).isNotNull() & F.col(valid_from).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from)))
+    known = versions.filter(usable).select(
+        F.col(key).alias("_key"), F.col(valid_from).cast(kind).alias("_time"), F.struct(*extra).alias("_version"))
+    placed = F.col(key).isNotNull() & F.col(at).isNotNull()
+    rows = facts.filter(placed).select(F.col(key).alias("_key"), when.alias("_time"), F.struct(*facts.columns).alias("_fact"))
+    levels = time_levels(F.col("_time"))
+    level = blocks.pick_level(rows, blocks.Series(("_key",), ("_time",), levels), block_rows)
+    rows, known = (df.withColumn("_block", levels[level]) for df in (rows, known))
+
+    if level:
+        # the last version of each block, carried to the later blocks that hold facts
+        last = known.groupBy("_key", "_block").agg(F.max_by("_version", "_time").alias("_version"))
+        held = rows.select("_key", "_block").distinct().withColumn("_version", F.lit(None).cast(last.schema["_version"].dataType))
+        along = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        marked = concat([last.withColumn("_held", F.lit(False)), held.withColumn("_held", F.lit(True))])
+        merged = marked.groupBy("_key", "_block").agg(F.max("_held").alias("_held"), F.first("_version", True).alias("_version"))
+        edges = merged.withColumn("_before", F.last("_version", True).over(along)).filter(F.col("_held") & F.col("_before").isNotNull())
+        known = known.unionByName(edges.select("_key", F.lit(None).cast(kind).alias("_time"), F.col("_before").alias("_version"), "_block"))
+
+    # a block's carried version has no time and comes first; a version precedes the facts of its first moment
+    both = concat([known.withColumn("_fact", F.lit(None).cast(rows.schema["_fact"].dataType)),
+                   rows.withColumn("_version", F.lit(None).cast(known.schema["_version"].dataType))])
+    order = [F.asc_nulls_first("_time"), F.col("_fact").isNotNull()]
+    upto = Window.partitionBy("_key", "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("_now", F.last("_version", True).over(upto)).filter(F.col("_fact").isNotNull())
+    end = F.col(f"_now.{valid_to}")
+    valid = F.when(end.isNull() | (F.col("_time") < end.cast(kind)), F.col("_now"))
+    out = carried.withColumn("_now", valid).select("_fact.*", *[F.col("_now")[c].alias(c) for c in extra])
+    missing = facts.filter(~placed).select("*", *[F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in extra])
+    return out.unionByName(missing)
+
+
+def time_levels(t: Column) -> list[Column]:
+    """Blocks of time from coarse to fine: all of it, months, days, hours, minutes."""
+    seconds = F.unix_seconds(t.cast("timestamp"))
+    month = (F.year(t) * 12 + F.month(t)).cast("bigint")
+    return [F.lit(0).cast("bigint"), month, *[F.floor(seconds / s).cast("bigint") for s in (86_400, 3600, 60)]]
 
 
 def against_group_mean(df: DataFrame, group: Sequence[str], value: str, factor: float) -> DataFrame:

@@ -50,9 +50,15 @@ def with_date_key(df: DataFrame, date_dim: DataFrame, date: str, name: str) -> D
 def fct_ohlcv_hourly(
     stg: DataFrame, assets_dim: DataFrame, date_dim: DataFrame, existing: DataFrame | None = None, cutoff: str = CUTOFF
 ) -> DataFrame:
-    """Candles with resolved keys. The time key is the second of the day, so no lookup is needed."""
+    """Candles with resolved keys. The time key is the second of the day, so no lookup is needed.
+
+    Stored candles are compared from the first to the last day of the new ones; the bounds reach the scan.
+    """
     src = stg.filter(F.col("open_date") < F.lit(cutoff).cast("date"))
     if existing is not None:
+        days = src.agg(F.min("open_date").alias("first"), F.max("open_date").alias("last")).first()
+        if days.first is not None:
+            existing = existing.filter(F.col("open_date").between(F.lit(days.first), F.lit(days.last)))
         src = joins.absent(src, existing, ["open_date", "open_time", "base_asset_symbol"])
     now = current_assets(assets_dim)
     small = joins.small_enough(now)

@@ -30,6 +30,7 @@ class Model:
     partition_by: Sequence[str] = ()
     cluster_by: Sequence[str] = ()
     reads_itself: bool = False
+    indexed: bool = False  # keep what each file may hold of the unique key, so that a merge rewrites few files
     options: dict = field(default_factory=dict)
     check: Callable[[DataFrame], DataFrame] | None = None  # failing rows of the stored result
 
@@ -51,7 +52,8 @@ class Project:
         return list(TopologicalSorter(graph).static_order())
 
     def table(self, name: str) -> Table:
-        return Table(self.spark, f"{self.root}/{name}", self.models[name].partition_by)
+        m = self.models[name]
+        return Table(self.spark, f"{self.root}/{name}", m.partition_by, key=m.unique_key if m.indexed else ())
 
     def _input(self, name: str) -> DataFrame:
         if name in self.models:
@@ -113,7 +115,7 @@ def market_models(spark: SparkSession, refs: Refs, root: str, start=dims.DATE_ST
         Model("time_dim", lambda: dims.time_dim(spark)),
         Model(
             "ohlcv_fct", facts.fct_ohlcv_hourly, ["stg_ohlcv", "assets_dim", "date_dim"], "incremental", "merge",
-            ["ohlcv_sk"], reads_itself=True,
+            ["ohlcv_sk"], reads_itself=True, indexed=True,
         ),
         Model(
             "trades_fct", facts.fct_trades, ["stg_agg_trades", "assets_dim", "date_dim"], "incremental", "merge",
@@ -123,11 +125,11 @@ def market_models(spark: SparkSession, refs: Refs, root: str, start=dims.DATE_ST
         Model("fct_ohlcv_daily", facts.fct_ohlcv_daily, ["ohlcv_fct"], cluster_by=by_day),
         Model(
             "fct_technical_daily", facts.fct_technical_daily, daily, "incremental", "merge", ["technical_sk"],
-            cluster_by=by_day, reads_itself=True,
+            cluster_by=by_day, reads_itself=True, indexed=True,
         ),
         Model(
             "fct_liquidity_daily", facts.fct_liquidity_daily, daily, "incremental", "merge", ["liquidity_sk"],
-            cluster_by=by_day, reads_itself=True,
+            cluster_by=by_day, reads_itself=True, indexed=True,
         ),
         Model("daily_pressure_fact", facts.fct_pressure_daily, daily, cluster_by=by_day),
         Model("vw_gold_market_daily", facts.market_daily_wide, [*daily, "date_dim", "assets_dim"]),

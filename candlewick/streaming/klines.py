@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +20,7 @@ from candlewick.plans import staging
 from candlewick.session import stage
 from candlewick.sources.schemas import RAW_MESSAGE
 from candlewick.tables import incremental
+from candlewick.tables.compaction import Landing
 from candlewick.tables.store import Table
 
 ONCE = {"availableNow": True}
@@ -65,6 +66,11 @@ def append_to(df: DataFrame, path: str, checkpoint: str, trigger: dict = ONCE) -
     )
 
 
+def land(messages: DataFrame, landing: Landing, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery:
+    """Exactly-once landing in few files: batches wait until there are enough rows, bytes or seconds of them."""
+    return each_batch(messages, landing.take, checkpoint, "append", trigger)
+
+
 def each_batch(
     df: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", trigger: dict = ONCE
 ) -> StreamingQuery:
@@ -223,8 +229,73 @@ class Windows:
         return self.finish(rows.groupBy("asset_symbol", "window_end").agg(*self.measures))
 
 
+#: Panes of a block of sliding windows: the most that one task orders at once for one series.
+BLOCK_PANES = 40_320
+# Seconds of the units of a length.
+UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+
+
+def seconds_of(length: str) -> int:
+    number, unit = length.split()
+    return int(number) * UNITS[unit.rstrip("s")]
+
+
+@dataclass(frozen=True)
+class SlidingWindows:
+    """Windows that overlap, by panes: the stretches between two window ends.
+
+    Each candle enters one pane. A pane keeps a partial state (``states``: an aggregate function and its input); a
+    window combines the states of its panes (``measures`` over a frame of panes). A series is cut into blocks of
+    BLOCK_PANES, whose last panes are also given to the next block, so frames are whole; candles of other panes are
+    shuffled once. Windows that end in a gap exist as long as they hold a candle.
+    """
+
+    length: str
+    slide: str
+    states: dict[str, tuple[Callable, Column]]
+    measures: Callable[[WindowSpec], dict[str, Column]]
+    finish: Callable[[DataFrame], DataFrame] = lambda df: df
+    days: int = 1  # whole days that a window may reach to either side of a candle's day
+
+    def of(self, candles: DataFrame, changed: DataFrame | None = None, block_panes: int = BLOCK_PANES) -> DataFrame:
+        """All windows of the candles, or those that hold a changed candle."""
+        slide = seconds_of(self.slide)
+        reach, rest = divmod(seconds_of(self.length), slide)
+        if rest:
+            raise ValueError(f"a window of {self.length} is no multiple of {self.slide}")
+        rows = candles.withColumn("_changed", F.lit(False))
+        if changed is not None:
+            marks = changed.select("asset_symbol", "open_time", F.lit(True).alias("_changed"))
+            rows = rows.unionByName(marks, allowMissingColumns=True)
+        pane = F.floor(F.unix_seconds(F.col("open_time").cast("timestamp")) / slide).cast("bigint")
+        rows = rows.withColumn("_pane", pane).filter(F.col("_pane").isNotNull())
+        own = F.floor(F.col("_pane") / block_panes).cast("bigint")
+        if reach > 1:
+            late = F.pmod("_pane", F.lit(block_panes)) > block_panes - reach
+            rows = rows.withColumn("_block", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))))
+        else:
+            rows = rows.withColumn("_block", own)
+        # one exchange: the panes and the frames over them are grouped inside its partitions
+        block = ["asset_symbol", "_block"]
+        states = [f(F.when(~F.col("_changed"), c)).alias(f"_{n}") for n, (f, c) in self.states.items()]
+        panes = rows.repartition(*block).groupBy(*block, "_pane").agg(*states, F.max("_changed").alias("_changed"))
+        along = Window.partitionBy(*block).orderBy("_pane")
+        until = F.least(F.coalesce(F.lead("_pane").over(along) - 1, F.col("_pane") + reach - 1), F.col("_pane") + reach - 1)
+        ends = panes.withColumn("_until", until).withColumn("_at", F.explode(F.sequence("_pane", "_until")))
+        alone = F.col("_at") == F.col("_pane")
+        ends = ends.withColumns({c: F.when(alone, F.col(c)) for c in [*[f"_{n}" for n in self.states], "_changed"]})
+        frame = Window.partitionBy(*block).orderBy("_at").rangeBetween(-(reach - 1), 0)
+        out = ends.withColumns(self.measures(frame) | {"_touched": F.max("_changed").over(frame)})
+        out = out.filter(F.floor(F.col("_at") / block_panes) == F.col("_block"))
+        if changed is not None:
+            out = out.filter("_touched")
+        out = out.withColumn("window_end", F.timestamp_seconds((F.col("_at") + 1) * slide).cast("timestamp_ntz"))
+        helpers = [*[f"_{n}" for n in self.states], "_changed", "_touched", "_block", "_pane", "_until", "_at"]
+        return self.finish(out.drop(*helpers))
+
+
 def run_windows(
-    messages: DataFrame, windows: Windows, candles: Table, out: Table, checkpoint: str, trigger: dict = ONCE
+    messages: DataFrame, windows: Windows | SlidingWindows, candles: Table, out: Table, checkpoint: str, trigger: dict = ONCE
 ) -> StreamingQuery:
     """Keeps a table of windows up to date with a candle table.
 
@@ -257,25 +328,42 @@ def hourly_windows() -> Windows:
     return Windows("1 hour", "1 hour", measures, lambda df: df.withColumn("hour", start))
 
 
-def price_range(slide: str = "1 minute") -> Windows:
+def price_range(slide: str = "1 minute") -> SlidingWindows:
     """Highest and lowest price of the last hour."""
-    return Windows("1 hour", slide, [F.max("high").alias("highest"), F.min("low").alias("lowest")])
+    states = {"high": (F.max, F.col("high")), "low": (F.min, F.col("low"))}
+    return SlidingWindows("1 hour", slide, states, lambda w: {"highest": F.max("_high").over(w), "lowest": F.min("_low").over(w)})
 
 
-def price_volatility(slide: str = "1 minute", high_above: float = 0.005) -> Windows:
-    """Stddev of the close over its mean in the last hour, and whether it is high."""
-    ratio = F.try_divide("_sd", "_mean")
-    return Windows(
-        "1 hour", slide, [F.stddev_samp("close").alias("_sd"), F.avg("close").alias("_mean")],
+def price_volatility(slide: str = "1 minute", high_above: float = 0.005) -> SlidingWindows:
+    """Stddev of the close over its mean in the last hour, and whether it is high.
+
+    Panes keep count, mean and variance. They are combined as differences to the mean of the window's block, so
+    nothing is lost by subtracting large squares.
+    """
+    states = {"n": (F.count, F.col("close")), "mean": (F.avg, F.col("close")), "var": (F.var_pop, F.col("close"))}
+
+    def measures(w):
+        whole = F.avg("_mean").over(Window.partitionBy("asset_symbol", "_block"))
+        off = F.col("_mean") - whole
+        n, first = F.sum("_n").over(w), F.sum(F.col("_n") * off).over(w)
+        second = F.sum(F.col("_n") * (F.col("_var") + off * off)).over(w)
+        sd = F.when(n > 1, F.sqrt(F.greatest(second - first * first / n, F.lit(0.0)) / (n - 1)))
+        return {"_sd": sd, "_window_mean": F.try_divide(F.sum(F.col("_n") * F.col("_mean")).over(w), n)}
+
+    ratio = F.try_divide("_sd", "_window_mean")
+    return SlidingWindows(
+        "1 hour", slide, states, measures,
         lambda df: df.select("asset_symbol", "window_end", ratio.alias("volatility"), (ratio > high_above).alias("is_high")),
     )
 
 
-def first_last(length: str, slide: str) -> Windows:
+def first_last(length: str, slide: str) -> SlidingWindows:
     """First and last price of a sliding window and their difference."""
+    states = {"first": (F.min, F.struct("open_time", "open")), "last": (F.max, F.struct("open_time", "close"))}
     change = F.col("last_price") - F.col("first_price")
-    return Windows(
-        length, slide, [F.min_by("open", "open_time").alias("first_price"), F.max_by("close", "open_time").alias("last_price")],
+    return SlidingWindows(
+        length, slide, states,
+        lambda w: {"first_price": F.min("_first").over(w)["open"], "last_price": F.max("_last").over(w)["close"]},
         lambda df: df.withColumns({"momentum": change, "change_pct": F.try_divide(change, F.col("first_price")) * 100}),
     )
 

@@ -68,10 +68,22 @@ def above_own_mark(
     return known.unionByName(whole).unionByName(df.filter(null_key))
 
 
-def unseen(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unseen(df: DataFrame, target: DataFrame | Table, keys: Sequence[str]) -> DataFrame:
+    """Rows of df whose key the target doesn't hold. Of a table with this key only files that hold some key are read."""
+    if isinstance(target, Table):
+        if has_key(target, keys):
+            df = stage(df, "batch")
+            target = target.of_files(target.files_with(df))
+        else:
+            target = target.read()
     return joins.absent(df, target, keys)
 
 
+def has_key(table: Table, keys: Sequence[str]) -> bool:
+    """Whether the table's files are described by this key."""
+    return bool(table.key) and [k.lower() for k in table.key] == [k.lower() for k in keys]
+
+
 # ---- row sets ---------------------------------------------------------------
 
 
@@ -178,8 +190,9 @@ def load(
     others become NULL.
 
     ``partition_in_key`` states that the partition columns are part of, or computed from, the
-    unique key. Then a merge reads and rewrites only the partitions present in the batch;
-    otherwise a new version of the whole table is written.
+    unique key. Then a merge reads and rewrites only the partitions present in the batch. Otherwise, in a
+    table whose key is the unique key, it reads and rewrites only the files that hold a key of the batch;
+    in any other one a new version of the whole table is written.
     """
     if not is_incremental(table, full_refresh):
         table.replace(df, cluster_by)
@@ -217,12 +230,18 @@ def load(
     if strategy == "merge":
         df = one_per_key(df, unique_key, newest_by)
     touched = table.partitions(df) if partition_in_key and table.partition_by else None
-    target = table.read() if touched is None else table.only(touched)
+    held = table.files_with(df) if touched is None and has_key(table, unique_key) else None
+    if held is not None:
+        target = table.of_files(held)
+    else:
+        target = table.read() if touched is None else table.only(touched)
     if strategy == "merge":
         rows = merged(target, df, unique_key, update_columns, exclude_columns, predicate)
     else:
         rows = delete_inserted(target, df, unique_key)
-    if touched is None:
+    if held is not None:
+        table.replace_files(rows, held, cluster_by)
+    elif touched is None:
         table.replace(rows, cluster_by)
     else:
         table.replace_partitions(rows, touched)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.scalars import history_key
+from candlewick.tables.store import Table
 
 # Names of the history columns.
 SCD_ID, UPDATED_AT = "dbt_scd_id", "dbt_updated_at"
@@ -137,3 +138,48 @@ def snapshot(
     empty = F.filter(F.array(F.col("_old")), lambda x: F.lit(False))
     rows = both.select(F.explode(F.concat(*[F.coalesce(p, empty) for p in parts])).alias("_row"))
     return _renamed(closed.unionByName(rows.select(*[F.col(f"_row.{c}").alias(c) for c in columns])), names)
+
+
+#: Which part of a stored history a row is in.
+PART = "_part"
+
+
+class History:
+    """A stored history in an open and a closed part.
+
+    A run reads the open rows, replaces them, and adds the versions that it closes to the closed part, all in one
+    version of the table; files of versions closed before are neither read nor written. A run that is repeated after
+    a failure, or with the same source, gives the same history.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, keys: Sequence[str], hard_deletes: str = "ignore", open_marker=None,
+        names: dict[str, str] | None = None, **how,
+    ):
+        self.table = Table(spark, path, [PART])
+        self.keys, self.hard_deletes, self.open_marker, self.names, self.how = list(keys), hard_deletes, open_marker, names, how
+
+    def read(self) -> DataFrame:
+        return self.table.read().drop(PART)
+
+    def open_rows(self) -> DataFrame:
+        return self.table.only({("open",)}).drop(PART)
+
+    def _parted(self, rows: DataFrame) -> DataFrame:
+        valid_to = (self.names or {}).get(VALID_TO, VALID_TO)
+        return rows.withColumn(PART, F.when(is_open(self.open_marker, valid_to), "open").otherwise("closed"))
+
+    def start(self, source: DataFrame, stamp: Column) -> None:
+        self.table.replace(self._parted(first_snapshot(source, self.keys, stamp, self.open_marker, self.hard_deletes, self.names)))
+
+    def run(self, source: DataFrame, now) -> None:
+        """Brings the history up to date with the source at the time ``now``."""
+        how = self.how | {"hard_deletes": self.hard_deletes, "open_marker": self.open_marker, "names": self.names}
+        deleted = (self.names or {}).get(IS_DELETED, IS_DELETED)
+        if self.hard_deletes == "new_record" and deleted not in self.table.schema().fieldNames():
+            # closed rows get a flag that is not NULL: once, the whole history is written again
+            self.table.replace(self._parted(snapshot(self.read(), source, self.keys, now, **how)))
+            return
+        rows = self._parted(snapshot(self.open_rows(), source, self.keys, now, **how))
+        # new columns are NULL in the files of versions closed before
+        self.table.replace_partitions(rows, {("open",)}, others="append", schema=rows.schema)

@@ -1,5 +1,8 @@
 """Lookups give the same rows broadcast and salted; NOT IN follows the NULL rules."""
 
+import datetime as dt
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -74,3 +77,48 @@ def test_fixed_lookup_refuses_a_large_side(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
     with pytest.raises(ValueError, match="too large"):
         joins.fixed_lookup(facts, days, "k")
+
+
+def as_of_plain(facts, versions):
+    out = []
+    for i, k, at in facts:
+        hit = [v for vk, f, t, v in versions if k is not None and at is not None and vk == k and f is not None and f <= at and (t is None or at < t)]
+        assert len(hit) < 2
+        out.append((i, k, at, hit[0] if hit else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("seed", "block_rows"), [(1, 10**6), (2, 120), (3, 15), (4, 1)])
+def test_as_of_merge(spark, seed, block_rows):
+    """Ties, gaps, open ends, no version at all, and a key with most facts, in blocks of all sizes."""
+    rng = random.Random(seed)
+    day = dt.datetime(2024, 1, 1)
+    moment = lambda: day + dt.timedelta(minutes=rng.randrange(0, 200_000, 30))
+    versions = []
+    for k in ("a", "b", "c"):
+        cuts = sorted({moment() for _ in range(12)})
+        for n, (f, t) in enumerate(zip(cuts, [*cuts[1:], None])):
+            if rng.random() < 0.8:  # else a gap
+                versions.append((k, f, t, f"{k}{n}"))
+        versions.append((k, cuts[3], cuts[3], "never"))
+    versions += [(None, day, None, "no key"), ("a", None, day, "no start")]
+    edges = [v[1] for v in versions if v[1]]
+    facts = [(i, rng.choice(["a", "a", "a", "a", "b", "c", "d", None]), rng.choice([moment(), rng.choice(edges), None])) for i in range(400)]
+    f = spark.createDataFrame(facts, "i int, k string, at timestamp_ntz")
+    v = spark.createDataFrame(versions, "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, v string")
+    got = joins.as_of_merge(f.repartition(3), v, "k", "at", block_rows=block_rows)
+    assert got.columns == ["i", "k", "at", "valid_from", "valid_to", "v"]
+    assert sorted(map(tuple, got.drop("valid_from", "valid_to").collect()), key=repr) == as_of_plain(facts, versions)
+    small = joins.as_of_version(f, v, "k", "at", small=True)
+    assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, got.collect()), key=repr)
+
+
+def test_as_of_merge_copies_nothing(spark):
+    """No row generator and no join in the plan; versions as dates compare with moments."""
+    f = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 2, 5)), (2, "a", dt.datetime(2023, 1, 1))], "i int, k string, at timestamp_ntz")
+    v = spark.createDataFrame([("a", dt.date(2024, 1, 1), None, "x")], "k string, valid_from date, valid_to date, v string")
+    got = joins.as_of_version(f, v, "k", "at", small=False)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    assert {(r.i, r.v) for r in got.collect()} == {(1, "x"), (2, None)}
+    assert joins.as_of_version(f.limit(0), v, "k", "at", small=False).collect() == []

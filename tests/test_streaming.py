@@ -1,7 +1,11 @@
 """Message parsing, the upsert path and stream against batch."""
 
+import datetime as dt
 import json
+import random
+import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from candlewick.plans import staging
@@ -129,3 +133,84 @@ def test_windows_with_late_and_superseded_candles(spark):
     K.finish(K.run_windows(K.read_files(spark, folder), K.hourly_windows(), candles, out, scratch_path(spark, "chk")))
     assert got() == want
     assert sorted(r.volume for r in K.hourly_windows().of(candles.read()).collect()) == [3.0, 8.0]
+
+
+# ---- sliding windows by panes -----------------------------------------------
+
+
+def candle_rows(seed, n=300):
+    """Candles with gaps, some inside one minute, a series that never changes, prices far above their moves."""
+    rng, out, start = random.Random(seed), [], dt.datetime(2024, 1, 31, 20)
+    for symbol in ("A", "B"):
+        for s in sorted(rng.sample(range(0, 40_000 if symbol == "A" else 400_000, 15), n)):
+            p = 1e5 + rng.random()
+            out.append((symbol, start + dt.timedelta(seconds=s), p, p + 1, p - 1, p + rng.random()))
+    return out + [("C", start + dt.timedelta(minutes=i), 3.0, 3.0, 3.0, 3.0) for i in range(5)]
+
+
+def windows_plain(rows, length, slide):
+    out = {}
+    for r in rows:
+        t = (r[1] - dt.datetime(1970, 1, 1)).total_seconds()
+        end = (t // slide + 1) * slide
+        while end - length <= t:
+            out.setdefault((r[0], dt.datetime(1970, 1, 1) + dt.timedelta(seconds=end)), []).append(r)
+            end += slide
+    return {k: sorted(v) for k, v in out.items()}
+
+
+CANDLES = "asset_symbol string, open_time timestamp_ntz, open double, high double, low double, close double"
+
+
+@pytest.mark.parametrize("block", [40_320, 60, 61, 100])
+def test_sliding_windows(spark, block):
+    rows = candle_rows(block)
+    df = spark.createDataFrame(rows, CANDLES).repartition(3)
+    want = windows_plain(rows, 3600, 60)
+    got = {(r.asset_symbol, r.window_end): r for r in K.price_range().of(df, block_panes=block).collect()}
+    assert got.keys() == want.keys()
+    assert all((got[k].highest, got[k].lowest) == (max(r[3] for r in v), min(r[4] for r in v)) for k, v in want.items())
+    spread = {(r.asset_symbol, r.window_end): r.volatility for r in K.price_volatility().of(df, block_panes=block).collect()}
+    assert spread.keys() == want.keys()
+    for k, v in want.items():
+        closes = [r[5] for r in v]
+        if len(v) == 1:
+            assert spread[k] is None
+        else:
+            assert spread[k] == pytest.approx(statistics.stdev(closes) / statistics.mean(closes), rel=1e-6, abs=1e-12)
+
+
+@pytest.mark.parametrize(("length", "slide", "seconds", "step"), [("10 minutes", "1 minute", 600, 60), ("1 hour", "10 minutes", 3600, 600), ("1 minute", "1 minute", 60, 60)])
+def test_first_and_last_of_sliding_windows(spark, length, slide, seconds, step):
+    rows = candle_rows(5)
+    got = K.first_last(length, slide).of(spark.createDataFrame(rows, CANDLES), block_panes=70).collect()
+    want = windows_plain(rows, seconds, step)
+    assert {(r.asset_symbol, r.window_end): (r.first_price, r.last_price) for r in got} == {k: (v[0][2], v[-1][5]) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("block", [40_320, 60])
+def test_windows_of_changed_candles(spark, block):
+    rows = candle_rows(9)
+    df = spark.createDataFrame(rows, CANDLES)
+    changed = [(r[0], r[1]) for r in rows[::37]] + [("C", rows[-1][1])]
+    keys = spark.createDataFrame(changed, "asset_symbol string, open_time timestamp_ntz")
+    got = K.price_range().of(df, keys, block)
+    want = {k for k, v in windows_plain(rows, 3600, 60).items() if {(r[0], r[1]) for r in v} & set(changed)}
+    assert {(r.asset_symbol, r.window_end) for r in got.collect()} == want and got.columns == ["asset_symbol", "highest", "lowest", "window_end"]
+
+
+def test_candles_are_shuffled_once(spark):
+    """Of a dense series only the last panes of a block are copied: one exchange, as many rows as candles and those."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A", start + dt.timedelta(minutes=i), 1.0, 1.0, 1.0, 1.0) for i in range(4000)]
+    out = K.price_range().of(spark.createDataFrame(rows, CANDLES))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    before = out._jdf.queryExecution().analyzed().collectLeaves()
+    assert before.size() == 1 and out.count() == 4000 + 59
+
+
+def test_window_lengths_must_fit(spark):
+    with pytest.raises(ValueError, match="no multiple"):
+        K.first_last("1 hour", "7 minutes").of(spark.createDataFrame([], CANDLES))
+    assert K.first_last("1 hour", "1 minute").of(spark.createDataFrame([], CANDLES)).collect() == []

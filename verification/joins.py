@@ -155,3 +155,13 @@ def join_asof_scd2(spark, sf):
     v = assets_dim(spark, sf).select("symbol", "asset_sk", "market_cap_based_rank", "rank_valid_from", "rank_valid_to")
     out = J.as_of_version(t, v, "symbol", "ts", "rank_valid_from", "rank_valid_to")
     return out.select("agg_trade_id", "asset_sk", "market_cap_based_rank")
+
+
+@check("join_asof_merge", using("trades, assets_dim", """SELECT agg_trade_id, asset_sk, market_cap_based_rank FROM trades LEFT JOIN assets_dim
+    ON symbol = replace(pair_symbol, 'USDT', '') AND ts >= rank_valid_from AND (rank_valid_to IS NULL OR ts < rank_valid_to)"""))
+def join_asof_merge(spark, sf):
+    """The same join for versions that are too many to send to every task: blocks of at most 2,000 trades."""
+    t = raw_trades(spark, sf).select("agg_trade_id", S.pair_base("pair_symbol").alias("symbol"), S.from_epoch_ms("transact_time").alias("ts"))
+    v = assets_dim(spark, sf).select("symbol", "asset_sk", "market_cap_based_rank", "rank_valid_from", "rank_valid_to")
+    out = J.as_of_merge(t, v, "symbol", "ts", "rank_valid_from", "rank_valid_to", block_rows=2000)
+    return out.select("agg_trade_id", "asset_sk", "market_cap_based_rank")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from candlewick.session import scratch_path
 from candlewick.streaming import klines as K
+from candlewick.tables.compaction import Landing
 from candlewick.tables.store import Table
 from verification.base import candles_1m, check, kline_messages, r, rounded, rr, using
 from verification.projections import KLINE_FLOOR, _KLINE
@@ -74,7 +75,11 @@ def st_filter_closed_publish(spark, sf):
 
 @check("st_land_raw", using("topic", _ALL.format(f", {_MALFORMED}, CASE WHEN n < 3 THEN asset_symbol END AS symbol")))
 def st_land_raw(spark, sf):
-    out = appended(spark, stream(spark, sf))
+    """Batches wait until there are 10,000 rows, 5 MB or a minute of them; the rest is flushed at the end."""
+    landing = Landing(Table(spark, scratch_path(spark, "landed")), Table(spark, scratch_path(spark, "waiting")))
+    K.finish(K.land(stream(spark, sf, max_files=2), landing, chk(spark)))
+    landing.flush()
+    out = landing.target.read()
     path = lambda p: F.get_json_object("value", p)
     symbol = F.when(path("$.data.k.o") != "abc", path("$.data.s")).alias("symbol")
     return out.select("offset", "partition", micros(), (F.col("value") == "{bad").alias("is_malformed"), symbol)

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from candlewick.operators import joins as J
 from candlewick.plans import facts, staging
 from candlewick.session import scratch_path
-from candlewick.tables import drift, incremental, snapshot
+from candlewick.tables import compaction, drift, incremental, snapshot
 from candlewick.tables.store import Table
 from verification.base import (
     DAY_KEYS, candles_1m, candles_long, check, daily, kline_messages, r, raw_trades, rounded, stg_trades, table, using,
@@ -106,6 +106,26 @@ def inc_merge_partitioned(spark, sf):
     return t.read()
 
 
+@check("inc_merge_pruned", f"""SELECT {O} FROM orders WHERE {OLD} AND o_orderkey % 400 <> 0 UNION ALL
+    SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 400 = 0""")
+def inc_merge_pruned(spark, sf):
+    """A merge that reads and rewrites only the files that hold a key of the batch."""
+    t = Table(spark, scratch_path(spark, "pruned"), key=["o_orderkey"])
+    t.replace(orders(spark, sf).filter(OLD).repartitionByRange(8, "o_orderkey"))
+    fresh = orders(spark, sf).filter("o_orderkey % 400 = 0").withColumn("o_orderstatus", F.lit("X"))
+    incremental.load(t, fresh, "merge", ["o_orderkey"])
+    return t.read()
+
+
+@check("inc_append_compacted", f"SELECT {O} FROM orders")
+def inc_append_compacted(spark, sf):
+    """Small appends whose files are packed as they come together."""
+    t = Table(spark, scratch_path(spark, "compacted"))
+    for i in range(9):
+        compaction.append(t, orders(spark, sf).filter(f"o_orderkey % 9 = {i}"), fan_in=4)
+    return t.read()
+
+
 @check("inc_merge_columns", f"""SELECT o_orderkey, o_custkey, CASE WHEN {OLD} THEN o_orderstatus ELSE 'X' END AS o_orderstatus,
     CASE WHEN {BATCH} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders""")
 def inc_merge_columns(spark, sf):
@@ -323,11 +343,12 @@ def scd2_timestamp(spark, sf):
 
 @check("scd2_merge", history_sql())
 def scd2_merge(spark, sf):
-    """The stored history is replaced by its next version; a repeated run changes nothing."""
-    t = stored(spark, FIRST(spark, sf), "history")
+    """The open part of the stored history is replaced, the closed one added to; a repeated run changes nothing."""
+    h = snapshot.History(spark, scratch_path(spark, "history"), ["id"], check_cols=["cmc_rank"])
+    h.start(parts(spark, sf), F.lit(T1))
     for _ in range(2):
-        t.replace(snapshot.snapshot(t.read(), parts_later(spark, sf), ["id"], T2, check_cols=["cmc_rank"]))
-    return t.read()
+        h.run(parts_later(spark, sf), T2)
+    return h.read()
 
 
 @check("scd2_hard_delete_ignore", history_sql())
