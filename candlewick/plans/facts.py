@@ -298,18 +298,16 @@ def with_new_days(daily: DataFrame, existing: DataFrame | None, build, lookback:
     """Indicator rows of days newer than the stored ones, equal to those of a full run.
 
     Each pair is read from its ``lookback`` last stored days on, so the row frames are complete. Where those begin
-    is told from the stored pairs and days alone; the earliest of all bounds the scan of the daily candles.
+    is told from the stored pairs and days alone; daily candles are read in bands of those days.
     """
     if existing is None:
         return build(daily)
     pair = ["asset_pair_symbol"]
     last = dedup.first_n_per_key(existing.select(*pair, "open_date"), pair, [F.desc("open_date")], lookback)
     spans = stage(last.groupBy(*pair).agg(F.min("open_date").alias("_start"), F.max("open_date").alias("_mark")), "spans")
-    least = spans.agg(F.min("_start")).first()[0]
-    if least is None:
+    if spans.isEmpty():
         return build(daily)
-    known = joins.lookup_join(daily.filter(F.col("open_date") >= F.lit(least)), spans, pair, "inner")
-    rows = known.filter(F.col("open_date") >= F.col("_start")).drop("_start")
+    rows = incremental.in_bands(daily, spans, pair, "open_date", "_start").drop("_start")
     fresh = stage(joins.absent(daily.select(*pair).distinct(), spans, pair), "new-pairs")
     if not fresh.isEmpty():
         rows = rows.unionByName(joins.lookup_join(daily, fresh, pair, "inner"), allowMissingColumns=True)

@@ -7,6 +7,7 @@ Thresholds the descriptions leave open are parameters.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -256,6 +257,56 @@ def asset_correlation(daily: DataFrame, bases: Sequence[str]) -> DataFrame:
     return both.groupBy(PAIR, "base_pair").agg(F.corr("r", "base_r").alias("correlation"), F.count("*").alias("days"))
 
 
+#: Bits of a series' code.
+CODE_BITS = 256
+
+
+def bands_for(threshold: float, bits: int = CODE_BITS, recall: float = 0.97) -> tuple[int, int]:
+    """Bits per band and number of bands, as wide as bands can be for pairs at the threshold to meet this often.
+
+    Two series agree in a bit with probability 1 - angle / pi, the angle being the arc cosine of their correlation.
+    """
+    p = 1 - math.acos(threshold) / math.pi
+    for width in range(24, 0, -1):
+        if 1 - (1 - p**width) ** (bits // width) >= recall:
+            return width, bits // width
+    return 1, bits
+
+
+def correlated_pairs(daily: DataFrame, threshold: float = 0.8, least_days: int = 30, exact: bool = False, bits: int = CODE_BITS) -> DataFrame:
+    """Pairs of coins whose daily log returns correlate at the threshold or above, on days that both have.
+
+    A coin's standardised returns are projected on random directions (one sign per day and bit, from the day's hash);
+    the signs are its code. Coins with equal bits in some band are candidates, and only those are compared day by
+    day. Bands are chosen so that a pair at the threshold meets with 97 % probability, closer ones more often; sparse
+    series, whose common days differ from their own, may be missed more easily. ``exact`` compares all pairs.
+    """
+    r = F.ln("close") - F.ln("open")
+    returns = daily.select(PAIR, "open_date", r.alias("r")).filter(F.col("r").isNotNull() & ~F.isnan("r"))
+    known = returns.groupBy(PAIR).agg(F.count("*").alias("_n"), F.avg("r").alias("_mean"), F.stddev_pop("r").alias("_sd"))
+    rows = stage(returns.join(known.filter(F.col("_n") >= least_days), PAIR), "returns")
+    if exact:
+        met = rows.select(PAIR, F.col("open_date").alias("_met"))
+    else:
+        width, count = bands_for(threshold, bits)
+        score = F.when(F.col("_sd") > 0, (F.col("r") - F.col("_mean")) / F.col("_sd")).otherwise(0.0)
+        words = {f"_h{i}": F.xxhash64("open_date", F.lit(i)) for i in range(-(-width * count // 64))}
+        signed = rows.select(PAIR, score.alias("_z"), *[h.alias(c) for c, h in words.items()])
+        signs = [F.sum(F.when(F.getbit(f"_h{i // 64}", F.lit(i % 64)) == 1, F.col("_z")).otherwise(-F.col("_z"))) for i in range(width * count)]
+        codes = signed.groupBy(PAIR).agg(*[x.alias(f"_s{i}") for i, x in enumerate(signs)])
+        bit = lambda i: F.when(F.col(f"_s{i}") > 0, "1").otherwise("0")
+        bands = [F.concat(F.lit(f"{j}:"), *[bit(j * width + i) for i in range(width)]) for j in range(count)]
+        met = stage(codes.select(PAIR, F.explode(F.array(*bands)).alias("_met")), "codes")
+    a, b = met.withColumnRenamed(PAIR, "pair_a"), met.withColumnRenamed(PAIR, "pair_b")
+    candidates = stage(a.join(b, "_met").filter("pair_a < pair_b").select("pair_a", "pair_b").distinct(), "candidates")
+    one = lambda pair, value: rows.select(F.col(PAIR).alias(pair), "open_date", F.col("r").alias(value))
+    both = candidates.join(one("pair_a", "_x"), "pair_a").join(one("pair_b", "_y"), ["pair_b", "open_date"])
+    # a series that doesn't move on the common days has no correlation
+    rho = F.try_divide(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y"))
+    out = both.groupBy("pair_a", "pair_b").agg(rho.alias("correlation"), F.count("*").alias("days"))
+    return out.filter((F.col("days") >= least_days) & (F.col("correlation") >= threshold))
+
+
 # ---- trades -----------------------------------------------------------------
 
 

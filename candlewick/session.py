@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +58,24 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, by way of the shared folder."""
+    context = spark.sparkContext
+    if getattr(context, "candlewick_shipped", False):
+        return
+    root, data = Path(__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    path = scratch_path(spark, "code") + ".zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    context.addPyFile(path)
+    context.candlewick_shipped = True
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: a lineage cut that survives executor loss."""
     path = scratch_path(df.sparkSession, label)

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlewick.session import ship
+
 FILE, ROWS = "_file", "_rows"
 #: Bits of a filter per key, bits set for one key, bits of a bucket (fixed by Spark's bitmap functions).
 KEY_BITS, PROBES, BUCKET_BITS = 16, 6, 32_768
@@ -105,6 +107,7 @@ def hit(stored: DataFrame, hashes: np.ndarray) -> DataFrame:
                         out.append(row[FILE])
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], [FILE])
 
+    ship(stored.sparkSession)
     return stored.mapInArrow(run, f"{FILE} string").distinct()
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.operators import dedup, joins
+from candlewick.operators.sets import concat
 from candlewick.session import stage
 from candlewick.tables import drift
 from candlewick.tables.store import Table
@@ -40,22 +41,54 @@ def above_mark(df: DataFrame, target: DataFrame, column: str, strict: bool = Fal
     return df.filter(F.col(column) > mark)
 
 
+#: Bands of starts, and keys of a band that are told to the scan one by one.
+BANDS, BAND_KEYS = 8, 1000
+
+
+def in_bands(df: DataFrame, starts: DataFrame, key: Sequence[str], column: str, start: str, bands: int = BANDS, **lookup) -> DataFrame:
+    """Rows of df at or after the start of their own key, joined to ``starts`` (stored, one row per key).
+
+    Keys are put into bands by how far their start lies behind the newest one, each band half as far as the one
+    before. A band is a scan of its own, with its least start as a literal bound and, if it has few keys, with them
+    too, so one key that lags behind by years doesn't make the others be read that far back.
+    """
+    key, kind = list(key), starts.schema[start].dataType.typeName()
+    number = {"date": F.unix_date, "timestamp": F.unix_micros, "timestamp_ntz": lambda c: F.unix_micros(c.cast("timestamp"))}.get(kind, lambda c: c)
+    place = number(F.col(start)).cast("double")
+    ends = starts.agg(F.min(place).alias("least"), F.max(place).alias("most")).first()
+    if ends.least is None:
+        return joins.lookup_join(df.filter(F.lit(False)), starts, key, "inner", **lookup)
+    behind = (F.lit(ends.most) - place) / F.lit(max(ends.most - ends.least, 1e-300))
+    band = F.least(F.when(behind > 0, F.floor(-F.log2(behind))).otherwise(bands - 1), F.lit(bands - 1)).cast("int")
+    placed = starts.withColumn("_band", band)
+    out = []
+    for b in placed.groupBy("_band").agg(F.min(start).alias("least"), F.count("*").alias("n")).collect():
+        own = placed.filter(F.col("_band") == b["_band"]).drop("_band")
+        rows = df.filter(F.col(column) >= F.lit(b.least).cast(df.schema[column].dataType))
+        if b.n <= BAND_KEYS:
+            known = own.select(*key).collect()
+            for k in key:
+                rows = rows.filter(F.col(k).isin([v for v in {r[k] for r in known} if v is not None]))
+        out.append(joins.lookup_join(rows, own, key, "inner", **lookup).filter(F.col(column) >= F.col(start)))
+    return concat(out)
+
+
 def above_own_mark(
     df: DataFrame, target: DataFrame, key: Sequence[str], column: str, strict: bool = False, inclusive: bool = False, **lookup
 ) -> DataFrame:
     """Rows above (``inclusive``: from) the largest stored value of their own key; a new key is loaded unless strict.
 
-    The least mark of all keys bounds the scan of the known keys. Keys without a stored value are looked for among
-    the key columns alone, and only where there are some are their rows read.
+    Known keys are read in bands of marks (``in_bands``). Keys without a stored value are looked for among the key
+    columns alone, and only where there are some are their rows read.
     """
     key = list(key)
     marks = stage(target.groupBy(*key).agg(F.max(column).alias("_mark")).filter(F.col("_mark").isNotNull()), "marks")
-    least = marks.agg(F.min("_mark")).first()[0]
-    if least is None:
+    if marks.isEmpty():
         return df.filter(F.lit(False)) if strict else df
-    bound = F.lit(least).cast(target.schema[column].dataType)
-    above = (lambda m: F.col(column) >= m) if inclusive else (lambda m: F.col(column) > m)
-    known = joins.lookup_join(df.filter(above(bound)), marks, key, "inner", **lookup).filter(above(F.col("_mark"))).drop("_mark")
+    known = in_bands(df, marks, key, column, "_mark", **lookup)
+    if not inclusive:
+        known = known.filter(F.col(column) > F.col("_mark"))
+    known = known.drop("_mark")
     if strict:
         return known
     fresh = stage(joins.absent(df.select(*key).distinct(), marks, key), "new-keys")
@@ -182,8 +215,9 @@ def load(
     cluster_by: Sequence[str] = (),
     columns: Sequence[str] | None = None,
     newest_by: Sequence[str] = (),
+    notes: dict | None = None,
 ) -> None:
-    """Bring the rows of df into the table.
+    """Bring the rows of df into the table. ``notes`` appear with the new version.
 
     A merge needs one row per key: a batch with several is refused, or reduced to the newest by the columns of
     ``newest_by``. ``columns`` restricts an insert-overwrite or append to these columns of the batch; the table's
@@ -195,7 +229,7 @@ def load(
     in any other one a new version of the whole table is written.
     """
     if not is_incremental(table, full_refresh):
-        table.replace(df, cluster_by)
+        table.replace(df, cluster_by, notes)
         return
     strategy = strategy or default_strategy()
     if strategy not in STRATEGIES:
@@ -209,10 +243,10 @@ def load(
         df = df.select(*[(F.col(f.name) if f.name.lower() in named else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema()])
     df = drift.reconcile(table, df, on_schema_change)
     if strategy == "append" or (strategy in ("merge", "delete_insert") and not unique_key):
-        table.append(df)
+        table.append(df, notes)
         return
     if strategy == "insert_overwrite":
-        table.replace(df, cluster_by)
+        table.replace(df, cluster_by, notes)
         return
     df = stage(df, "batch")  # the batch is read for its partitions, its keys and its rows
     if strategy == "microbatch":
@@ -223,9 +257,9 @@ def load(
             t = F.col(event_time)
             old = table.read().filter((t >= F.lit(start)) & (t < F.lit(end)))
             touched = table.partitions(old.select(event_time).unionByName(df.select(event_time)))
-            table.replace_partitions(period_replaced(table.only(touched), df, event_time, start, end), touched)
+            table.replace_partitions(period_replaced(table.only(touched), df, event_time, start, end), touched, notes=notes)
             return
-        table.replace(period_replaced(table.read(), df, event_time, start, end), cluster_by)
+        table.replace(period_replaced(table.read(), df, event_time, start, end), cluster_by, notes)
         return
     if strategy == "merge":
         df = one_per_key(df, unique_key, newest_by)
@@ -240,8 +274,8 @@ def load(
     else:
         rows = delete_inserted(target, df, unique_key)
     if held is not None:
-        table.replace_files(rows, held, cluster_by)
+        table.replace_files(rows, held, cluster_by, notes)
     elif touched is None:
-        table.replace(rows, cluster_by)
+        table.replace(rows, cluster_by, notes)
     else:
-        table.replace_partitions(rows, touched)
+        table.replace_partitions(rows, touched, notes=notes)

@@ -248,7 +248,9 @@ class Table:
         """A new version without rows."""
         self._publish(self.schema(), {}, notes)
 
-    def replace_files(self, df: DataFrame, gone: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
+    def replace_files(
+        self, df: DataFrame, gone: Sequence[str], cluster_by: Sequence[str] = (), notes: dict | None = None
+    ) -> None:
         """A new version with the rows of df in place of the files `gone`; all other files stay as they are.
 
         The rows may be derived from the files that they replace: those are read before the version appears.
@@ -256,7 +258,7 @@ class Table:
         manifest = self.manifest()
         schema = T.StructType.fromJson(manifest["schema"])
         load, entries = self._write(df.select(*schema.fieldNames()), cluster_by)
-        self._publish(schema, self._without(manifest, set(gone)) | {load: entries})
+        self._publish(schema, self._without(manifest, set(gone)) | {load: entries}, notes)
 
     def _without(self, manifest: dict, gone: set[str]) -> dict:
         """The loads of a version without some files: a load that loses one is listed by its files from then on."""
@@ -282,7 +284,10 @@ class Table:
         manifest = self.manifest()
         self._publish(self._ordered([*T.StructType.fromJson(manifest["schema"]), *fields]), manifest["loads"])
 
-    def replace_partitions(self, df: DataFrame, touched: set[tuple], others: str = "replace", schema: T.StructType | None = None) -> None:
+    def replace_partitions(
+        self, df: DataFrame, touched: set[tuple], others: str = "replace", schema: T.StructType | None = None,
+        notes: dict | None = None,
+    ) -> None:
         """A new version in which the touched partitions hold the rows of df; the others keep their files.
 
         Rows of df in partitions beside the touched ones replace those, too, or with ``others="append"`` are added to
@@ -295,7 +300,7 @@ class Table:
         depth = len(self.partition_by)
         gone = set(touched) | ({folder_values(f, depth) for f in folders} if others == "replace" else set())
         kept = {old: [f for f in fs if folder_values(f, depth) not in gone] for old, fs in manifest["loads"].items()}
-        self._publish(schema, {old: fs for old, fs in kept.items() if fs} | {load: folders})
+        self._publish(schema, {old: fs for old, fs in kept.items() if fs} | {load: folders}, notes)
 
 
 def folder_values(entry: str, depth: int) -> tuple:

@@ -228,3 +228,12 @@ def set_intersect(spark, sf):
 def set_except(spark, sf):
     dear = table(spark, sf, "orders").filter("o_totalprice > 400000")
     return sets.except_(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), dear.select(F.col("o_custkey").alias("k")))
+
+
+@check("agg_quantiles_by_key", "SELECT l_returnflag, 0.05::DOUBLE AS point, " + r("quantile_cont(l_extendedprice, 0.05)", "value") + " FROM lineitem GROUP BY 1 UNION ALL "
+       "SELECT l_returnflag, 0.5, " + r("quantile_cont(l_extendedprice, 0.5)", "value") + " FROM lineitem GROUP BY 1 UNION ALL "
+       "SELECT l_returnflag, 0.99, " + r("quantile_cont(l_extendedprice, 0.99)", "value") + " FROM lineitem GROUP BY 1")
+def agg_quantiles_by_key(spark, sf):
+    """Exact quantiles of three flags, one of which has half of all rows."""
+    out = A.quantiles_by_key(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", [0.05, 0.5, 0.99], bins=64, rows=500)
+    return rounded(out, "value")

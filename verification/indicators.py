@@ -310,3 +310,26 @@ def ind_price_stddev_asset(spark, sf):
     FROM lagged a JOIN lagged b ON a.open_date = b.open_date WHERE b.asset_pair_symbol IN ('AFUSDT', 'NOUSDT') GROUP BY 1, 2"""))
 def ind_asset_correlation(spark, sf):
     return rounded(I.asset_correlation(stage(daily(spark, sf), "daily"), ["AFUSDT", "NOUSDT"]), "correlation")
+
+
+# ---- correlated pairs -------------------------------------------------------
+
+_PAIRS = """SELECT a.asset_pair_symbol AS pair_a, b.asset_pair_symbol AS pair_b, {} FROM {} a JOIN {} b ON a.open_date = b.open_date
+    AND a.asset_pair_symbol < b.asset_pair_symbol GROUP BY 1, 2 HAVING corr(a.log_return, b.log_return) >= {} AND count(*) >= 30"""
+_CORR = f"{r('corr(a.log_return, b.log_return)', 'correlation')}, count(*) AS days"
+
+
+@check("ind_correlated_pairs", using("lagged", _PAIRS.format(_CORR, "lagged", "lagged", 0.005)))
+def ind_correlated_pairs(spark, sf):
+    """All pairs compared; the stand-in coins hardly correlate, so the threshold is low."""
+    return rounded(I.correlated_pairs(stage(daily(spark, sf), "daily"), 0.005, exact=True), "correlation")
+
+
+@check("ind_correlated_pairs_sketched", using("lagged", "SELECT * FROM (WITH twice AS (SELECT asset_pair_symbol, open_date, log_return FROM lagged UNION ALL "
+       "SELECT asset_pair_symbol || '2', open_date, ln(exp(log_return) * (1 + ((day(open_date) % 7) - 3) / 500.0)) FROM lagged) " + _PAIRS.format(_CORR, "twice", "twice", 0.8) + ")"))
+def ind_correlated_pairs_sketched(spark, sf):
+    """Candidates by codes. Beside each coin a second one follows it with small moves of its own."""
+    d = stage(daily(spark, sf), "daily").select("asset_pair_symbol", "open_date", "open", "close")
+    moved = F.col("close") * (1 + (F.day("open_date") % 7 - 3) / F.lit(500.0))
+    twice = d.unionByName(d.withColumns({"asset_pair_symbol": F.concat("asset_pair_symbol", F.lit("2")), "close": moved}))
+    return rounded(I.correlated_pairs(twice, 0.8), "correlation")

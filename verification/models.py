@@ -276,12 +276,16 @@ def mart_intraday_pattern(spark, sf):
 
 
 def _large_sql(factor):
-    return using("trades_fct, date_dim", f"""SELECT t.pair_symbol, d.year AS trade_year, d.month AS trade_month,
-    quantity AS large_trades_quantity, price, {r('quantity * price', 'trade_value_usdt')}, {r('aq', 'avg_quantity')}, {r('av', 'avg_trade_value')}
-    FROM trades_fct t JOIN date_dim d ON d.date_sk = date_fk JOIN (
-    SELECT base_asset_fk, pair_symbol, year, month, avg(quantity) AS aq, avg(quantity * price) AS av
-    FROM trades_fct JOIN date_dim ON date_sk = date_fk GROUP BY ALL) a
-    ON a.base_asset_fk = t.base_asset_fk AND a.year = d.year AND a.month = d.month WHERE quantity >= aq * {factor}""")
+    """Every step is kept as a table, equal keys are joined first, and the inequality is the last filter."""
+    steps = using("trades_fct, date_dim", f"""SELECT pair_symbol, year AS trade_year, month AS trade_month, quantity AS large_trades_quantity, price,
+    {r('quantity * price', 'trade_value_usdt')}, {r('aq', 'avg_quantity')}, {r('av', 'avg_trade_value')} FROM paired WHERE quantity >= aq * {factor}""")
+    head, _, body = steps.rpartition("\nSELECT pair_symbol, year AS trade_year")
+    return head.replace(" AS (", " AS MATERIALIZED (") + """,
+dated AS MATERIALIZED (SELECT t.pair_symbol, t.base_asset_fk, t.quantity, t.price, d.year, d.month FROM trades_fct t JOIN date_dim d ON d.date_sk = t.date_fk),
+means AS MATERIALIZED (SELECT base_asset_fk, pair_symbol, year, month, avg(quantity) AS aq, avg(quantity * price) AS av FROM dated GROUP BY ALL),
+paired AS MATERIALIZED (SELECT t.pair_symbol, t.year, t.month, t.quantity, t.price, m.aq, m.av FROM dated t
+    JOIN means m ON m.base_asset_fk = t.base_asset_fk AND m.year = t.year AND m.month = t.month)
+SELECT pair_symbol, year AS trade_year""" + body
 
 
 # the stand-in quantities are uniform, so a lower factor is used to have rows to compare

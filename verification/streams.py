@@ -1,8 +1,9 @@
 """Streams over files of messages made from the given tables, run until all input is read."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from candlewick.session import scratch_path
+from candlewick.session import scratch_path, ship
 from candlewick.streaming import klines as K
 from candlewick.tables.compaction import Landing
 from candlewick.tables.store import Table
@@ -208,3 +209,31 @@ def st_unique_within_watermark(spark, sf):
     out = Table(spark, scratch_path(spark, "unique"), ["open_date"])
     K.finish(K.append_new_candles(stream(spark, sf, 3, shuffled=True), out, chk(spark)))
     return out.read().select("asset_symbol", "open_time", "open", "num_trades", "kafka_partition")
+
+
+@check("st_source_topic_files", using("topic", _ALL.format("")))
+def st_source_topic_files(spark, sf):
+    """The messages in a topic of segment files, read from its start by offsets per partition."""
+    from datetime import timezone
+
+    from candlewick.streaming import topic
+
+    path = scratch_path(spark, "topic")
+    local = path.removeprefix("file:")
+
+    def write(pdf):
+        pdf = pdf.sort_values("offset")
+        messages = [(v, t.to_pydatetime().replace(tzinfo=timezone.utc)) for v, t in zip(pdf["numbered"], pdf["timestamp"])]
+        topic.write_segment(local, int(pdf["partition"].iloc[0]), int(pdf["first"].iloc[0]), messages)
+        return pdf[["partition"]].head(1)
+
+    ship(spark)
+    m = kline_messages(spark, sf).withColumns({"numbered": F.concat_ws("|", "offset", "value"), "part": F.floor(F.col("offset") / 2000)})
+    sizes = m.groupBy("partition", "part").count()
+    before = Window.partitionBy("partition").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("partition", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    rows = m.select("numbered", "timestamp", "partition", "offset", "part").join(firsts, ["partition", "part"])
+    rows.groupBy("partition", "part").applyInPandas(write, "partition int").count()
+    out = appended(spark, topic.read_topic_files(spark, local, "earliest"))
+    number = F.substring_index("value", "|", 1).cast("bigint").alias("offset")
+    return out.select(number, "partition", micros())

@@ -7,6 +7,7 @@ from candlewick.operators import joins as J
 from candlewick.plans import facts, staging
 from candlewick.session import scratch_path
 from candlewick.tables import compaction, drift, incremental, snapshot
+from candlewick.tables.maintained import Maintained, changed_groups
 from candlewick.tables.store import Table
 from verification.base import (
     DAY_KEYS, candles_1m, candles_long, check, daily, kline_messages, r, raw_trades, rounded, stg_trades, table, using,
@@ -405,3 +406,29 @@ def inc_lookback_windows(spark, sf):
     t = stored(spark, facts.technical_columns(d.filter("open_date < '2000-01-01'")).select(*cols), "technical")
     t.append(facts.with_new_days(d, t.read(), facts.technical_columns, 200).select(*cols))
     return rounded(t.read(), "price_avg_50", "price_avg_200")
+
+
+# ---- maintained aggregates --------------------------------------------------
+
+_FINAL = "(SELECT o_orderstatus, o_orderpriority, CASE WHEN o_orderkey % 9 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS p FROM orders WHERE o_orderkey % 7 <> 0)"
+
+
+@check("mat_maintained", f"""SELECT o_orderstatus, o_orderpriority, count(*) AS n, {r('sum(p)', 'o_totalprice_sum')}, {r('avg(p)', 'o_totalprice_mean')},
+    min(p) AS o_totalprice_least, max(p) AS o_totalprice_greatest FROM {_FINAL} GROUP BY ALL""")
+def mat_maintained(spark, sf):
+    """Orders come in two batches, every ninth is corrected, every seventh deleted: the same as over the final rows."""
+    keys = ["o_orderstatus", "o_orderpriority"]
+    o = table(spark, sf, "orders").select("o_orderkey", *keys, "o_totalprice")
+    ninth, seventh = F.col("o_orderkey") % 9 == 0, F.col("o_orderkey") % 7 == 0
+    right = o.withColumn("o_totalprice", F.when(ninth, F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")))
+    now = {"rows": o}
+    m = Maintained(scratch_path(spark, "states"), spark, keys, ["o_totalprice"], lambda groups: changed_groups(now["rows"], groups, keys))
+    m.start(o.filter("o_orderkey % 2 = 0"), 0)
+    m.apply(o.filter("o_orderkey % 2 = 1"), number=1)
+    now["rows"] = right
+    m.apply(right.filter(ninth), o.filter(ninth), 2)
+    now["rows"] = right.filter(~seventh)
+    for _ in range(2):  # the same batch twice: taken in once
+        m.apply(went=right.filter(seventh), number=3)
+    out = m.read().select(*keys, "n", "o_totalprice_sum", "o_totalprice_mean", "o_totalprice_least", "o_totalprice_greatest")
+    return rounded(out, "o_totalprice_sum", "o_totalprice_mean")
