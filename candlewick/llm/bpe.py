@@ -11,14 +11,14 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
 from candlewick.llm.common import map_texts
-from candlewick.llm.token_counts import WHITE, byte_letters, vocabulary_bytes
+from candlewick.llm.token_counts import LETTER, NUMBER, WHITE, byte_letters, code_point_classes, vocabulary_bytes
 
 NO_RANK = np.iinfo(np.int64).max
 #: Fixed value: the word pattern of the vocabulary's pre-tokenizer.
@@ -26,6 +26,27 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^%s\p{L}\p{N}]+" % "".joi
 WORD_END = "</w>"
 
 
+@lru_cache(maxsize=1)
+def unsure_points() -> regex.Pattern:
+    """Code points on which tables of different Unicode versions may disagree: unassigned ones, by either table here.
+
+    Python's own table, the one of the pattern module and the library's are of different versions; a code point that
+    the older two of them know has its class and case for good.
+    """
+    every = "".join(map(chr, range(0xD800))) + " " * 0x800 + "".join(map(chr, range(0xE000, 0x110000)))
+    kinds, apart = code_point_classes(), np.zeros(0x110000, bool)
+    for name, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER)):
+        named = np.zeros(len(kinds), bool)
+        for m in regex.finditer(name, every):
+            named[m.start():m.end()] = True
+        apart |= named != (kinds == kind)
+    apart |= np.fromiter((unicodedata.category(c) == "Cn" for c in every), bool, len(every))
+    apart[0xD800:0xE000] = False
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], apart.astype(np.int8), [0]])))
+    ranges = (f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+    return regex.compile(f"[{''.join(ranges)}]")
+
+
 class WordBpe:
     """The vocabulary's merges as sorted arrays, and the words encoded so far."""
 
@@ -50,7 +71,8 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names |= {i: t for t, i in self.special.items()}
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
-        self.words = regex.compile(WORD_PATTERN)
+        self.pattern, self.unsure = regex.compile(WORD_PATTERN), unsure_points()
+        self.vocabulary, self.letters = vocabulary, letters
         self.max_words = max_words
         self.ids: dict[str, str] = {}
         self.tokens: dict[str, str] = {}
@@ -104,13 +126,26 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()
 
+    def words(self, text: str) -> list[str]:
+        """The words of a text without special strings. The library itself cuts texts with unsure code points."""
+        if not text.isascii() and self.unsure.search(text):
+            cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+            return [bytes([self.letters[x] for x in piece]).decode() for piece, _ in cut]
+        return self.pattern.findall(self.normal(text))
+
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.vocabulary.decode())
+
     def pieces(self, text: str) -> list[str]:
         """The words of a text; special strings inside it stay as they are."""
         if self.split is None or "<|" not in text:
-            return self.words.findall(self.normal(text))
+            return self.words(text)
         out: list[str] = []
         for i, part in enumerate(self.split.split(text)):
-            out += [part] if i % 2 else self.words.findall(self.normal(part))
+            out += [part] if i % 2 else self.words(part)
         return out
 
     def encode(self, texts: list[str]) -> list[list[str]]:

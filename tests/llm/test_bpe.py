@@ -48,3 +48,14 @@ def test_single_texts(text):
 
 def test_empty_table(spark):
     assert bpe.encode(frame(spark, [])).collect() == []
+
+
+def test_every_code_point():
+    """Words are cut, composed and lower-cased as the library does it, whatever the code point."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    machine = bpe.tokenizer(open(public_tokenizers.path("word_bpe_49k.json"), "rb").read())
+    for a in range(0, len(points), 40_000):
+        texts = [f"{c}x{c} a{c}9{c}{c}é" for c in points[a:a + 40_000]]
+        want = [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+        got = [[int(i) for w in words for i in machine.ids[w].split()] for words in machine.encode(texts)]
+        assert got == want
