@@ -153,21 +153,23 @@ def maximal_segments(at: np.ndarray, gains: np.ndarray, cost: np.ndarray) -> lis
     """All maximal scoring segments (first, last, score) in one pass.
 
     `at` and `gains` are the tokens with a positive score; `cost` is the running sum of all scores before each token,
-    one longer than the text. A candidate segment joins an earlier one that began lower and ended not higher.
+    one longer than the text. A candidate segment joins an earlier one that began lower and ended not higher. Each
+    segment keeps the place of the nearest earlier one that began lower, so no segment is passed over twice: linear.
     """
-    found: list[list] = []  # first, last, sum before, sum after
+    found: list[tuple] = []  # first, last, sum before, sum after, place of the nearest earlier one with a lower sum before
     for i, gain in zip(at.tolist(), gains.tolist(), strict=True):
-        segment = [i, i, float(cost[i]), float(cost[i]) + gain]
+        first, low = i, float(cost[i])
+        high, j = low + gain, len(found) - 1
         while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= segment[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= segment[3]:
+            while j >= 0 and found[j][2] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= high:
+                found.append((first, i, low, high, j))
                 break
-            segment = [found[j][0], segment[1], found[j][2], segment[3]]
+            first, _, low, _, before = found[j]
             del found[j:]
-        found.append(segment)
-    return [(a, b, r - l) for a, b, l, r in found]
+            j = before
+    return [(a, b, r - l) for a, b, l, r, _ in found]
 
 
 def minus_log_chance(count: int, mean: float) -> float:

@@ -110,3 +110,24 @@ def test_no_evidence_is_not_toxic(spark):
 def test_chance_of_counts():
     assert toxicity.minus_log_chance(1, 2.0) == 0.0
     assert abs(toxicity.minus_log_chance(2, 0.1) + np.log(1 - np.exp(-0.1) * 1.1)) < 1e-9
+
+
+def test_segments_of_a_very_long_text():
+    """Falling sums, under which every token would look back over all segments: linear all the same."""
+    import time
+
+    n = 1_500_000
+    values = np.tile([1.0, -1.5], n)
+    up = np.flatnonzero(values > 0)
+    t0 = time.process_time()
+    got = toxicity.maximal_segments(up, values[up], np.append(0.0, np.cumsum(values)))
+    assert len(got) == n and time.process_time() - t0 < 20
+
+
+def test_accuracy_by_class(spark):
+    """On labels that were not learned: nearly all toxic documents are found, clean ones left alone."""
+    folder = "/root/testdata/sf0.1"
+    marks = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = [(r.predicted, marks[r.doc_id]) for r in toxicity.op2_toxicity(spark, folder).collect() if r.held_out and r.doc_id in marks]
+    share = lambda y, p: sum(a == p for a, b in found if b == y) / sum(b == y for _, b in found)
+    assert share(1, 1) > 0.85 and share(0, 1) < 0.02
