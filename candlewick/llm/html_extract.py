@@ -11,7 +11,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +44,12 @@ MIXED_NAMES = set("side sidebar rail header menu menus form search skip notice n
 #: First words of a name that tells a topic or what else there is on the page, and last words of one that tells a state.
 TOPICS, STATES = set("category cat tag topic has with without no".split()), set("open closed enabled disabled".split())
 
+#: Comments and declarations, or a tag; a quote begins a value only behind an equals sign.
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S | re.I)
+    r"""|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?|[^>=])*+)>""", re.S | re.I)
+#: What has no end takes the rest of the page.
+ENDLESS = re.compile(r"<!.*\Z|<\?.*\Z", re.S)
 RAW_ENDS = {name: re.compile(f"</{name}\\s*>", re.I) for name in RAW}
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
@@ -61,6 +64,8 @@ RIDGE = 0.02
 #: Costs in nats: elements and names around a block, and the smoothness between neighbours and within a container.
 #: The classifier (3 at most) and the smoothness of a block (2.4 at most) together outweigh a name, but no element.
 BOILERPLATE_COST, NAME_COST, CONTENT_COST, NEIGHBOUR, CONTAINER = 9.0, 4.0, 4.0, 0.4, 0.8
+#: The cost of a name on a page that would be empty with the other one: less than the classifier gives to a sentence or two.
+WEAK_NAME_COST = 1.5
 
 
 class Block:
@@ -103,6 +108,15 @@ def hint_of(tag: str, rest: str, parent: int) -> int:
     return -1
 
 
+def has_end(token: str) -> bool:
+    """Whether a comment, a CDATA section or a declaration ends with what ends it."""
+    if token.startswith("<!--"):
+        return len(token) >= 7 and token.endswith(("-->", "--!>"))
+    if token[:9].upper() == "<![CDATA[":
+        return token.endswith("]]>")
+    return token.endswith(">")
+
+
 def tags_of(page: str) -> list[tuple[int, int, str, str, str]]:
     """Start, end, name in lower case, "/" of a closing tag, and attributes of each tag; comments have no name.
 
@@ -111,7 +125,10 @@ def tags_of(page: str) -> list[tuple[int, int, str, str, str]]:
     """
     tags, at, foreign = [], 0, 0
     opened: dict[str, list[int]] = {}
-    while m := TOKEN.search(page, at):
+    last = page.rfind(">") + 1  # no tag ends behind it, so none is looked for there
+    while m := TOKEN.search(page, at, last):
+        if m["name"] is None and m.end() == last and not has_end(m.group()):
+            break  # cut off by the end of the search, not by its own end
         at, name, close, rest = m.end(), (m["name"] or "").lower(), m["close"], m["rest"]
         empty = bool(name) and rest.endswith("/")
         if name in RAW_ENDS and not close and not (foreign and empty):
@@ -131,6 +148,8 @@ def tags_of(page: str) -> list[tuple[int, int, str, str, str]]:
         elif name in SKIPPED and not close and not (empty and (foreign or name in FOREIGN)):
             opened.setdefault(name, []).append(len(tags))
         tags.append((start, at, name, close, rest))
+    if m := ENDLESS.search(page, at):
+        tags.append((m.start(), len(page), "", "", ""))
     return tags
 
 
@@ -138,6 +157,7 @@ def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. White space inside a block is one space; character references are decoded."""
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # element name, hint, number of the container
+    inside: Counter[str] = Counter()  # open elements by name
     number, links, text, linked = 0, 0, [], 0
 
     def flush():
@@ -167,18 +187,19 @@ def blocks_of(page: str) -> list[Block]:
             continue
         flush()
         if close:
-            if any(s[0] == name for s in stack):
+            if inside[name]:
                 while stack[-1][0] != name:
-                    stack.pop()
-                stack.pop()
+                    inside[stack.pop()[0]] -= 1
+                inside[stack.pop()[0]] -= 1
             if name in CONTENT_TAGS or name in BOILERPLATE_TAGS:
                 links = 0
         else:
             while stack[-1][0] in CLOSED_BY and name in CLOSED_BY[stack[-1][0]]:
-                stack.pop()
+                inside[stack.pop()[0]] -= 1
             if name in VOID:
                 continue
             number += 1
+            inside[name] += 1
             stack.append((name, hint_of(name, rest, stack[-1][1]), number if name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd", "tr", "td", "th") else stack[-1][2]))
     if at < len(page):
         text.append(page[at:])
@@ -253,11 +274,11 @@ def max_flow_labels(excess: np.ndarray, edges: list[tuple[int, int, float]]) ->
 
 
 def label(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
-    """True for content."""
+    """True for content. Where names leave a page without any, they weigh less, so that text alone can outweigh them."""
     if not blocks:
         return np.zeros(0, bool)
     hints = np.array([b.hint for b in blocks])
-    excess = np.clip(features(blocks) @ weights, -3, 3) + np.choose(hints + 2, [-BOILERPLATE_COST, -NAME_COST, 0, CONTENT_COST])
+    evidence = np.clip(features(blocks) @ weights, -3, 3)
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i:
@@ -265,7 +286,11 @@ def label(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
         if b.container in last:
             edges.append((last[b.container], i, CONTAINER))
         last[b.container] = i
-    return max_flow_labels(excess, edges)
+    for cost in (NAME_COST, WEAK_NAME_COST):
+        found = max_flow_labels(evidence + np.choose(hints + 2, [-BOILERPLATE_COST, -cost, 0, CONTENT_COST]), edges)
+        if found.any():
+            break
+    return found
 
 
 def main_text(page: str, weights: np.ndarray) -> str:

@@ -135,3 +135,38 @@ def test_elements_that_do_not_swallow(inside, text):
 def test_unclosed_raw_and_many_openings():
     assert he.main_text("<article><p>One.</p><script>rest <p>no</p></article>", WEIGHTS) == "One."
     assert he.main_text("<article><p>One" + "<button>a" * 30_000 + "</article>", WEIGHTS) == "One" + "a" * 30_000
+
+
+LONG_PARAGRAPH = "<p>" + "The history of the town is long, and it is told in many books. It was made by hand, of red cloth. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize(("page", "has", "lacks"), [
+    ("<article><p title=it's>First one is long enough, really it is.</p><p>It's the second, and it goes on.</p></article>", ["First one", "It's the second"], []),
+    ("<article><p class=\"a>b\" id='c>d'>Some words, as they come.</p></article>", ["Some words"], ["b\"", "d'"]),
+    ("<article><p a=b\"c>Some words, as they come.</p></article>", ["Some words"], []),
+    ("<article><p a = 'x' b>Some words, as they come.</p></article><!-- no end > here", ["Some words"], ["no end"]),
+    ("<article><p>Some words.</p><!-- a > b --><p>More words.</p><![CDATA[ c > d", ["Some words", "More words"], ["a >", "c >"]),
+])
+def test_attributes_and_comments_as_html_reads_them(page, has, lacks):
+    text = he.main_text(page, he.GENERAL)
+    assert all(h in text for h in has) and not any(x in text for x in lacks)
+
+
+@pytest.mark.parametrize("opening", ["<section id=banner-history>", '<div class="cookie-recipes">', '<div class="menu-of-the-day">'])
+def test_a_page_that_a_name_would_empty(opening):
+    """The only long text of a page is its main text, whatever the name around it; beside other content the name counts."""
+    closing = "</section>" if "section" in opening else "</div>"
+    alone = f"<body><nav><a href=x>Home</a></nav>{opening}{LONG_PARAGRAPH}{closing}<footer>&copy; 2024 us</footer></body>"
+    assert he.main_text(alone, he.GENERAL).startswith("The history") and "2024" not in he.main_text(alone, he.GENERAL)
+    beside = f"<body><article><p>Something else altogether, and it is told at length.</p></article>{opening}{LONG_PARAGRAPH}{closing}</body>"
+    assert "The history" not in he.main_text(beside, he.GENERAL)
+
+
+@pytest.mark.parametrize("part", ["<a x ", "<a x=\"", "<!", "<!-- ", "</", "<div></p>", "<div>", "<svg>", "<script>", "<p>t</p><!--", "<a 'x "])
+def test_very_long_malformed_pages(part):
+    """Half a million signs of each take no more than seconds."""
+    import time
+
+    t0 = time.process_time()
+    he.main_text(part * (500_000 // len(part)), he.GENERAL)
+    assert time.process_time() - t0 < 10
