@@ -23,6 +23,8 @@ from candlewick.llm.common import pieces, ship
 from candlewick.session import stage
 
 PLACES = 64
+#: Words of a text whose draws are held at once.
+SLICE = 8192
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)  # fixed values: multipliers of a 64-bit mixing function
 
 
@@ -72,15 +74,27 @@ class Sampler:
         """One sample of 16 bits per place; all zero without words."""
         if not words:
             return np.zeros(self.places, ">u2")
+        counts = list(Counter(words).items())
+        value, tag = np.full(self.places, np.inf, np.float32), np.zeros(self.places, np.uint32)
+        step = np.zeros(self.places, np.int32)
+        for i in range(0, len(counts), SLICE):
+            v, t, s = self.least(counts[i:i + SLICE])
+            # the words' order must not matter: ties in value go to the least tag
+            better = (v < value) | ((v == value) & (t < tag))
+            value, tag, step = np.where(better, v, value), np.where(better, t, tag), np.where(better, s, step)
+        sample = tag.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + step.astype(np.uint64)
+        sample = (sample ^ (sample >> np.uint64(29))) * np.uint64(MIX[0])
+        return (sample >> np.uint64(48)).astype(">u2")
+
+    def least(self, counts: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of some words with their numbers the least value per place, its word's tag and its grid step."""
         if len(self.row) > self.max_words:
             self.row.clear()  # the arrays are filled anew
-        counts = Counter(words)
-        new = [w for w in counts if w not in self.row]
+        new = [w for w, _ in counts if w not in self.row]
         if new:
             self.learn(new)
-        rows = np.fromiter(map(self.row.__getitem__, counts), np.int32, len(counts))
-        weight = np.fromiter(counts.values(), np.int64, len(counts))
-        # the words' order in a worker's table must not matter: ties in value go to the least tag
+        rows = np.fromiter((self.row[w] for w, _ in counts), np.int32, len(counts))
+        weight = np.fromiter((n for _, n in counts), np.int64, len(counts))
         order = np.argsort(self.tag[rows], kind="stable")
         rows, weight = rows[order], weight[order]
         value = self.light[rows]
@@ -92,11 +106,8 @@ class Sampler:
             t = np.floor(np.log(weight[heavy]).astype(np.float32)[:, None] / rate + offset)
             value[heavy] = self.cost[at] - rate * (t - offset) - rate
             step[heavy] = t
-        best = np.argmin(value, axis=0)
-        tags = self.tag[rows]
-        sample = tags[best].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + step[best, np.arange(self.places)].astype(np.uint64)
-        sample = (sample ^ (sample >> np.uint64(29))) * np.uint64(MIX[0])
-        return (sample >> np.uint64(48)).astype(">u2")
+        best, places = np.argmin(value, axis=0), np.arange(self.places)
+        return value[best, places], self.tag[rows][best], step[best, places]
 
 
 def words_of(text: str) -> list[bytes]:
@@ -168,7 +179,7 @@ def rows_in_order(places: int, key_type: pa.DataType):
 def fingerprint_edits(df: DataFrame, text: str = "text", key: str = "doc_id", places: int = PLACES) -> DataFrame:
     """Per document: the key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Documents stand in ascending order of the key (null first, then equal keys by their text); the edited text ends
+    Documents stand in ascending order of the key (null first, then equal keys by the hash of their text, so that many rows of one key are many tasks' work); the edited text ends
     with the beginning of the next document's, and the last document is followed by the first. One range shuffle
     brings neighbours together; only the first and last row of each partition meet in a second, small join.
 
@@ -179,7 +190,8 @@ def fingerprint_edits(df: DataFrame, text: str = "text", key: str = "doc_id", pl
     ship(df.sparkSession)
     key_type = df.schema[key].dataType
     arrow = to_arrow_type(key_type)
-    rows = df.select(df[key].alias("key"), df[text].alias("text")).repartitionByRange("key").sortWithinPartitions("key", "text")
+    rows = df.select(df[key].alias("key"), df[text].alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = rows.repartitionByRange("key", "h").sortWithinPartitions("key", "h", "text").drop("h")
     schema = f"kind int, part int, key {key_type.simpleString()}, text string, " + ", ".join(f"{n} {t}" for n, t, _ in RESULT)
     done = stage(rows.mapInArrow(rows_in_order(places, arrow), schema), "fingerprints")
     # a row of numbers per partition

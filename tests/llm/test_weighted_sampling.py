@@ -32,7 +32,7 @@ def test_signature_does_not_depend_on_history():
 
 
 def plain(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))  # ids below are unique or of equal texts
     out = []
     for k, (i, text) in enumerate(rows):
         text, following = text or "", rows[(k + 1) % len(rows)][1] or ""
@@ -56,3 +56,49 @@ def test_small_tables(spark):
     only = ws.fingerprint_edits(frame(spark, [(1, "abcd efgh")])).collect()
     assert [(r.n_chars, r.near_next) for r in only] == [(9, 1.0)]
     assert only[0].edited_sha256 == hashlib.sha256(b"abcd abcd").hexdigest()
+
+
+def plain_signature(words, places):
+    """Consistent weighted sampling word by word: the least value wins each place."""
+    made, best = ws.Sampler(places), [(np.inf, 0, 0)] * places
+    for word, weight in Counter(words).items():
+        fresh = ws.Sampler(places)
+        fresh.learn([word])
+        for p in range(places):
+            r, beta, c = (float(x[0, p]) for x in (fresh.rate, fresh.offset, fresh.cost))
+            t = int(np.floor(np.float32(np.log(weight)) / np.float32(r) + np.float32(beta))) if weight > 1 else 0
+            value = fresh.light[0, p] if weight == 1 else fresh.cost[0, p] - fresh.rate[0, p] * (np.float32(t) - fresh.offset[0, p]) - fresh.rate[0, p]
+            best[p] = min(best[p], (float(value), int(fresh.tag[0]), t))
+    return made, best
+
+
+def test_signatures_against_a_plain_version():
+    """The sampled (word, step) of each place, also where words come in many slices."""
+    words = [f"w{i % 40}".encode() for i in range(90)]
+    _, best = plain_signature(words, 16)
+    mixed = [((tag * 0x9E3779B97F4A7C15 + t) & (1 << 64) - 1) for _, tag, t in best]
+    want = [((x ^ (x >> 29)) * ws.MIX[0] & (1 << 64) - 1) >> 48 for x in mixed]
+    assert ws.Sampler(16).signature(words).tolist() == want
+
+
+def test_slices_don_t_matter(monkeypatch):
+    words = [f"w{i * i % 977}".encode() for i in range(3000)]
+    whole = ws.Sampler().signature(words).tolist()
+    monkeypatch.setattr(ws, "SLICE", 7)
+    assert ws.Sampler(max_words=50).signature(words).tolist() == whole
+
+
+def test_a_text_of_very_many_words():
+    """Memory for draws is bounded by the slice, not by the text."""
+    sampler = ws.Sampler(max_words=20_000)
+    assert sampler.signature([f"{i}".encode() for i in range(150_000)]).any()
+    assert len(sampler.row) <= 20_000 + ws.SLICE and len(sampler.tag) < 65_536
+
+
+def test_rows_of_one_key(spark):
+    """Many rows without an id, with unlike texts: neighbours by the hash of the text, over several partitions."""
+    rows = [(None, f"text number {i} of many") for i in range(300)]
+    got = ws.fingerprint_edits(frame(spark, rows).repartition(3)).collect()
+    assert len(got) == 300 and len({r.fingerprint for r in got}) > 290
+    made = {hashlib.sha256((a[:len(a) - len(a) // 2] + b[:len(a) // 2]).encode()).hexdigest() for _, a in rows for _, b in rows}
+    assert {r.edited_sha256 for r in got} <= made
