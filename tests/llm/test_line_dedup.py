@@ -60,3 +60,18 @@ def test_only_null_ids(spark):
 
 def test_empty_table(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).collect() == []
+
+
+def test_rows_of_one_id_and_the_sql(spark, tmp_path):
+    """Each row is a document of its own, also under a repeated or missing id, in the SQL too."""
+    import duckdb
+
+    own = [(None, f"line number {i} of its own, long enough to be looked at\n{COMMON}") for i in range(30)]
+    data = rows() + own + [(29, f"{COMMON}\n{COMMON}"), (29, "x")]
+    frame(spark, data).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = line_dedup.op3_line_dedup(spark, str(tmp_path)).select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = db.execute(line_dedup.OP3_SQL).fetchall()
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert sum(r.n_dropped for r in got if r.doc_id is None) >= 30
