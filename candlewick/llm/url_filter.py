@@ -6,40 +6,47 @@ over arrays of weights and errors. Scoring adds up a URL's bucket weights; nothi
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
 SIZES = (3, 4, 5)
 STEPS = 120
-#: Rows of the labelled table, at most; it is held in one row of arrays.
+#: Rows of the labelled table, at most, unless the caller allows more; it is held in one row of arrays.
 LABELLED_ROWS = 2000
 
 #: Fixed values of the contract: verdict, host and path of each rule.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-#: The labelled URLs: host words of unwanted and of ordinary sites, each with a usual path.
-UNWANTED = ["casino-win", "casino-royal", "best-casino", "online-casino-bonus", "poker-cash", "slots-jackpot", "free-bets", "sports-bets",
-            "bets-now", "bet-bonus", "cheap-pills", "pills-shop", "diet-pills", "pharma-cheap", "viagra-cheap", "adult-x", "adult-video",
-            "xxx-adult", "sex-cams", "spam-farm", "link-farm", "spam-links", "ads-track", "ad-tracker", "track-ads", "click-ads",
-            "popup-ads", "free-money", "win-prize", "crypto-win", "loan-cheap", "warez-free"]
-ORDINARY = ["news", "daily-herald", "weather", "library", "university", "museum", "recipes", "garden", "travel-notes", "science",
-            "history", "music-review", "city-council", "health-service", "open-source", "docs", "wiki", "photo-journal", "football-club",
-            "book-club", "school", "research", "theatre", "railway", "astronomy", "kitchen", "cycling", "hiking", "language-course", "archive",
-            "thorin", "tionable", "therand", "ashton", "bletchley", "northern-times"]
+#: The labelled URLs: names of unwanted and of ordinary hosts, each with a usual path. Ordinary ones are more, as on the web.
+UNWANTED = """casino-royal best-casino online-casino-bonus poker-cash slots-jackpot roulette-wheel sports-bets bets-now bet-bonus lottery-prize
+    pills-shop diet-pills pharma-discount cheap-viagra adult-video xxx-adult adult-cams sex-cams escort-girls spam-mailer link-farm spam-links
+    ad-tracker track-ads click-ads popup-ads adserver-clicks free-money win-prize free-prize crypto-win cheap-loans payday-loan warez-free
+    keygen-crack cheap-replica""".split()
+ORDINARY = """news daily-herald weather library university museum recipes garden travel-notes science history music-review city-council
+    health-service open-source docs wiki photo-journal football-club book-club school research theatre railway astronomy kitchen cycling hiking
+    language-course archive northern-times architecture bakery botany cathedral chess-tutor community-centre dictionary engineering farm-shop
+    film-festival forestry geography harbour hospital insurance journal knitting literature mathematics mountain-rescue orchestra parish
+    philosophy pottery quarterly radio restaurant sailing sports-results tennis-school translation village-hall volunteers winter-market
+    woodland""".split()
+#: Words that unwanted hosts are made of; each is put before two others.
+UNWANTED_WORDS = """casino poker slots jackpot bets betting lottery pills pharma viagra adult xxx sex cams escort spam links ads tracker clicks
+    popup money prize crypto loans payday warez keygen malware replica""".split()
 PATHS = ["/en/12", "/fr/748?page=2&ref=x", "/de/511#top", "/es/797.html", "/en/27?utm_source=feed", "/fr/10/", "/", "/en/773"]
 DOMAINS = ["example.com", "example.org", "example.net"]
 PREFIXES = ["", "www.", "m.", "blog."]
 
 
-def default_labelled(spark) -> DataFrame:
-    """(url, blocked) of the small labelled table, as literal rows."""
-    rows = []
-    for blocked, names in ((1, UNWANTED), (0, ORDINARY)):
-        for i, name in enumerate(names):
-            for j in range(3):  # each name under several domains and paths, so that these carry no label
-                k = 3 * i + j
-                rows.append(f"('https://{PREFIXES[k % 4]}{name}.{DOMAINS[j]}{PATHS[k % 8]}', {blocked})")
+def default_labelled(spark, without: Sequence[str] = ()) -> DataFrame:
+    """(url, blocked) of the small labelled table, as literal rows; names in `without` are left out."""
+    rows, paired = [], lambda words, steps: [f"{w}-{words[(i + k) % len(words)]}" for k in steps for i, w in enumerate(words)]
+    for blocked, names, pairs in ((1, UNWANTED, paired(UNWANTED_WORDS, (1, 7))), (0, ORDINARY, paired(ORDINARY, (1, 11)))):
+        # each name under all domains, and pairs under each in turn, so that domains and paths carry no label
+        places = [(n, j) for n in names if n not in without for j in range(3)] + [(n, i % 3) for i, n in enumerate(pairs) if n not in without]
+        for k, (name, j) in enumerate(places):
+            rows.append(f"('https://{PREFIXES[k % 4]}{name}.{DOMAINS[j]}{PATHS[k % 8]}', {blocked})")
     return spark.sql("SELECT * FROM VALUES " + ", ".join(rows) + " AS t(url, blocked)")
 
 
@@ -64,7 +71,7 @@ def buckets(host: str = "host", path: str = "path") -> Column:
     return F.expr(f"array_distinct(concat({', '.join(grams)}))")
 
 
-def fit(labelled: DataFrame, steps: int = STEPS, rate: float = 2.0, ridge: float = 1e-4) -> tuple[list[float], float]:
+def fit(labelled: DataFrame, steps: int = STEPS, rate: float = 2.0, ridge: float = 1e-4, most_rows: int = LABELLED_ROWS) -> tuple[list[float], float]:
     """Bucket weights and offset from (url, blocked 0/1); rows with nulls teach nothing.
 
     All of it is one row of arrays: the buckets of each URL, and for each bucket the URLs that have it. A step
@@ -73,8 +80,8 @@ def fit(labelled: DataFrame, steps: int = STEPS, rate: float = 2.0, ridge: float
     host, path = host_and_path(F.col("url"))
     rows = labelled.where("url IS NOT NULL AND blocked IS NOT NULL").select(host.alias("host"), path.alias("path"), F.col("blocked").cast("double").alias("y"))
     rows = rows.select(buckets().alias("b"), "y").where("size(b) > 0")
-    if rows.limit(LABELLED_ROWS + 1).count() > LABELLED_ROWS:
-        raise ValueError(f"the labelled table has over {LABELLED_ROWS} rows")
+    if rows.limit(most_rows + 1).count() > most_rows:
+        raise ValueError(f"the labelled table has over {most_rows} rows")
     table = rows.agg(F.sort_array(F.collect_list(F.struct("b", "y"))).alias("rows"))
     table = table.selectExpr("rows", "transform(rows, r -> 1 / sqrt(size(r.b))) AS v",
                              "flatten(transform(rows, (r, i) -> transform(r.b, k -> struct(k AS k, i AS i)))) AS entries")
@@ -95,7 +102,7 @@ def fit(labelled: DataFrame, steps: int = STEPS, rate: float = 2.0, ridge: float
 
 
 def judge(df: DataFrame, labelled: DataFrame, url: str = "url", keep: list[str] | None = None,
-          rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
+          rules: list[tuple[str, str, str]] | None = None, most_rows: int = LABELLED_ROWS) -> DataFrame:
     """`keep`, host, path, rule, score and verdict (allow or block) of every URL. Narrow: no shuffle, no Python.
 
     A rule fits its host and all subdomains where the path starts with the rule's; of several the longest wins
@@ -106,7 +113,7 @@ def judge(df: DataFrame, labelled: DataFrame, url: str = "url", keep: list[str]
     empty table; only the named columns are read.
     """
     keep = ["page_id"] if keep is None else keep
-    weights, bias = fit(labelled)
+    weights, bias = fit(labelled, most_rows=most_rows)
     host, path = host_and_path(df[url])
     rows = df.select(*[df[c].alias(f"k{i}") for i, c in enumerate(keep)], host.alias("host"), path.alias("path"))
     rows = rows.withColumn("b", buckets())

@@ -43,7 +43,7 @@ def model(spark):
 
 
 def test_against_plain(spark, model, monkeypatch):
-    monkeypatch.setattr(uf, "fit", lambda labelled: model)
+    monkeypatch.setattr(uf, "fit", lambda labelled, **_: model)
     df = spark.createDataFrame([(i, u, "own", "own") for i, u in enumerate(URLS)] + [(None, URLS[0], "own", "own")] * 2, "page_id bigint, url string, rule string, b string")
     got = uf.judge(df, None, rules=uf.RULES).collect()
     assert len(got) == len(URLS) + 2
@@ -59,7 +59,7 @@ def test_against_plain(spark, model, monkeypatch):
 
 
 def test_learned_words(spark, model, monkeypatch):
-    monkeypatch.setattr(uf, "fit", lambda labelled: model)
+    monkeypatch.setattr(uf, "fit", lambda labelled, **_: model)
     new = [("http://www.casino-night.example.com/en/9", "block"), ("http://m.best-bets.example.org/fr/2", "block"), ("http://old-library.example.com/en/4", "allow"),
            ("https://cheap-pills.example.com/es/5", "block"), ("http://ththes.example.org/en/12", "allow")]
     df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(new)], "page_id bigint, url string")
@@ -67,7 +67,7 @@ def test_learned_words(spark, model, monkeypatch):
 
 
 def test_no_python(spark, model, monkeypatch):
-    monkeypatch.setattr(uf, "fit", lambda labelled: model)
+    monkeypatch.setattr(uf, "fit", lambda labelled, **_: model)
     plan = uf.judge(spark.createDataFrame([(1, "u")], "page_id bigint, url string").limit(0), None, rules=uf.RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
@@ -85,3 +85,32 @@ def test_labelled_table_is_bounded(spark):
     big = spark.range(uf.LABELLED_ROWS + 1).selectExpr("concat('http://h', id, '.com/') AS url", "1 AS blocked")
     with pytest.raises(ValueError):
         uf.fit(big)
+
+
+def judged(spark, labelled, hosts):
+    rows = [(i, f"https://www.{h}.example.org/es/{i}") for i, h in enumerate(hosts)]
+    got = uf.judge(spark.createDataFrame(rows, "page_id bigint, url string"), labelled).collect()
+    return {hosts[r.page_id] for r in got if r.verdict == "block"}
+
+
+def test_held_out_hosts(spark):
+    """Four folds by host name: precision and recall on names that were not learned. Their words may be."""
+    blocked = set()
+    for fold in range(4):
+        held = uf.UNWANTED[fold::4] + uf.ORDINARY[fold::4]
+        blocked |= judged(spark, uf.default_labelled(spark, held), held)
+    right = len(blocked & set(uf.UNWANTED))
+    print("precision", right / len(blocked), "recall", right / len(uf.UNWANTED))
+    assert right / len(blocked) > 0.85 and right / len(uf.UNWANTED) > 0.6
+
+
+def test_given_hosts_are_not_in_the_table(spark, sf):
+    """No host of the given pages is a label; their unwanted ones, by name, are blocked all the same, ordinary ones are not."""
+    hosts = sorted({parse(r.url)[0] for r in spark.read.parquet(f"{sf}/pages.parquet").select("url").collect()})
+    names = {label for h in hosts for label in h.split(".")}
+    learned = set(uf.UNWANTED) | set(uf.ORDINARY)
+    assert not {n for n in names if "-" in n} & learned
+    unwanted = {n for n in names if "-" in n}
+    found = judged(spark, uf.default_labelled(spark), sorted(names - {"www", "example", "com", "org", "net", ""}))
+    print(sorted(found), sorted(unwanted - found))
+    assert len(found & unwanted) >= 0.8 * len(unwanted) and len(found - unwanted) <= 0.02 * len(names)
