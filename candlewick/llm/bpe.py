@@ -27,8 +27,8 @@ WORD_END = "</w>"
 
 
 @lru_cache(maxsize=1)
-def unsure_points() -> regex.Pattern:
-    """Code points on which tables of different Unicode versions may disagree: unassigned ones, by either table here.
+def unsure_points() -> np.ndarray:
+    """Flags of the code points on which tables of different Unicode versions may disagree: unassigned ones, by either table here.
 
     Python's own table, the one of the pattern module and the library's are of different versions; a code point that
     the older two of them know has its class and case for good.
@@ -42,9 +42,7 @@ def unsure_points() -> regex.Pattern:
         apart |= named != (kinds == kind)
     apart |= np.fromiter((unicodedata.category(c) == "Cn" for c in every), bool, len(every))
     apart[0xD800:0xE000] = False
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], apart.astype(np.int8), [0]])))
-    ranges = (f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
-    return regex.compile(f"[{''.join(ranges)}]")
+    return apart
 
 
 class WordBpe:
@@ -71,7 +69,7 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names |= {i: t for t, i in self.special.items()}
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
-        self.pattern, self.unsure = regex.compile(WORD_PATTERN), unsure_points()
+        self.pattern, self.unsure, self.sure = regex.compile(WORD_PATTERN), unsure_points(), set()
         self.vocabulary, self.letters = vocabulary, letters
         self.max_words = max_words
         self.ids: dict[str, str] = {}
@@ -128,11 +126,19 @@ class WordBpe:
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special strings. The library itself cuts texts with unsure code points."""
-        if not text.isascii() and self.unsure.search(text):
+        if not text.isascii() and not self.is_sure(text):
             cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             return [bytes([self.letters[x] for x in piece]).decode() for piece, _ in cut]
         return self.pattern.findall(self.normal(text))
 
+    def is_sure(self, text: str) -> bool:
+        """Whether no code point is unsure; those met before are remembered, so a text costs one set of its characters."""
+        new = set(text) - self.sure
+        if any(self.unsure[ord(c)] for c in new):
+            return False
+        self.sure |= new
+        return True
+
     @cached_property
     def library(self):
         from tokenizers import Tokenizer
