@@ -45,8 +45,10 @@ def above_mark(df: DataFrame, target: DataFrame, column: str, strict: bool = Fal
 BANDS, BAND_KEYS = 8, 1000
 
 
-def in_bands(df: DataFrame, starts: DataFrame, key: Sequence[str], column: str, start: str, bands: int = BANDS, **lookup) -> DataFrame:
-    """Rows of df at or after the start of their own key, joined to ``starts`` (stored, one row per key).
+def in_bands(
+    df: DataFrame, starts: DataFrame, key: Sequence[str], column: str, start: str, bands: int = BANDS, inclusive: bool = True, **lookup
+) -> DataFrame:
+    """Rows of df from the start of their own key on (without it unless ``inclusive``), joined to ``starts`` (stored, one row per key).
 
     Keys are put into bands by how far their start lies behind the newest one, each band half as far as the one
     before. A band is a scan of its own, with its least start as a literal bound and, if it has few keys, with them
@@ -61,15 +63,16 @@ def in_bands(df: DataFrame, starts: DataFrame, key: Sequence[str], column: str,
     behind = (F.lit(ends.most) - place) / F.lit(max(ends.most - ends.least, 1e-300))
     band = F.least(F.when(behind > 0, F.floor(-F.log2(behind))).otherwise(bands - 1), F.lit(bands - 1)).cast("int")
     placed = starts.withColumn("_band", band)
+    after = (lambda x: F.col(column) >= x) if inclusive else (lambda x: F.col(column) > x)
     out = []
     for b in placed.groupBy("_band").agg(F.min(start).alias("least"), F.count("*").alias("n")).collect():
         own = placed.filter(F.col("_band") == b["_band"]).drop("_band")
-        rows = df.filter(F.col(column) >= F.lit(b.least).cast(df.schema[column].dataType))
+        rows = df.filter(after(F.lit(b.least).cast(df.schema[column].dataType)))
         if b.n <= BAND_KEYS:
             known = own.select(*key).collect()
             for k in key:
                 rows = rows.filter(F.col(k).isin([v for v in {r[k] for r in known} if v is not None]))
-        out.append(joins.lookup_join(rows, own, key, "inner", **lookup).filter(F.col(column) >= F.col(start)))
+        out.append(joins.lookup_join(rows, own, key, "inner", **lookup).filter(after(F.col(start))))
     return concat(out)
 
 
@@ -85,10 +88,7 @@ def above_own_mark(
     marks = stage(target.groupBy(*key).agg(F.max(column).alias("_mark")).filter(F.col("_mark").isNotNull()), "marks")
     if marks.isEmpty():
         return df.filter(F.lit(False)) if strict else df
-    known = in_bands(df, marks, key, column, "_mark", **lookup)
-    if not inclusive:
-        known = known.filter(F.col(column) > F.col("_mark"))
-    known = known.drop("_mark")
+    known = in_bands(df, marks, key, column, "_mark", inclusive=inclusive, **lookup).drop("_mark")
     if strict:
         return known
     fresh = stage(joins.absent(df.select(*key).distinct(), marks, key), "new-keys")
