@@ -184,6 +184,7 @@ def create_sql_function(spark, name: str, args: dict[str, str], returns: str, bo
 
 # ---- logical types ----------------------------------------------------------
 
+# Names of the declared types.
 LOGICAL_TYPES = {
     "string": T.StringType(),
     "timestamp": T.TimestampType(),
