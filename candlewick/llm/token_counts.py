@@ -6,9 +6,11 @@ may still grow into a token, the last token of the encoding before that suffix a
 A transition is annotated with the change of the number of tokens, so the counts of a text are the sum of its
 annotations. States and transitions are compiled when they are first met and kept in arrays.
 
-A block of text is split into chunks that run through the transducer side by side, each from the start state. Then
-every chunk is fed the true end state of its predecessor and runs again only until both runs meet, which they do at the
-next piece at the latest. No maps are composed: a piece over K chunks whose runs do not meet takes K rounds.
+A block of text is split into chunks. Each chunk is a map from the states it may be entered in to the state at its end;
+the maps are made side by side, over all entry states that any run of the chunk before may end in. Composing them is
+associative, so a prefix scan that doubles its reach gives the true entry state of every chunk, and a last run writes the
+counts. A run from another entry state stops where it meets the run from the start state, at the next piece at the
+latest; from there on both are the same.
 """
 
 from __future__ import annotations
@@ -208,23 +210,59 @@ class Transducer:
         for j in range(chunk):
             state, change[j] = self.step(state * inside[j], rows[j])
             path[j] = state
-        todo = np.arange(1, lanes)
-        while len(todo):  # feed the true end state of the chunk before, until both runs meet
-            todo = todo[inside[0][todo]]
-            lane, state = todo, path[-1][todo - 1]
-            for j in range(chunk):
-                stay = inside[j][lane]
-                if j:
-                    lane, state = lane[stay], state[stay]
-                if not len(lane):
-                    break
-                state, change[j][lane] = self.step(state, rows[j][lane])
-                apart = state != path[j][lane]
-                path[j][lane] = state
-                lane, state = lane[apart], state[apart]
-            todo = lane[lane < lanes - 1] + 1  # those whose end state is new
+        entry = self.entry_states(rows, inside, path)
+        self.run_on(rows, inside, path, np.flatnonzero(entry), entry[entry > 0], change)
         return change.T.reshape(-1)[:n]
 
+    def run_on(self, rows, inside, path, lane, state, change=None) -> np.ndarray:
+        """End states of the lanes entered in these states. Runs stop where they meet the lane's path from the start state."""
+        ends = path[-1][lane]
+        at = np.arange(len(lane))
+        for j in range(len(rows)):
+            stay = inside[j][lane]
+            at, lane, state = at[stay], lane[stay], state[stay]
+            if not len(lane):
+                return ends
+            state, delta = self.step(state, rows[j][lane])
+            if change is not None:
+                change[j][lane] = delta
+            apart = state != path[j][lane]
+            at, lane, state = at[apart], lane[apart], state[apart]
+        ends[at] = state
+        return ends
+
+    def entry_states(self, rows, inside, path) -> np.ndarray:
+        """The state in which each lane is truly entered: the maps of all lanes, composed by a prefix scan.
+
+        A map is a set of entries (lane, state) with the state at the end. It starts with the start state, whatever lane;
+        a lane that begins a piece needs no other. Then ends of the lane before are added until all are entries.
+        """
+        lanes = rows.shape[1]
+        lane, state, end = np.arange(lanes), np.zeros(lanes, np.int64), path[-1].astype(np.int64)
+        made_lane, made_end = lane, end
+        known = lane << 32
+        while True:
+            ahead = made_lane < lanes - 1
+            to = made_lane[ahead] + 1
+            new = np.setdiff1d(to << 32 | np.where(inside[0][to], made_end[ahead], 0), known)
+            if not len(new):
+                break
+            made_lane, made_state = new >> 32, new & 0xFFFFFFFF
+            made_end = self.run_on(rows, inside, path, made_lane, made_state.astype(np.int32)).astype(np.int64)
+            lane, state, end = np.append(lane, made_lane), np.append(state, made_state), np.append(end, made_end)
+            known = np.append(known, new)
+        order = np.argsort(known)
+        known, state, end, lane = known[order], state[order], end[order], lane[order]
+        to = np.minimum(lane + 1, lanes - 1)
+        jump = np.searchsorted(known, to << 32 | np.where(inside[0][to], end, 0))  # the next lane's entry; unused in the last one
+        jump[lane == lanes - 1] = 0
+        entry, reach = np.zeros(lanes, np.int64), 1  # entry 0 is that of the first lane in the start state
+        while reach < lanes:
+            size = min(reach, lanes - reach)
+            entry[reach:reach + size] = jump[entry[:size]]
+            jump, reach = jump[jump], 2 * reach
+        return state[entry]
+
     def counts(self, texts: list[bytes]) -> np.ndarray:
         """Tokens of each text. The strings of special tokens inside a text count as one token each."""
         totals = np.zeros(len(texts), np.int64)

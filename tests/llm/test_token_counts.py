@@ -51,6 +51,27 @@ def test_chunks_agree():
     assert {int(MACHINE.changes(bytes_, start, c).sum()) for c in (7, 64, 256, 10_000)} == {expected(data.decode())}
 
 
+@pytest.mark.parametrize("text", ["a" * 3000, "ab" * 1500, "pneumonoultra" * 150, "some words, here 12 x" * 60, "qzjxkvbwpf" * 200])
+@pytest.mark.parametrize("chunk", [3, 16, 97])
+def test_composed_maps_are_the_states_of_one_run(text, chunk):
+    """The prefix scan over chunk maps against one step after the other."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    start = token_counts.piece_starts(data.astype(np.uint32), np.arange(len(data)) == 0)
+    state, states, changes = np.zeros(1, np.int32), [], []
+    for byte, begins in zip(data, start, strict=True):
+        states.append(0 if begins else int(state[0]))
+        state, change = MACHINE.step(np.array(states[-1:], np.int32), np.array([byte]))
+        changes.append(int(change[0]))
+    n = len(data) // chunk * chunk
+    rows, inside = data[:n].reshape(-1, chunk).T, ~start[:n].reshape(-1, chunk).T
+    path, now = np.empty(rows.shape, np.int32), np.zeros(n // chunk, np.int32)
+    for j in range(chunk):
+        now, _ = MACHINE.step(now * inside[j], rows[j])
+        path[j] = now
+    assert (MACHINE.entry_states(rows, inside, path) * inside[0]).tolist() == states[:n:chunk]
+    assert MACHINE.changes(data, start, chunk).tolist() == changes
+
+
 def test_small_cache_of_states():
     small = token_counts.Transducer(token_counts.vocabulary_bytes(None, "byte_bpe_50k.json"), max_states=50)
     for text in ["some words here", "other words there", "some words here"]:
