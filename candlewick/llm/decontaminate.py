@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import KINDS, WORDS, cuts, ship
+from candlewick.session import stage
 
 SHARD_BYTES = 16 << 20
 #: Benchmark text searched by one function; a larger benchmark is searched block by block.
 QUERY_BYTES = 8 << 20
+#: Blocks searched in one pass over the documents, each by a Python worker of its own; then the results are written.
+BLOCKS_AT_ONCE = 4
 SAMPLE = 8
 
 
@@ -215,10 +218,11 @@ def item_blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Itera
 
 def find_passages(df: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None,
                   size: int = 13, item: str = "item_id", item_text: str = "text", query_bytes: int = QUERY_BYTES) -> DataFrame:
-    """Occurrences of benchmark windows: `keep`, n_words, n_hit, spans (first and last word), items. Narrow.
+    """Occurrences of benchmark windows: `keep`, n_words, n_hit, spans (first and last word), items. No shuffle.
 
     A window is `size` consecutive words of an item; an item with fewer words, but not none, is one window. Each
-    task indexes its documents shard by shard and searches all windows of a block of the benchmark.
+    task indexes its documents shard by shard and searches all windows of a block of the benchmark. A benchmark of many
+    blocks takes several passes, each written to the shared folder, so plan, driver and tasks hold few blocks at once.
 
     Null and empty texts have no words; a null key passes through; repeated rows give repeated rows; items without
     a word have no window, a null item_id counts as an empty name, items with equal ids are one; an empty table of
@@ -253,6 +257,8 @@ def find_passages(df: DataFrame, benchmark: DataFrame, text: str = "text", keep:
 
     blocks = 0
     for items in item_blocks(benchmark, item, item_text, query_bytes):
+        if blocks and blocks % BLOCKS_AT_ONCE == 0:
+            found = stage(found, "passages")
         found = found.mapInArrow(searching(items), schema)
         blocks += 1
     if not blocks:  # words are counted all the same

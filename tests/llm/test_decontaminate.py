@@ -47,6 +47,15 @@ def test_against_plain(spark, seed, size, limit):
     assert sorted([(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got.collect()], key=key) == plain(rows, items, size)
 
 
+def test_plan_holds_few_blocks(spark):
+    """A benchmark of many blocks is searched in several passes, with the same rows."""
+    rows, items = case(5)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = dc.find_passages(frame(spark, rows), bench, size=3, query_bytes=1)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") <= dc.BLOCKS_AT_ONCE
+    assert sorted([(r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got.collect()], key=key) == plain(rows, items, 3)
+
+
 def test_spans(spark):
     bench = spark.createDataFrame([(1, "one two three four")], "item_id bigint, text string")
     rows = [(1, "zero one two three four five one two three four one two"), (2, "one two three")]
