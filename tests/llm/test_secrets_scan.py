@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from candlewick.llm import secrets_scan as ss
@@ -139,3 +140,60 @@ def test_other_candidates_against_all_pairs(seed):
     base = ss.base_spans(value)
     want = [m.span() for m in ss.CANDIDATE.finditer(value) if not any(s < m.end() and m.start() < e for s, _, e, _, _ in base)]
     assert ss.other_candidates(value, base) == want
+
+
+def test_fit_uses_all_windows(spark, monkeypatch):
+    """Every distinct labelled window of a text is trained on or held out, however many there are; none is drawn from a sample."""
+    rng = random.Random(4)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz-", k=14)) for _ in range(9)) + f" token={rng.getrandbits(160):040x} end") for i in range(900)]
+    want = {0: set(), 1: set()}
+    for _, text in rows:
+        base = ss.base_spans(text)
+        want[1] |= {ss.window(text, a, b) for *_, a, b in base}
+        want[0] |= {w for a, b in ss.other_candidates(text, base) for w in ss.views(text, a, b)}
+    assert len(want[0]) > 7000
+    seen = {}
+    monkeypatch.setattr(ss, "packed", lambda *a, f=ss.packed: seen.setdefault("blocks", f(*a)))
+    monkeypatch.setattr(ss, "settled", lambda net, table, recall, f=ss.settled: seen.update(table=table) or f(net, table, recall))
+    monkeypatch.setattr(ss, "BLOCK", 1024)
+    net = ss.fit(frame(spark, rows))
+    blocks = [ss.Block.of(*map(lambda x: bytes(x) if isinstance(x, bytearray) else x, r)) for r in seen["blocks"].collect()]
+    assert len(blocks) > 4
+    for label in (0, 1):
+        parts = [[w.tobytes() for b in blocks for w in (b.x[b.y == label], b.held_x[b.held_y == label])[held]] for held in (0, 1)]
+        assert set(parts[0]) | set(parts[1]) == want[label] and not set(parts[0]) & set(parts[1])
+        assert len(parts[1]) == len(set(parts[1])) == seen["table"][1 - label].sum()
+    assert 0 < net.threshold <= 1 and net.recall >= 0.95 and net.passed < 0.05
+
+
+def test_fit_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ss, "BLOCK", 256)
+    nets = [ss.fit(frame(spark, corpus()).repartition(n)) for n in (1, 6)]
+    assert nets[0].threshold == nets[1].threshold <= 1 and np.array_equal(nets[0].filters, nets[1].filters)
+
+
+def test_rare_findings_reach_every_block(spark, monkeypatch):
+    """With few findings among many other tokens, each block has some, and none is held out as well."""
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choices("abcdefghij", k=16)) + " x" + f" token={rng.getrandbits(160):040x}" * (i % 100 == 0)) for i in range(4000)]
+    seen = {}
+    monkeypatch.setattr(ss, "packed", lambda *a, f=ss.packed: seen.setdefault("blocks", f(*a)))
+    monkeypatch.setattr(ss, "BLOCK", 256)
+    net = ss.fit(frame(spark, rows))
+    made = seen["blocks"].collect()
+    assert len(made) > 8 and all(sum(r.y) >= 20 for r in made) and sum(sum(r.held_y) for r in made) < 40
+    assert 0 < net.threshold <= 1
+
+
+def test_threshold_from_counts():
+    """The threshold keeps the recall and lies half-way to the next negative; figures are exact at it."""
+    table = np.zeros((3, ss.BINS), np.int64)
+    middle = ss.BINS // 2
+    table[0, middle + 400], table[0, middle - 300] = 99, 1
+    table[1, middle - 500], table[2, middle + 100] = 50, 10
+    net = ss.settled(ss.train([], []), table, 0.98)
+    assert (net.recall, net.passed, net.passed_numbers) == (0.99, 0.0, 0.0)
+    low, high = (1 / (1 + np.exp(-(net.slope * x / ss.FINE + net.shift))) for x in (101, 400))
+    assert low < net.threshold < high and abs(net.threshold - (low + high) / 2) < 0.01
+    table[2, middle + 700] = 10
+    assert ss.settled(ss.train([], []), table, 0.98).passed_numbers == 0.5
