@@ -4,9 +4,10 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from candlewick.llm import weighted_sampling as ws
-from tests.llm.helpers import ODD, frame
+from tests.llm.helpers import LONG, ODD, frame
 
 
 def similarity(a, b):
@@ -102,3 +103,53 @@ def test_rows_of_one_key(spark):
     assert len(got) == 300 and len({r.fingerprint for r in got}) > 290
     made = {hashlib.sha256((a[:len(a) - len(a) // 2] + b[:len(a) // 2]).encode()).hexdigest() for _, a in rows for _, b in rows}
     assert {r.edited_sha256 for r in got} <= made
+
+
+def test_a_group_is_learned_together(monkeypatch):
+    """Signatures of many texts are those of each alone, and their new words are learned at once."""
+    calls, learn = [], ws.Sampler.learn
+    monkeypatch.setattr(ws.Sampler, "learn", lambda self, words: calls.append(len(words)) or learn(self, words))
+    texts = [" ".join(f"w{i * j % 61 + i}" for j in range(i % 9 * 8)) for i in range(200)] + ["", "one", "one one"]
+    got = ws.Reader(64).signatures(texts)
+    assert len(calls) == 1
+    assert [x.tobytes() for x in got] == [ws.Reader(64).signature(t).tobytes() for t in texts]
+
+
+def test_groups_beyond_the_room():
+    """Words that come again are kept when there is no more room; a group that is too large goes slice by slice."""
+    sampler = ws.Sampler(max_words=60)
+    groups = [[[f"g{g}-{i}-{j}".encode() for j in range(4)] + [b"the", b"of", b"the"] for i in range(n)] for g, n in enumerate([4, 5, 6, 40, 5, 6, 3])]
+    for k, texts in enumerate(groups):
+        want = [ws.Sampler().signature(t).tobytes() for t in texts]
+        assert [x.tobytes() for x in sampler.signatures(texts)] == want
+        if k == 2:
+            assert b"the" in sampler.row and b"g0-0-0" not in sampler.row
+
+
+def test_draws_beyond_the_room(monkeypatch):
+    monkeypatch.setattr(ws, "SLICE", 5)
+    sampler = ws.Sampler(max_words=40)
+    for g in range(6):
+        texts = [[f"g{g}-{j}".encode() for j in range(3)] * 2 + [b"z"] * (g + i) for i in range(5)]
+        assert [x.tobytes() for x in sampler.signatures(texts)] == [ws.Sampler().signature(t).tobytes() for t in texts]
+        assert sampler.drawn <= 10
+
+
+def test_neighbours_over_many_groups(monkeypatch):
+    """Rows of one partition in several batches and groups: each meets its successor, also where a group ends."""
+    monkeypatch.setattr(ws, "TOGETHER", 100)
+    monkeypatch.setattr(ws, "TaskContext", type("Task", (), {"get": classmethod(lambda cls: cls), "partitionId": staticmethod(lambda: 3)}))
+    rows = [(i, f"document {i} has some words and {i * 7} others" if i % 11 else None) for i in range(70)] + [(70, LONG)]
+    batches = [pa.record_batch([pa.array([i for i, _ in part], pa.int64()), pa.array([t for _, t in part], pa.string())], ["key", "text"])
+               for part in (rows[:1], rows[1:1], rows[1:40], rows[40:])]
+    got = [r for b in ws.rows_in_order(ws.PLACES, pa.int64())(batches) for r in b.to_pylist()]
+    assert [(r["kind"], r["key"], r["text"]) for r in got if r["kind"] != ws.ROW] == [(ws.HEAD, 0, ""), (ws.TAIL, 70, LONG)]
+    made = [r for r in got if r["kind"] == ws.ROW]
+    assert [r["key"] for r in made] == list(range(70)) and {r["part"] for r in got} == {3}
+    for r, (_, text), (_, following) in zip(made, rows, rows[1:]):
+        text, following = text or "", following or ""
+        changed = ws.edited(text, following)
+        own, after, near = (ws.Reader(ws.PLACES).signature(t) for t in (text, changed, following))
+        assert (r["own"], r["after"], r["n_chars"]) == (own.tobytes(), after.tobytes(), len(text))
+        assert r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert (r["near_edited"], r["near_next"]) == (ws.likeness(own, after), ws.likeness(own, near))
