@@ -239,10 +239,11 @@ class Reader:
         return self.sampler.signature(words_of(text))
 
     def signatures(self, texts: list[str]) -> list[np.ndarray]:
-        """Signatures of texts, whose new words are learned together; of one or two, maybe long ones, one by one."""
-        if len(texts) <= 2:
-            return [self.signature(t) for t in texts]
-        return self.sampler.signatures([words_of(t) for t in texts])
+        """Signatures of texts, in one group; long ones, or one or two, each for itself."""
+        group, made = [i for i, t in enumerate(texts) if len(t) <= TOGETHER], {}
+        if len(group) > 2:
+            made = dict(zip(group, self.sampler.signatures([words_of(texts[i]) for i in group]), strict=True))
+        return [made[i] if i in made else self.signature(t) for i, t in enumerate(texts)]
 
     def result(self, text: str, own: np.ndarray, changed: str, after: np.ndarray, next_own: np.ndarray) -> tuple:
         return (len(text), hashlib.sha256(changed.encode()).hexdigest(), own.tobytes(), after.tobytes(),

@@ -153,3 +153,12 @@ def test_neighbours_over_many_groups(monkeypatch):
         assert (r["own"], r["after"], r["n_chars"]) == (own.tobytes(), after.tobytes(), len(text))
         assert r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
         assert (r["near_edited"], r["near_next"]) == (ws.likeness(own, after), ws.likeness(own, near))
+
+
+def test_a_long_text_stays_out_of_its_group(monkeypatch):
+    monkeypatch.setattr(ws, "TOGETHER", 50)
+    groups, signatures = [], ws.Sampler.signatures
+    monkeypatch.setattr(ws.Sampler, "signatures", lambda self, texts: groups.append(len(texts)) or signatures(self, texts))
+    texts = ["a few words", "others", LONG, "", "words again"]
+    got = ws.Reader(64).signatures(texts)
+    assert groups == [4] and [x.tobytes() for x in got] == [ws.Reader(64).signature(t).tobytes() for t in texts]
